@@ -6,15 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import mixing, toxicity, url_filters
+from loomlake.llm import bpe, mixing, toxicity, url_filters
 from loomlake.llm.common import table
 
+#: The vocabulary that the queries encode with; operators take any path.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filters.filter_urls(url_filters.dated_captures(pages), url_filters.rule_entries(pages))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,6 +38,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op4_bpe": op4_bpe,
     "op8_toxicity": op8_toxicity,
     "op10_mixing": op10_mixing,
 }
