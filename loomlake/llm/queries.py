@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import bpe, mixing, toxicity, url_filters
+from loomlake.llm import ann, bpe, mixing, toxicity, url_filters
 from loomlake.llm.common import table
 
 #: The vocabulary that the queries encode with; operators take any path.
@@ -32,6 +32,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op4_bpe": op4_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
 }
 
