@@ -22,19 +22,97 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from loomlake.llm.common import partitions
+from loomlake.llm.common import let, partitions
 
-BIN_BITS = 7
+BIN_BITS = 8
 BITS = 8
 SHINGLE = 5
 #: Attempts of densification that draw bins; a last one then takes the next bin in order that is not empty.
 ATTEMPTS = 24
+#: Bits of a hash that are its value in its bin; one more value marks an empty bin.
+VALUE_BITS = 40
+EMPTY = 1 << VALUE_BITS
+#: Documents for each range of ids, and the most ranges.
+RANGE_ROWS = 4000
+MOST_RANGES = 1024
 
 
 def shingle_hashes(text: Column, n: int = SHINGLE) -> Column:
     """The hashes of all n-word shingles of a text, in order; one of the whole sequence if it is shorter."""
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    count = F.size(hashes)
-    rolled = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - (n - 1)), lambda i: F.xxhash64(*[F.element_at(h, i + k) for k in range(n)]))
-    return F.when(count >= n, rolled(hashes)).when(count > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<long>"))
+    at = lambda h: F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(h) - (n - 1)))
+    rolled = lambda h: F.transform(at(h), lambda i: F.xxhash64(F.slice(h, i, F.lit(n))))
+    none = F.array().cast("array<long>")
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) > 0, rolled(h)).otherwise(none))
+
+
+def bin_values(hashes: Column, bin_bits: int = BIN_BITS) -> Column:
+    """The least value of each bin, or EMPTY, in the order of the bins."""
+    name = VALUE_BITS + 1
+    entry = lambda h: F.shiftleft(F.shiftrightunsigned(h, 64 - bin_bits), name).bitwiseOR(h.bitwiseAND(F.lit(EMPTY - 1)))
+    marks = F.transform(F.sequence(F.lit(0).cast("long"), F.lit((1 << bin_bits) - 1).cast("long")), lambda b: F.shiftleft(b, name).bitwiseOR(F.lit(EMPTY)))
+    first = lambda s: F.filter(s, lambda x, i: (i == 0) | (F.shiftright(F.get(s, i - 1), name) != F.shiftright(x, name)))
+    return F.transform(let(F.sort_array(F.concat(F.transform(hashes, entry), marks)), first), lambda x: x.bitwiseAND(F.lit(2 * EMPTY - 1)))
+
+
+def densified(values: Column, bin_bits: int = BIN_BITS) -> Column:
+    """Bin values with every empty bin filled from the first drawn bin that is not empty; all 0 if all are empty."""
+    bins = 1 << bin_bits
+
+    def filled(v: Column) -> Column:
+        draw = lambda b: F.transform(F.sequence(F.lit(1), F.lit(ATTEMPTS)), lambda t: F.get(v, F.pmod(F.xxhash64(b, t), F.lit(bins)).cast("int")))
+        onward = lambda b: F.concat(draw(b), F.slice(v, b + 1, F.lit(bins)), v)
+        found = lambda b: F.get(F.filter(onward(b), lambda x: x != EMPTY), F.lit(0))
+        return F.transform(v, lambda x, b: F.when(x != EMPTY, x).otherwise(found(b)))
+
+    zeros = F.array_repeat(F.lit(0).cast("long"), bins)
+    return let(values, lambda v: F.when(F.array_min(v) == EMPTY, zeros).otherwise(filled(v)))
+
+
+def fingerprint(text: Column, bin_bits: int = BIN_BITS, bits: int = BITS) -> Column:
+    """The packed low-order bits of a text's bins, as hexadecimal text."""
+    digits = -(-bits // 4)
+    mask = (1 << bits) - 1
+    return F.array_join(F.transform(densified(bin_values(shingle_hashes(text), bin_bits), bin_bits), lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(mask)))), digits, "0")), "")
+
+
+def likeness(a: Column, b: Column, bin_bits: int = BIN_BITS, bits: int = BITS) -> Column:
+    """Estimated Jaccard likeness of two fingerprints: the share of equal bins without those that chance makes equal."""
+    digits = -(-bits // 4)
+    bins, chance = 1 << bin_bits, 2.0**-bits
+    cell = lambda c, i: F.substring(c, i * digits + 1, F.lit(digits))
+    matching = lambda p: F.size(F.filter(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: cell(p["a"], i) == cell(p["b"], i)))
+    equal = let(F.struct(a.alias("a"), b.alias("b")), matching)
+    share = (equal / F.lit(float(bins)) - chance) / (1 - chance)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, n_chars, fingerprint) with next: text and fingerprint of the next document, descending doc_id."""
+    count = docs.select("doc_id").count()
+    ranges = max(1, min(MOST_RANGES, max(partitions(docs.sparkSession), count // RANGE_ROWS)))
+    bounds = sorted(set(docs.stat.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.2 / ranges))) if ranges > 1 else []
+    borders = F.array(*[F.lit(int(b)) for b in bounds]).cast("array<long>")
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(borders, lambda b: b <= F.col("doc_id"))))
+    rows = docs.withColumn("bucket", bucket)
+    order = [F.col("doc_id").desc(), F.col("text").desc()]
+    here = W.partitionBy("bucket").orderBy(*order)
+    entry = F.struct("text", "fingerprint")
+    rows = rows.withColumn("near", F.lead(entry).over(here))
+    heads = docs.withColumn("bucket", bucket).groupBy("bucket").agg(F.max(F.struct("doc_id", "text", "fingerprint")).alias("head"))
+    down = W.orderBy(F.col("bucket").desc())
+    everything = down.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    heads = heads.select("bucket", F.coalesce(F.lead("head").over(down), F.first("head").over(everything)).alias("head"))
+    after = F.when(F.col("near").isNotNull(), F.col("near")).otherwise(F.struct("head.text", "head.fingerprint"))
+    return rows.join(heads, "bucket").withColumn("next", after).drop("bucket", "near", "head")
+
+
+def edited(docs: DataFrame) -> DataFrame:
+    """Fingerprints of docs and of their edited texts, and how near each is to its edited text and to the next document."""
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint"))
+    cut = F.floor(F.col("n_chars") / 3).cast("int")
+    rows = with_next(rows)
+    rows = rows.withColumn("edited", F.concat(F.substring("text", 1, F.col("n_chars").cast("int") - cut), F.substring("next.text", 1, cut)))
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), F.col("next.fingerprint").alias("next_fingerprint"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import ann, bpe, mixing, toxicity, url_filters
+from loomlake.llm import ann, bpe, fingerprint, mixing, toxicity, url_filters, warc
 from loomlake.llm.common import table
 
 #: The vocabulary that the queries encode with; operators take any path.
@@ -28,6 +28,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited(table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.built(table(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +51,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op4_bpe": op4_bpe,
+    "op5_fingerprint": op5_fingerprint,
+    "op6_warc": op6_warc,
     "op8_toxicity": op8_toxicity,
     "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
