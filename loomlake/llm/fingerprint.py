@@ -60,9 +60,11 @@ def densified(values: Column, bin_bits: int = BIN_BITS) -> Column:
     bins = 1 << bin_bits
 
     def filled(v: Column) -> Column:
-        draw = lambda b: F.transform(F.sequence(F.lit(1), F.lit(ATTEMPTS)), lambda t: F.get(v, F.pmod(F.xxhash64(b, t), F.lit(bins)).cast("int")))
-        onward = lambda b: F.concat(draw(b), F.slice(v, b + 1, F.lit(bins)), v)
-        found = lambda b: F.get(F.filter(onward(b), lambda x: x != EMPTY), F.lit(0))
+        draw = lambda b, lo, hi: F.transform(F.sequence(F.lit(lo), F.lit(hi)), lambda t: F.get(v, F.pmod(F.xxhash64(b, t), F.lit(bins)).cast("int")))
+        first = lambda xs: F.get(F.filter(xs, lambda x: x != EMPTY), F.lit(0))
+        onward = lambda b: F.concat(F.slice(v, b + 1, F.lit(bins)), v)
+        # coalesce stops at the first one that is found
+        found = lambda b: F.coalesce(first(draw(b, 1, 3)), first(draw(b, 4, ATTEMPTS)), first(onward(b)))
         return F.transform(v, lambda x, b: F.when(x != EMPTY, x).otherwise(found(b)))
 
     zeros = F.array_repeat(F.lit(0).cast("long"), bins)
