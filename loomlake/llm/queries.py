@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import ann, bpe, fingerprint, mixing, toxicity, url_filters, warc
+from loomlake.llm import ann, bpe, fingerprint, jaccard, line_dedup, mixing, toxicity, url_filters, warc
 from loomlake.llm.common import table
 
 #: The vocabulary that the queries encode with; operators take any path.
@@ -24,6 +24,10 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(url_filters.dated_captures(pages), url_filters.rule_entries(pages))
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.clustered(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -36,6 +40,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.built(table(spark, sf_dir, "pages"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,9 +58,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_jaccard": op2_jaccard,
     "op4_bpe": op4_bpe,
     "op5_fingerprint": op5_fingerprint,
     "op6_warc": op6_warc,
+    "op7_line_dedup": op7_line_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
