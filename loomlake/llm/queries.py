@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import ann, bpe, fingerprint, jaccard, line_dedup, mixing, toxicity, url_filters, warc
+from loomlake.llm import ann, bpe, fingerprint, jaccard, line_dedup, mixing, suffix_dedup, toxicity, url_filters, warc
 from loomlake.llm.common import table
 
 #: The vocabulary that the queries encode with; operators take any path.
@@ -28,6 +28,10 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.clustered(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -59,6 +63,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_jaccard": op2_jaccard,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_bpe": op4_bpe,
     "op5_fingerprint": op5_fingerprint,
     "op6_warc": op6_warc,
