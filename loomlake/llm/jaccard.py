@@ -37,7 +37,9 @@ SHINGLE = 5
 #: Links are pairs with 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Buckets of the token counts: a table of fixed size at every input size.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
+#: Tables of ids up to this many rows, which are counted first, are broadcast; larger ones are joined by shuffles.
+BROADCAST_ROWS = 200_000
 #: A group is closed at this many stored tokens; a meeting place is dealt into parts of about this many sets.
 GROUP_TOKENS = 100_000
 PLACE_SETS = 2_000
@@ -84,23 +86,33 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n, sid (name of the set, null if empty), place (two minimum hashes), tokens (bytes), one row for each document."""
+    """doc_id, n, sid (name of the set, null if empty), place (two minimum hashes), text, one row for each document.
+
+    The text, which compresses, stands for the tokens, which do not; it is null where the task has had the set before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes, had = _Hashes(), set()
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 part = whole.slice(k, 256)
-                found = [tokens(t, hashes, n) for t in part.column(1).to_pylist()]
-                data = [t.tobytes() for t in found]
-                sid = [xxhash.xxh3_64_intdigest(d) - 2**63 if d else None for d in data]
-                place = [int((mixed(t, 1).min() ^ mixed(mixed(t, 2).min(keepdims=True), 3)[0]).astype(np.int64)) if len(t) else None for t in found]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(map(len, found)), pa.int64()), pa.array(sid, pa.int64()), pa.array(place, pa.int64()), pa.array(data, pa.binary())], names=["doc_id", "n", "sid", "place", "tokens"])
-
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, sid long, place long, tokens binary")
-
-
-def _bucket_counts(sets: DataFrame) -> np.ndarray:
+                texts = part.column(1).to_pylist()
+                sizes, sid, place = [], [], []
+                for j, text in enumerate(texts):
+                    t = tokens(text, hashes, n)
+                    sizes.append(len(t))
+                    sid.append(xxhash.xxh3_64_intdigest(t.tobytes()) - 2**63 if len(t) else None)
+                    place.append(int((mixed(t, 1).min() ^ mixed(mixed(t, 2).min(keepdims=True), 3)[0]).astype(np.int64)) if len(t) else None)
+                    if sid[-1] is None or sid[-1] in had:
+                        texts[j] = None
+                    elif len(had) < 1_000_000:
+                        had.add(sid[-1])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(sid, pa.int64()), pa.array(place, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n", "sid", "place", "text"])
+
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, sid long, place long, text string")
+
+
+def _bucket_counts(groups: DataFrame) -> np.ndarray:
     """How many distinct sets hold a token of each bucket; every set is counted. The result's size is fixed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,9 +123,9 @@ def _bucket_counts(sets: DataFrame) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
 
-    rows = sets.select("tokens").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = groups.select("members").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(BUCKETS, np.int64)
-    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
     return out
 
 
@@ -124,12 +136,15 @@ def _prefix(t: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     return t[np.lexsort((t, common))[:keep]]
 
 
-def _groups(sets: DataFrame, percent: int) -> DataFrame:
+def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
     """gid, sids, sizes, members (bytes, end to end): a row for each group; the first member leads."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         groups: list[list] = []  # leader, tokens stored, sids, members
-        for sid, data in sorted(zip(pdf["sid"], pdf["tokens"]), key=lambda r: (len(r[1]), r[0])):
+        once = pdf.drop_duplicates("sid")
+        hashes = _Hashes()
+        found = [(sid, tokens(text, hashes, n).tobytes()) for sid, text in zip(once["sid"], once["text"])]
+        for sid, data in sorted(found, key=lambda r: (len(r[1]), r[0])):
             t = np.frombuffer(data, np.uint64)
             home = next((g for g in takewhile(lambda g: 100 * len(g[0]) >= percent * len(t), reversed(groups)) if g[1] + len(t) <= GROUP_TOKENS and linked(g[0], t, percent)), None)
             if home is None:
@@ -140,10 +155,16 @@ def _groups(sets: DataFrame, percent: int) -> DataFrame:
                 home[3].append(data)
         return pd.DataFrame({"gid": [g[2][0] for g in groups], "sids": [g[2] for g in groups], "sizes": [[len(d) // 8 for d in g[3]] for g in groups], "members": [b"".join(g[3]) for g in groups]})
 
-    salt = F.pmod(F.col("sid"), F.greatest(F.lit(1), F.ceil(F.col("here") / PLACE_SETS)))
-    busy = sets.groupBy("place").agg(F.count("*").alias("here"))
-    dealt = sets.join(busy, "place").withColumn("part", salt)
-    return dealt.select("sid", "place", "part", "tokens").groupBy("place", "part").applyInPandas(run, "gid long, sids array<long>, sizes array<int>, members binary")
+    sets = rows.where("text IS NOT NULL").select("sid", "place", "text")
+    busy = sets.groupBy("place").agg(F.count("*").alias("here")).where(F.col("here") > PLACE_SETS)
+    dealt = sets.join(_small(busy), "place", "left").withColumn("part", F.pmod("sid", F.coalesce(F.ceil(F.col("here") / PLACE_SETS), F.lit(1))))
+    return dealt.select("sid", "place", "part", "text").groupBy("place", "part").applyInPandas(run, "gid long, sids array<long>, sizes array<int>, members binary")
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """ids, to be broadcast if they are few."""
+    ids = cut(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
 def _members(sizes, data: bytes) -> list[np.ndarray]:
@@ -176,6 +197,8 @@ def _verified(pairs: DataFrame, groups: DataFrame, percent: int, leaders: bool)
             found = [(a, b) for a, b, sa, ma, sb, mb in zip(*(c.to_pylist() for c in batch.columns)) if _any_link(_members(sa, ma), _members(sb, mb), percent)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
+    pairs = cut(pairs)
+    side = side.join(_small(pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).distinct()), "gid", "left_semi")
     left = side.select(F.col("gid").alias("a"), F.col("sizes").alias("sa"), F.col("members").alias("ma"))
     right = side.select(F.col("gid").alias("b"), F.col("sizes").alias("sb"), F.col("members").alias("mb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "ma", "sb", "mb").mapInArrow(run, "a long, b long")
@@ -210,9 +233,8 @@ def clustered(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Data
     """doc_id, n_shingles, component_id of every document of docs: doc_id, text."""
     spark = docs.sparkSession
     rows = stored(_sets(docs, n))
-    sets = stored(rows.where("sid IS NOT NULL").groupBy("sid", "place").agg(F.first("tokens").alias("tokens")))
-    counts = spark.sparkContext.broadcast(_bucket_counts(sets))
-    groups = stored(_groups(sets, percent))
+    groups = stored(_groups(rows, n, percent))
+    counts = spark.sparkContext.broadcast(_bucket_counts(groups))
     postings = _postings(groups, counts, percent)
     x, y = postings.alias("x"), postings.alias("y")
     near = (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & (F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent)
