@@ -4,7 +4,8 @@ Tokens are 64-bit hashes of word shingles. Equal sets are one set. Similar sets
 share two minimum hashes meet, and each joins the first leader it is similar enough to, so a group is always one
 component. A group stores its members and the union of their tokens. Groups are candidates if their unions of rarest
 tokens meet: of a set of n tokens, n - ceil(t * n) + 1 in any fixed global order contain one of every partner's, so no
-link is lost; the order is by corpus-wide bucket counts, over all documents. Leaders of candidate groups are compared
+link is lost; with l more, every partner shares l + 1 of them, which rules out most others. The order is by corpus-wide
+bucket counts over all distinct sets. Leaders of candidate groups are compared
 first; what that connects is never opened. The other pairs are opened: a member whose overlap with the other group's
 union is below t of its own size is skipped as a whole, the rest are compared exactly, until one link is found.
 
@@ -25,7 +26,6 @@ from itertools import takewhile
 from math import ceil
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -129,9 +129,14 @@ def _bucket_counts(groups: DataFrame) -> np.ndarray:
     return out
 
 
+def least_shared(n):
+    """How many of its rarest tokens a set of n shares with a partner at least, if both take as many more."""
+    return max(1, n // 20)
+
+
 def _prefix(t: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest tokens of a set, one of which every partner shares among its own rarest ones."""
-    keep = len(t) - ceil(len(t) * percent / 100) + 1
+    """The rarest tokens of a set, of which every partner has `least_shared` among its own rarest ones."""
+    keep = len(t) - ceil(len(t) * percent / 100) + least_shared(len(t))
     common = counts[(t % np.uint64(BUCKETS)).astype(np.int64)]
     return t[np.lexsort((t, common))[:keep]]
 
@@ -139,12 +144,9 @@ def _prefix(t: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
 def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
     """gid, sids, sizes, members (bytes, end to end): a row for each group; the first member leads."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def group(found: dict[int, bytes]) -> list[list]:
         groups: list[list] = []  # leader, tokens stored, sids, members
-        once = pdf.drop_duplicates("sid")
-        hashes = _Hashes()
-        found = [(sid, tokens(text, hashes, n).tobytes()) for sid, text in zip(once["sid"], once["text"])]
-        for sid, data in sorted(found, key=lambda r: (len(r[1]), r[0])):
+        for sid, data in sorted(found.items(), key=lambda r: (len(r[1]), r[0])):
             t = np.frombuffer(data, np.uint64)
             home = next((g for g in takewhile(lambda g: 100 * len(g[0]) >= percent * len(t), reversed(groups)) if g[1] + len(t) <= GROUP_TOKENS and linked(g[0], t, percent)), None)
             if home is None:
@@ -153,12 +155,31 @@ def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
                 home[1] += len(t)
                 home[2].append(sid)
                 home[3].append(data)
-        return pd.DataFrame({"gid": [g[2][0] for g in groups], "sids": [g[2] for g in groups], "sizes": [[len(d) // 8 for d in g[3]] for g in groups], "members": [b"".join(g[3]) for g in groups]})
+        return groups
+
+    def batch_of(groups: list[list]) -> pa.RecordBatch:
+        columns = [pa.array([g[2][0] for g in groups], pa.int64()), pa.array([g[2] for g in groups], pa.list_(pa.int64())), pa.array([[len(d) // 8 for d in g[3]] for g in groups], pa.list_(pa.int32())), pa.array([b"".join(g[3]) for g in groups], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["gid", "sids", "sizes", "members"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come sorted by place and part, so a place's part is a run of rows
+        hashes, key, found, done = _Hashes(), None, {}, []
+        for batch in batches:
+            for sid, place, part, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (place, part) != key:
+                    done += group(found)
+                    key, found = (place, part), {}
+                    if sum(g[1] for g in done) > 1_000_000:
+                        yield batch_of(done)
+                        done = []
+                if sid not in found:
+                    found[sid] = tokens(text, hashes, n).tobytes()
+        yield batch_of(done + group(found))
 
     sets = rows.where("text IS NOT NULL").select("sid", "place", "text")
     busy = sets.groupBy("place").agg(F.count("*").alias("here")).where(F.col("here") > PLACE_SETS)
     dealt = sets.join(_small(busy), "place", "left").withColumn("part", F.pmod("sid", F.coalesce(F.ceil(F.col("here") / PLACE_SETS), F.lit(1))))
-    return dealt.select("sid", "place", "part", "text").groupBy("place", "part").applyInPandas(run, "gid long, sids array<long>, sizes array<int>, members binary")
+    return dealt.select("sid", "place", "part", "text").repartition("place", "part").sortWithinPartitions("place", "part").mapInArrow(run, "gid long, sids array<long>, sizes array<int>, members binary")
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -238,7 +259,9 @@ def clustered(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Data
     postings = _postings(groups, counts, percent)
     x, y = postings.alias("x"), postings.alias("y")
     near = (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & (F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent)
-    pairs = cut(x.join(y, near).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).distinct())
+    fewest = F.greatest(F.lit(1), F.least(F.expr("x.least div 20"), F.expr("y.least div 20")))
+    shared = x.join(y, near).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b"), fewest.alias("fewest"))
+    pairs = cut(shared.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("fewest").alias("fewest")).where("n >= fewest").select("a", "b"))
     led = cut(_verified(pairs, groups, percent, leaders=True))
     known = components(led)
     name = lambda c: known.select(F.col("node").alias(c), F.col("label").alias("label_" + c))
