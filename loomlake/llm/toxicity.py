@@ -1,10 +1,13 @@
 """Toxicity by compression distance: which of two zstandard dictionaries makes a window shorter?
 
-Both dictionaries begin with the same base, trained by zstandard on windows of ordinary texts. The toxic one ends with the
-words that tell toxic texts apart, the ordinary one with as many bytes that match nothing, so offsets cost the same in
-both, what both know cancels out, and most windows of ordinary text have distance 0. A document's evidence is its two
-largest window distances and its number of windows; a logistic model, fitted to labelled documents that did not build the
-dictionaries, turns them into a score, and 0.5 is the calibrated threshold.
+Both dictionaries begin with the same base: one trained by zstandard on windows of ordinary texts, then ordinary words
+that share the longest pieces with telling words. The toxic one ends with the words that tell toxic texts apart, the
+ordinary one with as many bytes that match nothing, so offsets cost the same in both and what both know cancels out.
+A word tells if it is significantly commoner in toxic texts, at a false discovery rate over all words that occur twice,
+so the dictionary's size follows from training and a rare language's words enter as well. Matches have six bytes at
+least. A document's evidence is its two largest window distances, its number of windows and how many windows reach each
+distance; a logistic model turns it into a score, and 0.5 is the calibrated threshold. It is fitted to the evidence of
+each half of the labelled documents by dictionaries of the other half; scoring takes dictionaries of both.
 
 Learning reads a bounded sample: at most `per_class` labelled rows of each class (the smallest MD5 of their ids), of each
 the first `sample_bytes` bytes. Scoring reads every byte of every document, window by window; windows overlap, so no
@@ -22,6 +25,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import pyarrow as pa
 import zstandard
@@ -38,19 +42,17 @@ class Settings:
 
     per_class: int = 3000
     sample_bytes: int = 8192
-    window: int = 256
+    window: int = 64
     overlap: int = 16
-    level: int = 19
     base_bytes: int = 4096
-    toxic_bytes: int = 4096
-    #: A telling word is in this share of the toxic texts that the commonest telling word is in, and `ratio` times as common as in ordinary ones.
-    relative_rate: float = 0.25
-    ratio: float = 20.0
+    #: Telling words are over `ratio` times as common in toxic texts, at this false discovery rate.
+    false_rate: float = 0.05
+    ratio: float = 5.0
 
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs: two dictionaries and four weights."""
+    """What scoring needs: two dictionaries and the weights of the features."""
 
     settings: Settings
     ordinary: bytes
@@ -63,7 +65,7 @@ class Model:
             prior = self.weights[0]
             return lambda text: prior
         s, step = self.settings, self.settings.window - self.settings.overlap
-        compress = [_compressor(d, s.level).compress for d in (self.ordinary, self.toxic)]
+        compress = [_compressor(d).compress for d in (self.ordinary, self.toxic)]
 
         def score(text: str | None) -> float:
             found = evidence(text.encode("utf-8", "replace") if text else b"", s.window, step, *compress)
@@ -73,46 +75,85 @@ class Model:
         return score
 
 
-def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    how = zstandard.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=17, search_log=6, min_match=6, target_length=64, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
     held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    held.precompute_compress(level=level)
-    return zstandard.ZstdCompressor(level=level, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+    held.precompute_compress(compression_params=how)
+    return zstandard.ZstdCompressor(dict_data=held, compression_params=how)
 
 
-def evidence(data: bytes, window: int, step: int, ordinary, toxic) -> tuple[int, int, int]:
-    """The two largest window distances of data, at least 0, and the number of windows."""
-    most = second = windows = 0
+def evidence(data: bytes, window: int, step: int, ordinary, toxic) -> tuple[int, int, list[int]]:
+    """The two largest window distances of data, at least 0, and the numbers of windows by distance, 0 to 6 and more."""
+    most = second = 0
+    counts = [0] * 7
     for at in range(0, max(1, len(data) - window + step) if data else 0, step):
         piece = data[at : at + window]
         distance = len(ordinary(piece)) - len(toxic(piece))
-        windows += 1
+        counts[max(0, min(6, distance))] += 1
         if distance > second:
             most, second = (distance, most) if distance > most else (most, distance)
-    return most, second, windows
+    return most, second, counts
 
 
-def features(most: int, second: int, windows: int) -> tuple[float, ...]:
-    return 1.0, min(most, 12), min(second, 12), math.log1p(windows)
+def features(most: int, second: int, counts: list[int]) -> tuple[float, ...]:
+    windows = sum(counts)
+    reached = [sum(counts[k:]) for k in range(7)]
+    shares = (reached[k] / (windows + 1) for k in (2, 4, 6))
+    return 1.0, math.log1p(windows), min(most, 12), min(second, 12), *(math.log1p(n) for n in reached[2:]), *shares
 
 
-def _telling(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> set[bytes]:
-    """Words far commoner in toxic texts; texts with one ending count once, as copies do."""
-    found, seen = defaultdict(set), set()
-    for t in toxic:
-        end = t[-64:]
-        seen.add(end)
-        for w in {w.strip(_EDGE) for w in _WORD.findall(t.lower())}:
+def _words(text: bytes) -> set[bytes]:
+    return {w.strip(_EDGE) for w in _WORD.findall(text.lower())}
+
+
+def _found(texts: list[bytes]) -> tuple[dict[bytes, set[bytes]], int]:
+    """The endings of the texts with each word, and the number of endings: texts with one ending count once, as copies do."""
+    found = defaultdict(set)
+    for t in texts:
+        for w in _words(t):
             if len(w) > 2:
-                found[w].add(end)
-    usual = Counter(w for t in ordinary for w in {w.strip(_EDGE) for w in _WORD.findall(t.lower())})
-    n, m = len(seen), max(1, len(ordinary))
-    rates = {w: len(v) / n for w, v in found.items() if len(v) > 1 and len(v) / n > s.ratio * (usual[w] + 0.5) / m}
-    least = s.relative_rate * max(rates.values(), default=0)
-    return {w for w, r in rates.items() if r >= least}
+                found[w].add(t[-64:])
+    return found, max(1, len({t[-64:] for t in texts}))
+
+
+@cache
+def _chance(k: int, n: int, q: float) -> float:
+    """The probability that k or more of n texts are toxic if each is with probability q."""
+    log = lambda j: math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(q) + (n - j) * math.log1p(-q)
+    return math.fsum(math.exp(log(j)) for j in range(k, n + 1))
+
+
+def _telling(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> set[bytes]:
+    """Words significantly commoner in toxic texts, by the step-up rule over all words that are in two texts or more."""
+    (found, n), (usual, m) = _found(toxic), _found(ordinary)
+    tested = sum(len(v) + len(usual.get(w, ())) > 1 for w, v in found.items()) + sum(len(v) > 1 for w, v in usual.items() if w not in found)
+    chances = []
+    for w, v in found.items():
+        k, other = len(v), len(usual.get(w, ()))
+        if k > 1 and k / n > s.ratio * other / m:
+            chances.append((_chance(k, k + other, n / (n + m)), w))
+    chances.sort()
+    last = max((i for i, (p, _) in enumerate(chances, 1) if p <= s.false_rate * i / tested), default=0)
+    return {w for _, w in chances[:last]}
+
+
+def _alike(telling: set[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Ordinary words that hold the longest pieces, of four bytes or more, of telling words."""
+    usual = Counter(w for t in ordinary for w in _words(t))
+    whole, out = b" " + b" ".join(w for w, _ in sorted(usual.items(), key=lambda r: (-r[1], r[0])) if w and w not in telling) + b" ", {}
+    for word in (b" " + w + b" " for w in sorted(telling)):
+        for i in range(len(word) - 3):
+            at, end = -1, i + 4
+            while end <= len(word) and (k := whole.find(word[i:end])) >= 0:
+                at, end = k, end + 1
+            if at >= 0:
+                # a piece may begin or end with the space beside its word
+                out[whole[whole.rfind(b" ", 0, at + 1) + 1 : whole.index(b" ", max(at + 1, at + end - i - 2))]] = None
+    return list(out)
 
 
 def _dictionaries(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> tuple[bytes, bytes]:
-    windows = [t[k : k + s.window] for t in ordinary for k in range(0, len(t), s.window)]
+    windows = [t[k : k + 256] for t in ordinary for k in range(0, len(t), 256)]
     try:
         base = zstandard.train_dictionary(s.base_bytes, windows).as_bytes()
     except zstandard.ZstdError:  # too few windows to train on
@@ -120,7 +161,8 @@ def _dictionaries(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> tup
     telling, words = _telling(toxic, ordinary, s), {}
     for t in toxic:
         words |= {w: None for m in _WORD.finditer(t) if (w := m.group().strip(_EDGE)).lower() in telling}
-    tail = b" " + b" ".join(words)[: s.toxic_bytes] + b" "
+    base += b" " + b" ".join(_alike(telling, ordinary))
+    tail = b" " + b" ".join(words) + b" "
     return base + bytes(len(tail)), base + tail
 
 
@@ -138,22 +180,24 @@ def _logistic(xs: list[tuple[float, ...]], ys: list[int]) -> tuple[float, ...]:
 
 
 def fit(rows: list[tuple[bytes, int]], s: Settings = Settings(), prior: float | None = None) -> Model:
-    """A model of (text in UTF-8, label) rows: every other row builds the dictionaries, the rest calibrate.
+    """A model of (text in UTF-8, label) rows: each half calibrates the dictionaries of the other one.
 
     prior: the share of toxic ones among all labelled rows, if the sample of the classes was uneven.
     """
     share = sum(y for _, y in rows) / len(rows) if rows else 0.0
     prior = share if prior is None else prior
-    build, calibrate = [[r for r in rows[k::2] if r[0]] for k in (0, 1)]
-    toxic, ordinary = ([t for t, y in build if y == k] for k in (1, 0))
-    if not toxic or not ordinary or len({y for _, y in calibrate}) < 2:
+    halves = [[r for r in rows[k::2] if r[0]] for k in (0, 1)]
+    if any(len({y for _, y in half}) < 2 for half in halves):
         return Model(s, b"", b"", (prior,))
-    held = _dictionaries(toxic, ordinary, s)
-    compress, step = [_compressor(d, s.level).compress for d in held], s.window - s.overlap
-    seen = [evidence(t, s.window, step, *compress) for t, _ in calibrate]
-    constant, *weights = _logistic([features(*e) for e in seen], [y for _, y in calibrate])
+    built = lambda part: _dictionaries(*([t for t, y in part if y == k] for k in (1, 0)), s)
+    step, xs, ys = s.window - s.overlap, [], []
+    for build, calibrate in (halves, halves[::-1]):
+        compress = [_compressor(d).compress for d in built(build)]
+        xs += [features(*evidence(t, s.window, step, *compress)) for t, _ in calibrate]
+        ys += [y for _, y in calibrate]
+    constant, *weights = _logistic(xs, ys)
     odds = lambda q: math.log(q / (1 - q))
-    return Model(s, *held, (constant + odds(prior) - odds(sum(y for _, y in calibrate) / len(calibrate)), *weights))
+    return Model(s, *built([r for r in rows if r[0]]), (constant + odds(prior) - odds(sum(ys) / len(ys)), *weights))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -90,3 +90,23 @@ def test_toxicity_without_labels(spark, marked):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.toxicity(docs, none).collect()} == {0.0}
     assert toxicity.toxicity(docs.limit(0), none).collect() == []
+
+
+def test_toxicity_of_a_rare_language():
+    rng = random.Random(3)
+    tongues = [["".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(400)] for letters in ("abcdefghilm", "noprstuvwyz")]
+    insults = [["zwixhead", "grumfool"], ["kkaqqul", "jjibqqox"]]
+
+    def text(tongue, toxic):
+        words = [rng.choice(tongues[tongue]) for _ in range(rng.randrange(30, 300))]
+        for _ in range(6 * toxic):
+            words.insert(rng.randrange(len(words)), rng.choice(insults[tongue]))
+        return " ".join(words)
+
+    # one toxic text in eight is in the second language
+    model = toxicity.fit([(text(int(k % 32 < 4), int(k % 4 == 0)).encode(), int(k % 4 == 0)) for k in rng.sample(range(1600), 1600)])
+    assert all(w.encode() in model.toxic for both in insults for w in both)
+    score = model.scorer()
+    for tongue in (0, 1):
+        assert sum(score(text(tongue, 1)) >= 0.5 for _ in range(50)) >= 45
+        assert sum(score(text(tongue, 0)) >= 0.5 for _ in range(50)) <= 5
