@@ -9,8 +9,8 @@ least. A document's evidence is its two largest window distances, its number of
 distance; a logistic model turns it into a score, and 0.5 is the calibrated threshold. It is fitted to the evidence of
 each half of the labelled documents by dictionaries of the other half; scoring takes dictionaries of both.
 
-Learning reads a bounded sample: at most `per_class` labelled rows of each class (the smallest MD5 of their ids), of each
-the first `sample_bytes` bytes. Scoring reads every byte of every document, window by window; windows overlap, so no
+Learning reads a bounded sample: at most `per_class` labelled rows of each class (the smallest MD5 of their ids), with
+their whole texts, which the driver holds. Scoring reads every byte of every document, window by window; windows overlap, so no
 passage of up to `overlap` bytes is split. Memory is bounded by one Arrow batch.
 
 Defined cases: null and empty texts have no window and the score of evidence 0; without labelled rows of both classes
@@ -41,7 +41,6 @@ class Settings:
     """Parameters; all of them documented limits of the fit or fixed window sizes."""
 
     per_class: int = 3000
-    sample_bytes: int = 8192
     window: int = 64
     overlap: int = 16
     base_bytes: int = 4096
@@ -214,11 +213,10 @@ def learned(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mod
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     spark = docs.sparkSession
     chosen = spark.createDataFrame([(int(i), int(y)) for i, y in zip(ids["doc_id"], ids["toxic"])], "doc_id long, toxic int")
-    first = F.substring(F.encode("text", "utf-8"), 1, s.sample_bytes)
-    rows = docs.where("text IS NOT NULL").select("doc_id", first.alias("head")).join(F.broadcast(chosen), "doc_id").select("doc_id", "head", "toxic").toPandas()
-    rows = sorted((int(i), bytes(h), int(y)) for i, h, y in zip(rows["doc_id"], rows["head"], rows["toxic"]))
+    rows = docs.where("text IS NOT NULL").select("doc_id", F.encode("text", "utf-8").alias("data")).join(F.broadcast(chosen), "doc_id").select("doc_id", "data", "toxic").toPandas()
+    rows = sorted((int(i), bytes(t), int(y)) for i, t, y in zip(rows["doc_id"], rows["data"], rows["toxic"]))
     both = all(counts.get(k) for k in (0, 1))
-    return fit([(h, y) for _, h, y in rows], s, counts[1] / sum(counts.values()) if both else None)
+    return fit([(t, y) for _, t, y in rows], s, counts[1] / sum(counts.values()) if both else None)
 
 
 def scored(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:

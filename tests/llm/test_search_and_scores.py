@@ -110,3 +110,10 @@ def test_toxicity_of_a_rare_language():
     for tongue in (0, 1):
         assert sum(score(text(tongue, 1)) >= 0.5 for _ in range(50)) >= 45
         assert sum(score(text(tongue, 0)) >= 0.5 for _ in range(50)) <= 5
+
+
+def test_toxicity_learns_from_whole_texts(spark, marked):
+    late = [(i, "plain words here " * 600 * y + t, y) for i, t, y in marked[:200]]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in late], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in late], "doc_id long, toxic int")
+    assert b"zwixhead" in toxicity.learned(docs, labels).toxic
