@@ -130,8 +130,8 @@ def toy_token_ids(spark, sf_dir):
 
 @query("SELECT coalesce(source, 'TOTAL') AS dataset, sum(length(text) + 1)::BIGINT AS tokens, count(*) AS docs FROM documents WHERE NOT contains(text, '<|im_') GROUP BY ROLLUP (source)")
 def token_rollup(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").where(~F.contains("text", F.lit("<|im_")))
-    return docs.rollup("source").agg(F.sum(F.length("text") + 1).alias("tokens"), F.count("*").alias("docs")).select(F.coalesce("source", F.lit("TOTAL")).alias("dataset"), "tokens", "docs")
+    docs = read(spark, sf_dir, "documents").select("source", (F.coalesce(F.size(T.character_ids(F.col("text"))), F.lit(0)) + 1).cast("long").alias("n"))
+    return docs.rollup("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs")).select(F.coalesce("source", F.lit("TOTAL")).alias("dataset"), "tokens", "docs")
 
 
 @query("SELECT doc_id, coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM documents WHERE n_chars > 0")

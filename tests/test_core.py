@@ -95,3 +95,10 @@ def test_resume_reads_each_file_once(spark, tmp_path):
 def test_ids_end_with_eos(spark):
     df = spark.createDataFrame([(1, "<|im_start|>a\r")], "doc_id long, text string")
     assert with_ids(df).first().ids == [2, 4 + 97, 4 + 13, 1]
+
+
+def test_token_rollup_counts_every_document(spark, tmp_path):
+    texts = ["abc", "a<|im_start|>b<|im_end|>", "", None]
+    spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.dataset: (r.tokens, r.docs) for r in QUERIES["token_rollup"](spark, str(tmp_path)).collect()}
+    assert got == {"s": (11, 4), "TOTAL": (11, 4)}
