@@ -37,6 +37,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """df with a unique number for each row in the column __row, stored, so that every later read has the same numbers."""
+    return stored(df.withColumn("__row", F.monotonically_increasing_id()))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

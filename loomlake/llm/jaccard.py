@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import cut, stored
+from loomlake.llm.common import cut, keyed, stored
 
 SHINGLE = 5
 #: Links are pairs with 100 * intersection >= PERCENT * union.
@@ -276,6 +276,13 @@ def clustered(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> Data
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component: the one with the smallest id; documents without an id stay."""
-    kept = clustered(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.where("doc_id IS NULL").unionByName(docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi"))
+    """docs with one row of each component: one with the smallest id, or without an id if none has one.
+
+    Rows are clustered under numbers of their own, so rows that repeat an id count as any others.
+    """
+    rows = keyed(docs)
+    found = clustered(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
+    named = found.join(rows.select("__row", "doc_id"), "__row")
+    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
+    kept = named.groupBy("component_id").agg(F.min(first)["__row"].alias("__row")).select("__row")
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)

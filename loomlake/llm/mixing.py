@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from loomlake.llm.common import cut, n_words
+from loomlake.llm.common import cut, keyed, n_words
 
 #: Leading hexadecimal digits of the shuffle key that name a piece of a source: 16 ** 3 pieces.
 PIECE_DIGITS = 3
@@ -58,9 +58,9 @@ def source_targets(per_source: DataFrame, weights: Sequence[float], share: float
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def queued(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, limit: float = 2.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, before: each document's place in its source's queue, one row each."""
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+def queued(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, limit: float = 2.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carried: Sequence[str] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, before, carried: each document's place in its source's queue, one row each."""
+    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), *carried)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = cut(sized.withColumn("shuffled", key).withColumn("piece", F.substring(key, 1, PIECE_DIGITS)))
     pieces = sized.groupBy("source", "piece").agg(F.sum("size").alias("piece_size"))
@@ -68,11 +68,11 @@ def queued(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     pieces = pieces.withColumn("piece_before", F.coalesce(F.sum("piece_size").over(earlier), F.lit(0)))
     targets = source_targets(pieces.groupBy("source").agg(F.sum("piece_size").alias("source_size")), weights, share, limit)
     known = pieces.alias("p").join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select("p.source", "piece", "piece_before", "source_size", "target")
-    inside = W.partitionBy("k", "piece").orderBy("shuffled", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("k", "piece").orderBy("shuffled", "doc_id", "size", *carried).rowsBetween(W.unboundedPreceding, -1)
     named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
     both = sized.withColumn("k", named).join(known.withColumn("k", named).drop("source"), ["k", "piece"])
     both = both.withColumn("before", F.col("piece_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return both.select("doc_id", "source", "size", "source_size", "target", "before")
+    return both.select("doc_id", "source", "size", "source_size", "target", "before", *carried)
 
 
 def served(queue: DataFrame, limit: float = 2.0) -> DataFrame:
@@ -99,15 +99,16 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     """The mix itself: docs' rows and columns, once for each pass that takes them, range-sorted by virtual finish time.
 
     A document that is cut by the budget keeps its first words up to the cut, and n_chars where there is such a column.
-    Ids must be unique: rows are matched to their places by id.
+    Rows are matched to their places by numbers of their own, so ids may repeat.
     """
-    plan = served(queued(docs, weights, share, limit), limit).select(F.col("doc_id").alias("__id"), F.col("pass").alias("__pass"), F.col("finish").alias("__finish"), F.col("served").alias("__served"), F.col("size").alias("__size"))
-    rows = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("__id")))
+    keys = keyed(docs)
+    plan = served(queued(keys, weights, share, limit, carried=["__row"]), limit).select("__row", F.col("doc_id").alias("__id"), F.col("pass").alias("__pass"), F.col("finish").alias("__finish"), F.col("served").alias("__served"), F.col("size").alias("__size"))
+    rows = keys.join(plan, "__row")
     head = F.expr(r"array_join(slice(regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0), 1, cast(__served as int)), '')")
     rows = rows.withColumn("text", F.when(F.col("__served") < F.col("__size"), head).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.orderBy("__finish", "__id", "__pass").select(*docs.columns)
+    return rows.orderBy("__finish", "__id", "__row", "__pass").select(*docs.columns)
 
 
 ORACLE = r"""

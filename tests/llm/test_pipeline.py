@@ -163,3 +163,18 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_that_repeat_an_id(spark):
+    from loomlake.llm import jaccard, mixing
+
+    line = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    # two equal rows, a near copy with their id, another text with their id, a copy without an id, and a lone row
+    rows = [(1, line(1)), (1, line(1)), (1, line(1) + " more"), (1, line(2)), (None, line(1)), (2, line(3)), (3, None)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    kept = [(r.doc_id, (r.text or "").split(" ")[0]) for r in jaccard.representatives(docs.repartition(3)).collect()]
+    assert sorted(kept) == [(1, "w1x0"), (1, "w2x0"), (2, "w3x0"), (3, "")]
+    got = [len(r.text.split(" ")) for r in mixing.mixed(docs.repartition(3), share=1.0).collect()]
+    assert sum(got) == 241 and len(got) == 6
+    got = [len(r.text.split(" ")) for r in mixing.mixed(docs.repartition(3)).collect()]
+    assert sum(got) == round(1.5 * 241 + 1e-9)
