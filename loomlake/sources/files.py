@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_rows(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """Rows of Parquet, JSON lines, a JSON array, CSV or TSV files; values of CSV and TSV are strings."""
+    """Rows of Parquet, JSON lines, a JSON array, CSV or TSV files; values of CSV and TSV are strings; a bad JSON line raises."""
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "jsonl":
-        return spark.read.json(path)
+        return spark.read.option("mode", "FAILFAST").json(path)
     if fmt == "json":
         return spark.read.option("multiLine", True).json(path)
     if fmt in ("csv", "tsv"):

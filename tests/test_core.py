@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomlake.functions import text as T
 from loomlake.operators import chat, filters, sequence
 from loomlake.plans.queries import ORACLES, QUERIES, with_ids
+from loomlake.sources.files import read_rows
 from loomlake.streaming.resume import process_new
 
 SF = "/root/testdata/sf0.001"
@@ -102,3 +103,9 @@ def test_token_rollup_counts_every_document(spark, tmp_path):
     spark.createDataFrame([(k, t, "s") for k, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.dataset: (r.tokens, r.docs) for r in QUERIES["token_rollup"](spark, str(tmp_path)).collect()}
     assert got == {"s": (11, 4), "TOTAL": (11, 4)}
+
+
+def test_bad_json_lines_raise(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"text": "a"}\n{"text": \n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_rows(spark, str(tmp_path / "x.jsonl"), "jsonl").collect()
