@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -11,35 +14,73 @@ from pyspark.sql import functions as F
 
 #: Fixed value: a word is a run of bytes other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Spark's setting that removes the shuffle files of a query once it has ended.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: the cluster's setting, or one of our own where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: the cluster's setting; in local mode, where it is unset, one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        current = spark.sparkContext.getCheckpointDir()
-        named = current or tempfile.mkdtemp(prefix="loomlake-checkpoint-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="loomlake-")
+        atexit.register(shutil.rmtree, named, True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint; for narrow tables."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, read again, and its path; the query's shuffle files go at once."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_TIDY)
+        else:
+            spark.conf.set(_TIDY, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder and read again; for wide tables."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written in the shared folder and read again, for results that outlive the work on them."""
+    return _written(df)[0]
+
+
+class Scratch:
+    """Tables in the shared folder that are needed only while a result is made: the end of `with` removes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.tables: list[tuple[DataFrame, str]] = []
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        self.tables.append(_written(df))
+        return self.tables[-1][0]
+
+    def drop(self, *dropped: DataFrame) -> None:
+        """Remove tables that nothing reads any more."""
+        for df, path in [t for t in self.tables if any(t[0] is d for d in dropped)]:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.tables = [t for t in self.tables if not any(t[0] is d for d in dropped)]
 
+    def __enter__(self) -> Scratch:
+        return self
 
-def keyed(df: DataFrame) -> DataFrame:
-    """df with a unique number for each row in the column __row, stored, so that every later read has the same numbers."""
-    return stored(df.withColumn("__row", F.monotonically_increasing_id()))
+    def __exit__(self, *_) -> None:
+        self.drop(*[df for df, _ in self.tables])
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a reliable checkpoint; for narrow tables."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -56,5 +97,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name like `name` that docs does not have."""
+    had = {c.lower() for c in docs.columns}
+    while name.lower() in had:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

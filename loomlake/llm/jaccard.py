@@ -1,18 +1,25 @@
 """N-gram Jaccard join over a token-group matrix.
 
-Tokens are 64-bit hashes of word shingles. Equal sets are one set. Similar sets are partitioned into groups: sets that
-share two minimum hashes meet, and each joins the first leader it is similar enough to, so a group is always one
-component. A group stores its members and the union of their tokens. Groups are candidates if their unions of rarest
-tokens meet: of a set of n tokens, n - ceil(t * n) + 1 in any fixed global order contain one of every partner's, so no
-link is lost; with l more, every partner shares l + 1 of them, which rules out most others. The order is by corpus-wide
-bucket counts over all distinct sets. Leaders of candidate groups are compared
-first; what that connects is never opened. The other pairs are opened: a member whose overlap with the other group's
-union is below t of its own size is skipped as a whole, the rest are compared exactly, until one link is found.
-
-Sizes: copies and near copies collapse before anything is joined, so a group of copies with a third of all rows is a
-few rows. Groups are closed at `group_tokens` stored tokens and meeting places are salted, which makes more groups but
-never loses a link, as candidates are searched between all groups. The bucket counts are a table of fixed size.
-Components are found by alternating star contraction on group edges, with reliable checkpoints.
+Tokens are 64-bit hashes of word shingles; equal sets are one set, named by 128 bits. A set of n tokens and any partner
+share at least l of the least n - ceil(t * n) + l tokens of either (t the threshold, l = n div 20), whatever the order of
+tokens, as long as it is the same everywhere; here it is the order of their values. So:
+
+1. Matrix. These tokens of every set are counted over the whole corpus. A set that shares fewer than l of them with other
+   sets is linked with nothing: nearly all documents that are no near copies end here, and only hashes were moved.
+2. Groups. What is left is partitioned: sets that share two minimum hashes meet, and each joins the first leader it is
+   similar enough to, so a group is always one component. A group stores the union of its tokens and a bit matrix that
+   says which member has which of them.
+3. Candidates. A set's shared tokens but its l - 1 commonest ones contain one of every partner's. Groups that share such
+   a token are paired with one common centre for each token first; what that connects is one component and is never paired
+   again, so a cluster of near copies costs a pair for each group. Of all other groups with a common token every pair whose
+   sizes and token bitmaps leave room for a link is a candidate.
+4. Opening. Of a candidate pair, members whose overlap with the other group's union is below t of their own size are
+   skipped; if any are left, the bit matrices are multiplied, which gives the exact overlaps.
+
+Sizes: tokens with a large share of all occurrences are found in counts of fixed size, which every document enters; they
+are known to be shared and are dealt by set instead of by token, so no token is hot. Groups are closed at `group_cells`
+cells and meeting places are dealt into parts of `PLACE_SETS` sets, which makes more groups but loses no link. Components
+are found by alternating star contraction on group edges. Everything stored on the way is removed at the end.
 
 Defined cases: null and empty texts, and texts without words, have the empty set and are linked with nothing; fewer words
 than a shingle are one token; rows with equal ids are each returned; null ids take part, and a component's id is the
@@ -31,28 +38,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import cut, keyed, stored
+from loomlake.llm.common import Scratch, fresh, n_words, partitions, stored
 
 SHINGLE = 5
 #: Links are pairs with 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Buckets of the token counts: a table of fixed size at every input size.
-BUCKETS = 1 << 18
-#: Tables of ids up to this many rows, which are counted first, are broadcast; larger ones are joined by shuffles.
-BROADCAST_ROWS = 200_000
-#: A group is closed at this many stored tokens; a meeting place is dealt into parts of about this many sets.
-GROUP_TOKENS = 100_000
+#: Buckets of the counts that find hot tokens, and the occurrences from which a bucket is hot: this many and this share.
+BUCKETS = 1 << 20
+HOT_ROWS = 10_000
+HOT_SHARE = 1 / (1 << 15)
+#: A group is closed at this many cells of its bit matrix; a meeting place is dealt into parts of about this many sets.
+GROUP_CELLS = 4_000_000
 PLACE_SETS = 2_000
+#: Postings that one task of the matrix sorts.
+TASK_POSTINGS = 4_000_000
+#: Rounds in which groups meet a centre before all remaining pairs are made.
+CENTRE_ROUNDS = 3
 
 _ODD = [np.uint64(v | 1) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+_BASE = 0x2545F4914F6CDD1D
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Bytes of text that are hashed at once.
+_BLOCK = 1 << 20
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -63,18 +71,73 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def tokens(text: str | None, hashes: dict, n: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct tokens of a text."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    if len(h) < n:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words))], np.uint64)
-    total = np.zeros(len(h) - n + 1, np.uint64)
+def _power(n: int) -> list[np.ndarray]:
+    """The first n powers of the base and of its inverse, modulo 2 ** 64."""
+    if len(_powers[0]) < n:
+        size = max(n, _BLOCK + 1)
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            step = np.full(size, base, np.uint64)
+            step[0] = 1
+            _powers[k] = np.cumprod(step)
+    return _powers
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The starts and hashes of the words of data."""
+    b = np.frombuffer(data, np.uint8)
+    blank = np.concatenate([[True], _BLANK[b], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    up, down = _power(len(b) + 1)
+    total = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=total[1:])
+    return starts, mixed((total[ends] - total[starts]) * down[starts])
+
+
+def token_sets(texts: list[str | None], n: int = SHINGLE) -> list[np.ndarray]:
+    """The sorted distinct tokens of each text."""
+    out: list[np.ndarray] = []
+    block: list[bytes] = []
+    size = 0
+    for text in texts:
+        block.append((text or "").encode("utf-8", "surrogatepass").lower())
+        size += len(block[-1]) + 1
+        if size >= _BLOCK:
+            out += _block_sets(block, n)
+            block, size = [], 0
+    return out + _block_sets(block, n)
+
+
+def _block_sets(block: list[bytes], n: int) -> list[np.ndarray]:
+    if not block:
+        return []
+    starts, h = _word_hashes(b"\n".join(block))
+    first = np.searchsorted(starts, np.cumsum([0] + [len(x) + 1 for x in block]))
+    salts = [_ODD[k % 5] + np.uint64(2 * (k // 5)) for k in range(n)]
+    rolled = np.zeros(max(0, len(h) - n + 1), np.uint64)
     for k in range(n):
-        total = mixed(total + h[k : k + len(total)] * _ODD[k % 5], k)
-    return np.unique(total)
+        rolled += h[k : k + len(rolled)] * salts[k]
+    rolled = mixed(rolled, 1)
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a >= n:
+            out.append(np.unique(rolled[a : b - n + 1]))
+        elif b > a:
+            few = sum((h[a + k : a + k + 1] * salts[k] for k in range(b - a)), np.array([b - a], np.uint64))
+            out.append(mixed(few, 2))
+        else:
+            out.append(np.empty(0, np.uint64))
+    return out
+
+
+def least_shared(n):
+    """How many tokens of the prefixes of a set of n tokens and of any partner are common, at least."""
+    return max(1, n // 20)
+
+
+def prefix(t: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The least tokens of a set, of which `least_shared` are among those of every partner."""
+    return t[: len(t) - ceil(len(t) * percent / 100) + least_shared(len(t))]
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -85,157 +148,367 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n, sid (name of the set, null if empty), place (two minimum hashes), text, one row for each document.
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal keys, and the end."""
+    n = len(keys[0])
+    new = np.zeros(max(0, n - 1), bool)
+    for k in keys:
+        new |= k[1:] != k[:-1]
+    return np.r_[0, np.flatnonzero(new) + 1, n] if n else np.zeros(1, np.int64)
+
+
+def _batch(names: str, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=names.split())
+
+
+_SETS = "doc_id long, hash long, n long, sid long, sid2 long, place long, text string, bucket long"
+
+
+def _sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """A row for each document: its key, size and set's name; the text where the task has not had the set before.
 
-    The text, which compresses, stands for the tokens, which do not; it is null where the task has had the set before.
+    Rows with a bucket hold counts of tokens instead (n): those of the task that could be hot.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, had = _Hashes(), set()
+        had, counts = set(), np.zeros(BUCKETS, np.int64)
+        names = "doc_id hash n sid sid2 place text bucket"
         for whole in batches:
-            for k in range(0, whole.num_rows, 256):
-                part = whole.slice(k, 256)
-                texts = part.column(1).to_pylist()
-                sizes, sid, place = [], [], []
-                for j, text in enumerate(texts):
-                    t = tokens(text, hashes, n)
-                    sizes.append(len(t))
-                    sid.append(xxhash.xxh3_64_intdigest(t.tobytes()) - 2**63 if len(t) else None)
-                    place.append(int((mixed(t, 1).min() ^ mixed(mixed(t, 2).min(keepdims=True), 3)[0]).astype(np.int64)) if len(t) else None)
-                    if sid[-1] is None or sid[-1] in had:
+            for k in range(0, whole.num_rows, 512):
+                part = whole.slice(k, 512)
+                texts = part.column(2).to_pylist()
+                found, name, place = token_sets(texts, n), [], []
+                for j, t in enumerate(found):
+                    if not len(t):
+                        name.append((None, None))
+                        place.append(None)
                         texts[j] = None
-                    elif len(had) < 1_000_000:
-                        had.add(sid[-1])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(sid, pa.int64()), pa.array(place, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n", "sid", "place", "text"])
+                        continue
+                    digest = xxhash.xxh3_128_digest(t.tobytes())
+                    name.append(tuple(np.frombuffer(digest, "<i8").tolist()))
+                    place.append(int((mixed(t, 1).min() ^ mixed(mixed(t, 2).min(keepdims=True), 3)[0]).astype(np.int64)))
+                    if digest in had:
+                        texts[j] = None
+                    else:
+                        if len(had) < 1_000_000:
+                            had.add(digest)
+                        np.add.at(counts, (prefix(t, percent) % np.uint64(BUCKETS)).astype(np.int64), 1)
+                long = lambda v: pa.array(v, pa.int64())
+                yield _batch(names, part.column(0), part.column(1), long([len(t) for t in found]), long([x for x, _ in name]), long([y for _, y in name]), long(place), pa.array(texts, pa.string()), pa.nulls(len(found), pa.int64()))
+        many = np.flatnonzero(counts >= max(8, counts.sum() * HOT_SHARE / 4))
+        none = pa.nulls(len(many), pa.int64())
+        yield _batch(names, none, none, pa.array(counts[many]), none, none, none, pa.nulls(len(many), pa.string()), pa.array(many))
+
+    return docs.mapInArrow(run, _SETS)
+
+
+def _dealt(part: np.ndarray, *columns: np.ndarray):
+    """The part and the bytes of the columns, for each part that occurs."""
+    order = np.argsort(part, kind="stable")
+    part, columns = part[order], [c[order] for c in columns]
+    at = _runs(part)
+    for a, b in zip(at[:-1], at[1:]):
+        yield int(part[a]), *(c[a:b].tobytes() for c in columns)
+
+
+def _shared(firsts: DataFrame, hot: np.ndarray, parts: int, n: int, percent: int) -> DataFrame:
+    """sid, k, tokens: the tokens of each set's prefix that other sets have in theirs, rarest first; sets without are left out."""
+    held = firsts.sparkSession.sparkContext.broadcast(np.packbits(hot > 0)), firsts.sparkSession.sparkContext.broadcast(dict(zip(np.flatnonzero(hot).tolist(), hot[hot > 0].tolist())))
+
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_hot, names = np.unpackbits(held[0].value).astype(bool), "part kind tokens sids"
+        for whole in batches:
+            for k in range(0, whole.num_rows, 4096):
+                rows = whole.slice(k, 4096)
+                heads = [prefix(t, percent) for t in token_sets(rows.column(1).to_pylist(), n)]
+                tokens = np.concatenate(heads)
+                sids = np.repeat(rows.column(0).to_numpy(), [len(t) for t in heads])
+                known = is_hot[(tokens % np.uint64(BUCKETS)).astype(np.int64)]
+                out: list[tuple] = []
+                for kind, chosen in ((0, ~known), (1, known)):
+                    t, s = tokens[chosen], sids[chosen]
+                    # hot tokens are dealt by their sets
+                    part = (t >> np.uint64(20)) % np.uint64(parts) if kind == 0 else mixed(s.view(np.uint64), 5) % np.uint64(parts)
+                    out += [(p, kind, a, b) for p, a, b in _dealt(part.astype(np.int32), t, s)]
+                columns = list(zip(*out)) if out else [()] * 4
+                yield _batch(names, pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary()))
+
+    def gathered(batches: Iterator[pa.RecordBatch], names: str, kinds: list) -> list[np.ndarray]:
+        parts_of = [[] for _ in kinds]
+        for batch in batches:
+            for into, name in zip(parts_of, names.split()):
+                into += [x for x in batch.column(name).to_pylist()]
+        return [np.frombuffer(b"".join(x), kind) for x, kind in zip(parts_of, kinds)]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import itertools
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n long, sid long, place long, text string")
+        usual, bulk = [], []
+        for batch in batches:
+            kind = batch.column("kind").to_numpy()
+            for k, into in ((0, usual), (1, bulk)):
+                into.append(batch.filter(pa.array(kind == k)))
+        t, s = gathered(usual, "tokens sids", ["<u8", "<i8"])
+        order = np.lexsort((s, t))
+        t, s = t[order], s[order]
+        one = _runs(t, s)[:-1]  # a set that several tasks have had counts once
+        t, s = t[one], s[one]
+        at = _runs(t)
+        freq = np.repeat(np.diff(at), np.diff(at))
+        more = freq > 1
+        t, s, freq = t[more], s[more], freq[more]
+        ht, hs = gathered(bulk, "tokens sids", ["<u8", "<i8"])
+        hf = np.array([held[1].value[b] for b in (ht % np.uint64(BUCKETS)).tolist()], np.int64)
+        t, s, freq = np.concatenate([t, ht]), np.concatenate([s, hs]), np.concatenate([freq, hf])
+        part = (mixed(s.view(np.uint64), 5) % np.uint64(parts)).astype(np.int32)
+        for some in itertools.batched(_dealt(part, t, s, freq), 1024):
+            columns = list(zip(*some))
+            yield _batch("part tokens sids freqs", pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:]))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, s, freq = gathered(batches, "tokens sids freqs", ["<u8", "<i8", "<i8"])
+        order = np.lexsort((t, freq, s))
+        t, s, freq = t[order], s[order], freq[order]
+        one = _runs(s, freq, t)[:-1]
+        t, s = t[one], s[one]
+        at = _runs(s)
+        for k in range(0, len(at) - 1, 4096):
+            mine = at[k : k + 4097]
+            lists = [t[a:b].tobytes() for a, b in zip(mine[:-1], mine[1:])]
+            yield _batch("sid k tokens", pa.array(s[mine[:-1]]), pa.array(np.diff(mine)), pa.array(lists, pa.binary()))
+
+    posts = firsts.select("sid", "text").mapInArrow(posted, "part int, kind int, tokens binary, sids binary")
+    found = posts.repartitionById(parts, F.col("part")).mapInArrow(counted, "part int, tokens binary, sids binary, freqs binary")
+    return found.repartitionById(parts, F.col("part")).mapInArrow(listed, "sid long, k long, tokens binary")
+
+
+_GROUPS = "sids array<long>, sids2 array<long>, sizes array<int>, tokens binary, bits binary, posts binary"
+
+
+def _groups(sets: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFrame:
+    """A row for each group of sets (sid, sid2, place, posts, text): members, union, bit matrix; the first member leads."""
+
+    def group(found: dict) -> list[list]:
+        groups: list[list] = []  # leader, union's size, members: name, tokens, posts
+        for name, (t, posts) in sorted(found.items(), key=lambda r: (len(r[1][0]), r[0])):
+            fits = lambda g: (len(g[2]) + 1) * (g[1] + len(t)) <= GROUP_CELLS and linked(g[0], t, percent)
+            home = next((g for g in takewhile(lambda g: 100 * len(g[0]) >= percent * len(t), reversed(groups)) if fits(g)), None)
+            if home is None:
+                groups.append([t, len(t), [(name, t, posts)]])
+            else:
+                home[1] += len(t) - len(np.intersect1d(home[0], t, assume_unique=True))
+                home[2].append((name, t, posts))
+        return groups
 
+    def row(g: list) -> tuple:
+        names, sets, posts = zip(*g[2])
+        union = np.unique(np.concatenate(sets))
+        bits = np.zeros((len(sets), len(union)), bool)
+        for k, t in enumerate(sets):
+            bits[k, np.searchsorted(union, t)] = True
+        return [x for x, _ in names], [y for _, y in names], [len(t) for t in sets], union.tobytes(), np.packbits(bits, 1).tobytes(), np.unique(np.concatenate(posts)).tobytes()
 
-def _bucket_counts(groups: DataFrame) -> np.ndarray:
-    """How many distinct sets hold a token of each bucket; every set is counted. The result's size is fixed."""
+    def batch_of(groups: list[list]) -> pa.RecordBatch:
+        columns = list(zip(*map(row, groups))) if groups else [()] * 6
+        kinds = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
+        return _batch("sids sids2 sizes tokens bits posts", *(pa.array(c, k) for c, k in zip(columns, kinds)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for data in batch.column(0):
-                np.add.at(counts, (np.frombuffer(data.as_py(), np.uint64) % np.uint64(BUCKETS)).astype(np.int64), 1)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
-
-    rows = groups.select("members").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(BUCKETS, np.int64)
-    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return out
+        # rows come sorted by place and part, so a place's part is a run of rows
+        key, found, done = None, {}, []
+        for whole in batches:
+            for k in range(0, whole.num_rows, 512):
+                batch = whole.slice(k, 512)
+                sid, sid2, place, part, posts, texts = (c.to_pylist() for c in batch.columns)
+                for a, b, here, t in zip(zip(sid, sid2), zip(place, part), posts, token_sets(texts, n)):
+                    if b != key:
+                        done += group(found)
+                        key, found = b, {}
+                        if sum(g[1] for g in done) > 1_000_000:
+                            yield batch_of(done)
+                            done = []
+                    found[a] = t, np.frombuffer(here, np.uint64)
+        yield batch_of(done + group(found))
 
+    busy = scratch.stored(sets.groupBy("place").agg(F.count("*").alias("here")).where(F.col("here") > PLACE_SETS))
+    dealt = sets.join(busy, "place", "left").withColumn("part", F.pmod("sid", F.coalesce(F.ceil(F.col("here") / PLACE_SETS), F.lit(1))))
+    return dealt.select("sid", "sid2", "place", "part", "posts", "text").repartition("place", "part").sortWithinPartitions("place", "part").mapInArrow(run, _GROUPS)
 
-def least_shared(n):
-    """How many of its rarest tokens a set of n shares with a partner at least, if both take as many more."""
-    return max(1, n // 20)
 
+def _bitmap(tokens: np.ndarray, bits: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the buckets of tokens that all members have a token in, and that any member has."""
+    at = (mixed(tokens, 7) % np.uint64(size)).astype(np.int64)
+    cells = np.zeros((len(bits), size), bool)
+    member, column = np.nonzero(bits)
+    cells[member, at[column]] = True
+    return np.packbits(cells.all(0)), np.packbits(cells.any(0))
 
-def _prefix(t: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest tokens of a set, of which every partner has `least_shared` among its own rarest ones."""
-    keep = len(t) - ceil(len(t) * percent / 100) + least_shared(len(t))
-    common = counts[(t % np.uint64(BUCKETS)).astype(np.int64)]
-    return t[np.lexsort((t, common))[:keep]]
 
+def _matrix(sizes: list[int], tokens: bytes, bits: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    union = np.frombuffer(tokens, np.uint64)
+    packed = np.frombuffer(bits, np.uint8).reshape(len(sizes), -1)
+    return np.array(sizes), union, np.unpackbits(packed, axis=1, count=len(union)).astype(bool)
 
-def _groups(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """gid, sids, sizes, members (bytes, end to end): a row for each group; the first member leads."""
 
-    def group(found: dict[int, bytes]) -> list[list]:
-        groups: list[list] = []  # leader, tokens stored, sids, members
-        for sid, data in sorted(found.items(), key=lambda r: (len(r[1]), r[0])):
-            t = np.frombuffer(data, np.uint64)
-            home = next((g for g in takewhile(lambda g: 100 * len(g[0]) >= percent * len(t), reversed(groups)) if g[1] + len(t) <= GROUP_TOKENS and linked(g[0], t, percent)), None)
-            if home is None:
-                groups.append([t, len(t), [sid], [data]])
-            else:
-                home[1] += len(t)
-                home[2].append(sid)
-                home[3].append(data)
-        return groups
+_POSTS = "token long, gid long, least int, most int, all0 long, all1 long, any0 long, any1 long"
 
-    def batch_of(groups: list[list]) -> pa.RecordBatch:
-        columns = [pa.array([g[2][0] for g in groups], pa.int64()), pa.array([g[2] for g in groups], pa.list_(pa.int64())), pa.array([[len(d) // 8 for d in g[3]] for g in groups], pa.list_(pa.int32())), pa.array([b"".join(g[3]) for g in groups], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["gid", "sids", "sizes", "members"])
+
+def _posts(groups: DataFrame) -> DataFrame:
+    """A row for each of a group's tokens of which every partner has one, with the group's sizes and bitmaps of 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted by place and part, so a place's part is a run of rows
-        hashes, key, found, done = _Hashes(), None, {}, []
         for batch in batches:
-            for sid, place, part, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if (place, part) != key:
-                    done += group(found)
-                    key, found = (place, part), {}
-                    if sum(g[1] for g in done) > 1_000_000:
-                        yield batch_of(done)
-                        done = []
-                if sid not in found:
-                    found[sid] = tokens(text, hashes, n).tobytes()
-        yield batch_of(done + group(found))
+            for gid, sizes, tokens, bits, posts in zip(*(c.to_pylist() for c in batch.columns)):
+                t = np.frombuffer(posts, np.int64)
+                every, some = _bitmap(*_matrix(sizes, tokens, bits)[1:], 128)
+                words = [*every.view(np.int64).tolist(), *some.view(np.int64).tolist()]
+                full = lambda v, kind: pa.array(np.full(len(t), v, kind))
+                yield _batch("token gid least most all0 all1 any0 any1", pa.array(t), full(gid, "i8"), full(min(sizes), "i4"), full(max(sizes), "i4"), *(full(w, "i8") for w in words))
 
-    sets = rows.where("text IS NOT NULL").select("sid", "place", "text")
-    busy = sets.groupBy("place").agg(F.count("*").alias("here")).where(F.col("here") > PLACE_SETS)
-    dealt = sets.join(_small(busy), "place", "left").withColumn("part", F.pmod("sid", F.coalesce(F.ceil(F.col("here") / PLACE_SETS), F.lit(1))))
-    return dealt.select("sid", "place", "part", "text").repartition("place", "part").sortWithinPartitions("place", "part").mapInArrow(run, "gid long, sids array<long>, sizes array<int>, members binary")
+    return groups.select("gid", "sizes", "tokens", "bits", "posts").mapInArrow(run, _POSTS)
 
 
-def _small(ids: DataFrame) -> DataFrame:
-    """ids, to be broadcast if they are few."""
-    ids = cut(ids)
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+def _labelled(posts: DataFrame, known: DataFrame | None) -> DataFrame:
+    """posts with the component that each group is known to be in, sorted by token and component inside each partition."""
+    rows = posts.withColumn("label", F.col("gid")) if known is None else posts.join(known.select(F.col("node").alias("gid"), F.col("label").alias("__l")), "gid", "left").withColumn("label", F.coalesce("__l", "gid")).drop("__l")
+    return rows.repartition("token").sortWithinPartitions("token", "label", "gid")
 
 
-def _members(sizes, data: bytes) -> list[np.ndarray]:
-    return np.split(np.frombuffer(data, np.uint64), np.cumsum(sizes)[:-1])
+def _centred(rows: DataFrame) -> DataFrame:
+    """a, b: for each group b the centre a it shares the most tokens with; a token's centre is the first group that has it."""
 
-
-def _postings(groups: DataFrame, counts, percent: int) -> DataFrame:
-    """token, gid, least, most: the union of the rarest tokens of each group's members, with the sizes of its sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = (None, 0, 0)
+        for batch in batches:
+            token, label, gid = (batch.column(k).to_numpy() for k in range(3))
+            if not len(token):
+                continue
+            start = np.maximum.accumulate(np.where(np.r_[token[0] != last[0], token[1:] != token[:-1]], np.arange(len(token)), -1))
+            centre = np.where(start < 0, last[1], gid[start])
+            home = np.where(start < 0, last[2], label[start])
+            last = token[-1], centre[-1], home[-1]
+            apart = home != label
+            pairs, n = np.unique(np.stack([centre[apart], gid[apart]]), axis=1, return_counts=True)
+            yield _batch("a b n", pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n))
+
+    pairs = rows.select("token", "label", "gid").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return pairs.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
+
+
+def _possible(rows: DataFrame, percent: int) -> DataFrame:
+    """a, b: all pairs of groups of two components that share a token and that sizes and bitmaps leave room for a link."""
+    names = "token label gid least most all0 all1 any0 any1"
+
+    def pairs_of(c: list[np.ndarray]) -> Iterator[np.ndarray]:
+        _, label, gid, least, most, *maps = c
+        t = percent / 100
+        for i in range(len(gid) - 1):
+            there = slice(int(np.searchsorted(label, label[i], "right")), None)
+            if there.start >= len(gid):
+                return
+            ok = (100 * most[i] >= percent * least[there].astype(np.int64)) & (100 * most[there].astype(np.int64) >= percent * least[i])
+            for x, y, sx, sy in ((i, there, most[i], least[there]), (there, i, most[there], least[i])):
+                # what all members of one have and no member of the other has
+                lost = np.bitwise_count(maps[0][x] & ~maps[2][y]).astype(np.int64) + np.bitwise_count(maps[1][x] & ~maps[3][y])
+                ok = ok & (lost * (1 + t) <= sx - t * sy + 1e-6)
+            if ok.any():
+                yield np.stack([np.full(int(ok.sum()), gid[i]), gid[there][ok]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last token so far
+        out: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if out:
+                pairs = np.unique(np.sort(np.concatenate(out, 1), 0), axis=1)
+                out.clear()
+                yield _batch("a b", pa.array(pairs[0]), pa.array(pairs[1]))
+
+        def runs(c: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            at = _runs(c[0])
+            label = c[1]
+            for x, y in zip(at[:-1], at[1:]):
+                if y - x > 1 and label[x] != label[y - 1]:
+                    for pairs in pairs_of([v[x:y] for v in c]):
+                        out.append(pairs)
+                        if sum(p.shape[1] for p in out[-1:]) > 500_000 or len(out) > 20_000:
+                            yield from flush()
+
         for batch in batches:
-            for gid, sizes, data in zip(*(c.to_pylist() for c in batch.columns)):
-                rare = np.unique(np.concatenate([_prefix(t, counts.value, percent) for t in _members(sizes, data)]))
-                k = len(rare)
-                yield pa.RecordBatch.from_arrays([pa.array(rare.view(np.int64)), pa.array(np.full(k, gid)), pa.array(np.full(k, min(sizes))), pa.array(np.full(k, max(sizes)))], names=["token", "gid", "least", "most"])
+            c = [batch.column(k).to_numpy() for k in range(9)]
+            if not len(c[0]):
+                continue
+            # zeros in the upper bits count as any other bits, so signed words do
+            c = c if held is None else [np.concatenate([a, b]) for a, b in zip(held, c)]
+            cut_at = int(np.searchsorted(c[0], c[0][-1]))
+            yield from runs([v[:cut_at] for v in c])
+            held = [v[cut_at:] for v in c]
+        if held is not None:
+            yield from runs(held)
+        yield from flush()
 
-    return groups.select("gid", "sizes", "members").mapInArrow(run, "token long, gid long, least long, most long")
+    return rows.select(*names.split()).mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, groups: DataFrame, percent: int, leaders: bool) -> DataFrame:
-    """The pairs a, b of groups between which there is a link: of their leaders only, or of any members."""
-    if leaders:
-        one = F.expr("substring(members, 1, sizes[0] * 8)")
-        side = groups.select("gid", F.slice("sizes", 1, 1).alias("sizes"), one.alias("members"))
-    else:
-        side = groups.select("gid", "sizes", "members")
+def _joined(pairs: DataFrame, side: DataFrame, scratch: Scratch) -> DataFrame:
+    """pairs with the columns of both groups, those of a and then those of b."""
+    names = [c for c in side.columns if c != "gid"]
+    of = lambda k: side.select(F.col("gid").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in names])
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", *[f"{c}_a" for c in names], *[f"{c}_b" for c in names])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _verified(pairs: DataFrame, groups: DataFrame, sketches: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """The pairs a, b of groups between whose members there is a link."""
+    t = percent / 100
+
+    def roomy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(a, b) for a, b, sa, ma, sb, mb in zip(*(c.to_pylist() for c in batch.columns)) if _any_link(_members(sa, ma), _members(sb, mb), percent)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+            a, b, least_a, most_a, all_a, any_a, least_b, most_b, all_b, any_b = batch.columns
+            wide = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            ok = np.ones(batch.num_rows, bool)
+            for every, some, most, least in ((all_a, any_b, most_a, least_b), (all_b, any_a, most_b, least_a)):
+                lost = np.bitwise_count(wide(every) & ~wide(some)).sum(1, dtype=np.int64) if batch.num_rows else np.zeros(0, np.int64)
+                ok &= lost * (1 + t) <= most.to_numpy() - t * least.to_numpy() + 1e-6
+            yield _batch("a b", a.filter(pa.array(ok)), b.filter(pa.array(ok)))
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 64):
+                found = [(r["a"], r["b"]) for r in whole.slice(k, 64).to_pylist() if any_link(_matrix(r["sizes_a"], r["tokens_a"], r["bits_a"]), _matrix(r["sizes_b"], r["tokens_b"], r["bits_b"]), percent)]
+                yield _batch("a b", pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64()))
+
+    maybe = scratch.stored(_joined(pairs, sketches, scratch).mapInArrow(roomy, "a long, b long"))
+    return _joined(maybe, groups.select("gid", "sizes", "tokens", "bits"), scratch).mapInArrow(opened, "a long, b long")
+
+
+def any_link(first: tuple, second: tuple, percent: int = PERCENT) -> bool:
+    """Whether a member of one group (sizes, union, bit matrix) links with a member of the other one."""
+    (n, union, bits), (m, other, more) = first, second
+    _, i, j = np.intersect1d(union, other, assume_unique=True, return_indices=True)
+    bits, more = bits[:, i], more[:, j]
+    # the overlap with the other group's union bounds that with its members
+    a, b = (100 * x.sum(1) >= percent * size for x, size in ((bits, n), (more, m)))
+    if not len(i) or not a.any() or not b.any():
+        return False
+    both = bits[a].astype(np.float32) @ more[b].astype(np.float32).T
+    return bool(((both > 0) & (100 * both >= percent * (n[a][:, None] + m[b][None, :] - both))).any())
 
-    pairs = cut(pairs)
-    side = side.join(_small(pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).distinct()), "gid", "left_semi")
-    left = side.select(F.col("gid").alias("a"), F.col("sizes").alias("sa"), F.col("members").alias("ma"))
-    right = side.select(F.col("gid").alias("b"), F.col("sizes").alias("sb"), F.col("members").alias("mb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "ma", "sb", "mb").mapInArrow(run, "a long, b long")
 
+def _sketches(groups: DataFrame) -> DataFrame:
+    """gid, least, most, every, some: sizes and bitmaps of 2048 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gid, sizes, tokens, bits = (c.to_pylist() for c in batch.columns)
+            maps = [_bitmap(*_matrix(s, t, b)[1:], 2048) for s, t, b in zip(sizes, tokens, bits)]
+            yield _batch("gid least most every some", batch.column(0), pa.array([min(s) for s in sizes], pa.int32()), pa.array([max(s) for s in sizes], pa.int32()), pa.array([x.tobytes() for x, _ in maps], pa.binary()), pa.array([y.tobytes() for _, y in maps], pa.binary()))
 
-def _any_link(first: list[np.ndarray], second: list[np.ndarray], percent: int) -> bool:
-    union = np.unique(np.concatenate(second))
-    for t in first:
-        if 100 * len(np.intersect1d(t, union, assume_unique=True)) >= percent * len(t) and any(linked(t, u, percent) for u in second):
-            return True
-    return False
+    return groups.select("gid", "sizes", "tokens", "bits").mapInArrow(run, "gid long, least int, most int, every binary, some binary")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """node, label: the smallest node reachable, for every node of edges (a, b), by alternating star contraction."""
-    edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = scratch.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         both = edges.union(edges.select(F.col("b"), F.col("a")))
@@ -243,46 +516,84 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = cut(small.where("a <> b").distinct())
+        old, edges = edges, scratch.stored(small.where("a <> b").distinct())
+        scratch.drop(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
         before = now
 
 
+def _group_labels(groups: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """node, label of the groups that link with any other group."""
+    posts, sketches = scratch.stored(_posts(groups)), scratch.stored(_sketches(groups))
+    edges = known = None
+    rounds = 0
+    while True:
+        last = rounds >= CENTRE_ROUNDS
+        rows = _labelled(posts, known)
+        pairs = scratch.stored(_possible(rows, percent) if last else _centred(rows))
+        found = scratch.stored(_verified(pairs, groups, sketches, scratch, percent))
+        any_yet = not found.isEmpty()
+        if any_yet:
+            edges = found if edges is None else edges.union(found)
+            known = components(edges, scratch)
+        if last:
+            break
+        rounds = rounds + 1 if any_yet else CENTRE_ROUNDS
+    return known if known is not None else groups.sparkSession.createDataFrame([], "node long, label long")
+
+
+def _classed(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, hash of the text, n, sid, sid2) of docs (doc_id, text), and of each set (sid, sid2) the first row of its component."""
+    spark = docs.sparkSession
+    every = scratch.stored(_sets(docs.selectExpr("cast(doc_id as long) doc_id", "xxhash64(text) hash", "text"), n, percent))
+    sets = every.where("bucket IS NULL")
+    firsts = sets.where("text IS NOT NULL")
+    counts = every.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_ROWS)
+    total = firsts.agg(F.sum("n")).first()[0] or 0
+    hot = np.zeros(BUCKETS, np.int64)
+    # at most 4 / HOT_SHARE buckets
+    for b, k in counts.where(F.col("n") >= total * (100 - percent) / 100 * HOT_SHARE).collect():
+        hot[b] = k
+    parts = max(partitions(spark), ceil(total * (105 - percent) / 100 / TASK_POSTINGS))
+    shared = _shared(firsts, hot, parts, n, percent)
+    one = firsts.select("sid", "sid2", "n", "place").dropDuplicates(["sid", "sid2"])
+    least = F.greatest(F.lit(1), F.expr("n div 20"))
+    left = one.join(shared, "sid").where(F.col("k") >= least)
+    left = scratch.stored(left.select("sid", "sid2", "place", F.expr("substring(tokens, 1, cast(8 * (k - greatest(1, n div 20) + 1) as int))").alias("posts")))
+    texts = firsts.select("sid", "sid2", "text").join(left, ["sid", "sid2"])
+    groups = scratch.stored(_groups(texts, scratch, n, percent).withColumn("gid", F.monotonically_increasing_id()))
+    rows = scratch.stored(sets.select("doc_id", "hash", "n", "sid", "sid2"))
+    scratch.drop(every, left)
+    labels = _group_labels(groups, scratch, percent)
+    owners = groups.select("gid", F.explode(F.arrays_zip("sids", "sids2")).alias("s")).select("gid", F.col("s.sids").alias("sid"), F.col("s.sids2").alias("sid2"))
+    owners = owners.join(labels, F.col("gid") == F.col("node"), "left").select("sid", "sid2", F.coalesce("label", "gid").alias("label"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    by_set = rows.where("sid IS NOT NULL").groupBy("sid", "sid2").agg(F.min(first).alias("first")).join(owners, ["sid", "sid2"], "left")
+    by_set = scratch.stored(by_set)
+    best = by_set.where("label IS NOT NULL").groupBy("label").agg(F.min("first").alias("best"))
+    return rows, scratch.stored(by_set.join(best, "label", "left").select("sid", "sid2", F.coalesce("best", "first").alias("first")))
+
+
 def clustered(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document of docs: doc_id, text."""
-    spark = docs.sparkSession
-    rows = stored(_sets(docs, n))
-    groups = stored(_groups(rows, n, percent))
-    counts = spark.sparkContext.broadcast(_bucket_counts(groups))
-    postings = _postings(groups, counts, percent)
-    x, y = postings.alias("x"), postings.alias("y")
-    near = (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid")) & (F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent)
-    fewest = F.greatest(F.lit(1), F.least(F.expr("x.least div 20"), F.expr("y.least div 20")))
-    shared = x.join(y, near).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b"), fewest.alias("fewest"))
-    pairs = cut(shared.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("fewest").alias("fewest")).where("n >= fewest").select("a", "b"))
-    led = cut(_verified(pairs, groups, percent, leaders=True))
-    known = components(led)
-    name = lambda c: known.select(F.col("node").alias(c), F.col("label").alias("label_" + c))
-    apart = pairs.join(name("a"), "a", "left").join(name("b"), "b", "left").where("coalesce(label_a, a) <> coalesce(label_b, b)").select("a", "b")
-    opened = _verified(apart, groups, percent, leaders=False)
-    labels = components(led.union(opened))
-    owner = groups.select(F.col("gid"), F.explode("sids").alias("sid")).join(labels, F.col("gid") == F.col("node"), "left").select("sid", F.coalesce("label", "gid").alias("label"))
-    placed = rows.select("doc_id", F.col("n").alias("n_shingles"), "sid").join(owner, "sid", "left")
-    smallest = placed.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("smallest"))
-    done = placed.join(smallest, "label", "left")
-    return done.select("doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
-
-
-def representatives(docs: DataFrame) -> DataFrame:
+    with Scratch(docs.sparkSession) as scratch:
+        rows, first = _classed(docs, scratch, n, percent)
+        done = rows.join(first, ["sid", "sid2"], "left")
+        return stored(done.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id")))
+
+
+def representatives(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each component: one with the smallest id, or without an id if none has one.
 
-    Rows are clustered under numbers of their own, so rows that repeat an id count as any others.
+    Rows without words are all kept. Rows are told apart by id and text, so rows that repeat an id count as any others.
     """
-    rows = keyed(docs)
-    found = clustered(rows.select(F.col("__row").alias("doc_id"), "text")).select(F.col("doc_id").alias("__row"), "component_id")
-    named = found.join(rows.select("__row", "doc_id"), "__row")
-    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
-    kept = named.groupBy("component_id").agg(F.min(first)["__row"].alias("__row")).select("__row")
-    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
+    with Scratch(docs.sparkSession) as scratch:
+        _, first = _classed(docs, scratch, n, percent)
+        name = fresh(docs, "__hash"), fresh(docs, "__id")
+        kept = stored(first.select(F.col("first.doc_id").alias(name[1]), F.col("first.hash").alias(name[0])).distinct())
+    rows = docs.withColumn(name[0], F.xxhash64("text"))
+    same = rows[name[0]].eqNullSafe(kept[name[0]]) & rows["doc_id"].cast("long").eqNullSafe(kept[name[1]])
+    chosen = rows.where(n_words(F.col("text")) > 0).join(kept, same, "left_semi").dropDuplicates(["doc_id", name[0]])
+    return chosen.unionByName(rows.where(n_words(F.col("text")) == 0)).select(*docs.columns)
