@@ -1,17 +1,18 @@
 """N-gram Jaccard join over a token-group matrix.
 
-Tokens are 64-bit hashes of word shingles; equal sets are one set, named by 128 bits. A set of n tokens and any partner
-share at least l of the least n - ceil(t * n) + l tokens of either (t the threshold, l = n div 20), whatever the order of
-tokens, as long as it is the same everywhere; here it is the order of their values. So:
+Tokens are 64-bit hashes of word shingles; equal sets are one set, named by 128 bits. Of a set of n tokens the least
+n - ceil(t * n) + l(n) are its prefix (t the threshold, the order that of the values). The prefixes of two linked sets hold
+their least min(l(n), l(m)) common tokens both, whatever l is, and it only grows with n here. So:
 
-1. Matrix. These tokens of every set are counted over the whole corpus. A set that shares fewer than l of them with other
-   sets is linked with nothing: nearly all documents that are no near copies end here, and only hashes were moved.
+1. Matrix. These tokens of every set are counted over the whole corpus. A set that shares fewer of them with other sets
+   than any partner would is linked with nothing: nearly all documents that are no near copies end here, and only hashes were moved.
 2. Groups. What is left is partitioned: sets that share two minimum hashes meet, and each joins the first leader it is
    similar enough to, so a group is always one component. A group stores the union of its tokens and a bit matrix that
    says which member has which of them.
-3. Candidates. A set's shared tokens but its l - 1 commonest ones contain one of every partner's. Groups that share such
-   a token are paired with one common centre for each token first; what that connects is one component and is never paired
-   again, so a cluster of near copies costs a pair for each group. Of all other groups with a common token every pair whose
+3. Candidates. A set's shared tokens without as many of the commonest ones as any partner shares, less one, hold one of
+   every partner's. Groups that share such a token are paired with one common centre for each token first, the largest
+   group; what that connects is one component and is never paired again, so a cluster of near copies costs a pair for each
+   group. Of all other groups with a common token every pair whose
    sizes and token bitmaps leave room for a link is a candidate.
 4. Opening. Of a candidate pair, members whose overlap with the other group's union is below t of their own size are
    skipped; if any are left, the bit matrices are multiplied, which gives the exact overlaps.
@@ -29,13 +30,12 @@ smallest id that is not null; an empty table gives an empty result; other column
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import takewhile
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomlake.llm.common import Scratch, fresh, n_words, partitions, stored
@@ -48,7 +48,7 @@ BUCKETS = 1 << 20
 HOT_ROWS = 10_000
 HOT_SHARE = 1 / (1 << 15)
 #: A group is closed at this many cells of its bit matrix; a meeting place is dealt into parts of about this many sets.
-GROUP_CELLS = 4_000_000
+GROUP_CELLS = 1_000_000
 PLACE_SETS = 2_000
 #: Postings that one task of the matrix sorts.
 TASK_POSTINGS = 4_000_000
@@ -130,14 +130,19 @@ def _block_sets(block: list[bytes], n: int) -> list[np.ndarray]:
     return out
 
 
-def least_shared(n):
-    """How many tokens of the prefixes of a set of n tokens and of any partner are common, at least."""
-    return max(1, n // 20)
+def extra(n):
+    """l(n): how many tokens more than needed a prefix has; more of them select better, fewer of them move less."""
+    return max(1, n // 2) if n <= 128 else max(64, n // 20)
+
+
+def least_shared(n: int, percent: int = PERCENT) -> int:
+    """How many tokens of its prefix a set of n tokens shares with any partner's prefix, at least."""
+    return extra(ceil(n * percent / 100))
 
 
 def prefix(t: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The least tokens of a set, of which `least_shared` are among those of every partner."""
-    return t[: len(t) - ceil(len(t) * percent / 100) + least_shared(len(t))]
+    """The least tokens of a set, which hold all that are compared in the matrix."""
+    return t[: len(t) - ceil(len(t) * percent / 100) + extra(len(t))]
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -289,10 +294,22 @@ def _groups(sets: DataFrame, scratch: Scratch, n: int, percent: int) -> DataFram
     """A row for each group of sets (sid, sid2, place, posts, text): members, union, bit matrix; the first member leads."""
 
     def group(found: dict) -> list[list]:
+        """The most typical sets, whose tokens most other sets here have, lead."""
+        if not found:
+            return []
+        if len(found) == 1:
+            ((name, (t, posts)),) = found.items()
+            return [[t, len(t), [(name, t, posts)]]]
+        sets = list(found.items())
+        known, at, counts = np.unique(np.concatenate([t for _, (t, _) in sets]), return_inverse=True, return_counts=True)
+        del known
+        ends = np.cumsum([len(t) for _, (t, _) in sets])
+        typical = np.add.reduceat(counts[at], np.r_[0, ends[:-1]]) / np.diff(np.r_[0, ends])
         groups: list[list] = []  # leader, union's size, members: name, tokens, posts
-        for name, (t, posts) in sorted(found.items(), key=lambda r: (len(r[1][0]), r[0])):
+        for k in sorted(range(len(sets)), key=lambda k: (-typical[k], sets[k][0])):
+            name, (t, posts) = sets[k]
             fits = lambda g: (len(g[2]) + 1) * (g[1] + len(t)) <= GROUP_CELLS and linked(g[0], t, percent)
-            home = next((g for g in takewhile(lambda g: 100 * len(g[0]) >= percent * len(t), reversed(groups)) if fits(g)), None)
+            home = next(filter(fits, groups), None)
             if home is None:
                 groups.append([t, len(t), [(name, t, posts)]])
             else:
@@ -350,32 +367,39 @@ def _matrix(sizes: list[int], tokens: bytes, bits: bytes) -> tuple[np.ndarray, n
     return np.array(sizes), union, np.unpackbits(packed, axis=1, count=len(union)).astype(bool)
 
 
-_POSTS = "token long, gid long, least int, most int, all0 long, all1 long, any0 long, any1 long"
+_POSTS = "token long, gid long, members int, least int, most int, every binary, some binary"
 
 
 def _posts(groups: DataFrame) -> DataFrame:
-    """A row for each of a group's tokens of which every partner has one, with the group's sizes and bitmaps of 128 bits."""
+    """A row for each of a group's tokens of which every partner has one, with the group's sizes and bitmaps of 512 bits.
+
+    `some` is null where it is the same as `every`, as in groups of one set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for gid, sizes, tokens, bits, posts in zip(*(c.to_pylist() for c in batch.columns)):
-                t = np.frombuffer(posts, np.int64)
-                every, some = _bitmap(*_matrix(sizes, tokens, bits)[1:], 128)
-                words = [*every.view(np.int64).tolist(), *some.view(np.int64).tolist()]
-                full = lambda v, kind: pa.array(np.full(len(t), v, kind))
-                yield _batch("token gid least most all0 all1 any0 any1", pa.array(t), full(gid, "i8"), full(min(sizes), "i4"), full(max(sizes), "i4"), *(full(w, "i8") for w in words))
+        for whole in batches:
+            for batch in (whole.slice(k, 256) for k in range(0, whole.num_rows, 256)):
+                columns: list[list] = [[] for _ in range(6)]
+                posts = [np.frombuffer(x, np.int64) for x in batch.column("posts").to_pylist()]
+                for gid, sizes, tokens, bits in zip(*(batch.column(c).to_pylist() for c in ("gid", "sizes", "tokens", "bits"))):
+                    every, some = (x.tobytes() for x in _bitmap(*_matrix(sizes, tokens, bits)[1:], 512))
+                    for c, v in zip(columns, (gid, len(sizes), min(sizes), max(sizes), every, None if some == every else some)):
+                        c.append(v)
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+                at = pa.array(np.repeat(np.arange(len(posts)), [len(p) for p in posts]))
+                yield _batch("token gid members least most every some", pa.array(np.concatenate(posts)), *(pa.array(c, k).take(at) for c, k in zip(columns, kinds)))
 
     return groups.select("gid", "sizes", "tokens", "bits", "posts").mapInArrow(run, _POSTS)
 
 
 def _labelled(posts: DataFrame, known: DataFrame | None) -> DataFrame:
-    """posts with the component that each group is known to be in, sorted by token and component inside each partition."""
+    """posts with the component that each group is known to be in."""
     rows = posts.withColumn("label", F.col("gid")) if known is None else posts.join(known.select(F.col("node").alias("gid"), F.col("label").alias("__l")), "gid", "left").withColumn("label", F.coalesce("__l", "gid")).drop("__l")
-    return rows.repartition("token").sortWithinPartitions("token", "label", "gid")
+    return rows
 
 
 def _centred(rows: DataFrame) -> DataFrame:
-    """a, b: for each group b the centre a it shares the most tokens with; a token's centre is the first group that has it."""
+    """a, b: for each group b the centre a it shares the most tokens with; a token's centre is the largest group that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, 0, 0)
@@ -391,63 +415,81 @@ def _centred(rows: DataFrame) -> DataFrame:
             pairs, n = np.unique(np.stack([centre[apart], gid[apart]]), axis=1, return_counts=True)
             yield _batch("a b n", pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n))
 
+    rows = rows.select("token", "label", "gid", "members").repartition("token").sortWithinPartitions("token", F.desc("members"), "gid")
     pairs = rows.select("token", "label", "gid").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
     return pairs.groupBy("b").agg(F.max(F.struct("n", "a"))["a"].alias("a")).select("a", "b")
 
 
-def _possible(rows: DataFrame, percent: int) -> DataFrame:
+def _possible(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     """a, b: all pairs of groups of two components that share a token and that sizes and bitmaps leave room for a link."""
-    names = "token label gid least most all0 all1 any0 any1"
+    t = percent / 100
 
-    def pairs_of(c: list[np.ndarray]) -> Iterator[np.ndarray]:
-        _, label, gid, least, most, *maps = c
-        t = percent / 100
+    def pairs_of(label: np.ndarray, gid: np.ndarray, least: np.ndarray, most: np.ndarray, every: np.ndarray, some: np.ndarray) -> Iterator[np.ndarray]:
         for i in range(len(gid) - 1):
-            there = slice(int(np.searchsorted(label, label[i], "right")), None)
-            if there.start >= len(gid):
-                return
-            ok = (100 * most[i] >= percent * least[there].astype(np.int64)) & (100 * most[there].astype(np.int64) >= percent * least[i])
-            for x, y, sx, sy in ((i, there, most[i], least[there]), (there, i, most[there], least[i])):
-                # what all members of one have and no member of the other has
-                lost = np.bitwise_count(maps[0][x] & ~maps[2][y]).astype(np.int64) + np.bitwise_count(maps[1][x] & ~maps[3][y])
-                ok = ok & (lost * (1 + t) <= sx - t * sy + 1e-6)
-            if ok.any():
-                yield np.stack([np.full(int(ok.sum()), gid[i]), gid[there][ok]])
+            there = int(np.searchsorted(label, label[i], "right"))
+            there += np.flatnonzero((most[there:] >= t * least[i] - 1e-6) & (most[i] >= t * least[there:] - 1e-6))
+            # what all members of one have and no member of the other has
+            lost = np.bitwise_count(every[i] & ~some[there]).sum(-1, dtype=np.int64)
+            there = there[lost * (1 + t) <= most[i] - t * least[there] + 1e-6]
+            lost = np.bitwise_count(every[there] & ~some[i]).sum(-1, dtype=np.int64)
+            there = there[lost * (1 + t) <= most[there] - t * least[i] + 1e-6]
+            if len(there):
+                yield np.stack([np.full(len(there), gid[i]), gid[there]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # rows of the last token so far
+        held: pa.Table | None = None  # rows of the last token so far
         out: list[np.ndarray] = []
+        size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             if out:
-                pairs = np.unique(np.sort(np.concatenate(out, 1), 0), axis=1)
-                out.clear()
-                yield _batch("a b", pa.array(pairs[0]), pa.array(pairs[1]))
-
-        def runs(c: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            at = _runs(c[0])
-            label = c[1]
-            for x, y in zip(at[:-1], at[1:]):
-                if y - x > 1 and label[x] != label[y - 1]:
-                    for pairs in pairs_of([v[x:y] for v in c]):
-                        out.append(pairs)
-                        if sum(p.shape[1] for p in out[-1:]) > 500_000 or len(out) > 20_000:
-                            yield from flush()
+                a, b = np.unique(np.sort(np.concatenate(out, 1), 0), axis=1)
+                part = (mixed(a.view(np.uint64), 5) % np.uint64(parts)).astype(np.int32)
+                columns = list(zip(*_dealt(part, a, b)))
+                yield _batch("part a b", pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary()))
+
+        def runs(table: pa.Table) -> None:
+            nonlocal size
+            token, label, gid, least, most = (table.column(k).to_numpy() for k in range(5))
+            at = _runs(token)
+            at = [(x, y) for x, y in zip(at[:-1].tolist(), at[1:].tolist()) if y - x > 1 and label[x] != label[y - 1]]
+            if not at:
+                return
+            every = table.column(5).to_pylist()
+            some = [x if y is None else y for x, y in zip(every, table.column(6).to_pylist())]
+            maps = [np.frombuffer(b"".join(m), np.uint64).reshape(len(token), -1) for m in (every, some)]
+            for x, y in at:
+                for pairs in pairs_of(*(v[x:y] for v in (label, gid, least, most, *maps))):
+                    out.append(pairs)
+                    size += pairs.shape[1]
 
         for batch in batches:
-            c = [batch.column(k).to_numpy() for k in range(9)]
-            if not len(c[0]):
+            here = pa.Table.from_batches([batch])
+            held = here if held is None else pa.concat_tables([held, here])
+            token = held.column(0).to_numpy()
+            if not len(token) or token[0] == token[-1]:
                 continue
-            # zeros in the upper bits count as any other bits, so signed words do
-            c = c if held is None else [np.concatenate([a, b]) for a, b in zip(held, c)]
-            cut_at = int(np.searchsorted(c[0], c[0][-1]))
-            yield from runs([v[:cut_at] for v in c])
-            held = [v[cut_at:] for v in c]
-        if held is not None:
-            yield from runs(held)
+            cut_at = int(np.searchsorted(token, token[-1]))
+            runs(held.slice(0, cut_at))
+            held = held.slice(cut_at)
+            if size > 4_000_000:
+                yield from flush()
+                out, size = [], 0
+        if held is not None and held.num_rows:
+            runs(held)
         yield from flush()
 
-    return rows.select(*names.split()).mapInArrow(run, "a long, b long").distinct()
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts_of: list[list[bytes]] = [[], []]
+        for batch in batches:
+            for into, name in zip(parts_of, "ab"):
+                into += batch.column(name).to_pylist()
+        pairs = np.unique(np.stack([np.frombuffer(b"".join(x), np.int64) for x in parts_of]), axis=1)
+        for k in range(0, pairs.shape[1], 10_000):
+            yield _batch("a b", pa.array(pairs[0, k : k + 10_000]), pa.array(pairs[1, k : k + 10_000]))
+
+    ordered = rows.select("token", "label", "gid", "least", "most", "every", "some").repartition("token").sortWithinPartitions("token", "label", "gid")
+    return ordered.mapInArrow(run, "part int, a binary, b binary").repartitionById(parts, F.col("part")).mapInArrow(merged, "a long, b long")
 
 
 def _joined(pairs: DataFrame, side: DataFrame, scratch: Scratch) -> DataFrame:
@@ -524,7 +566,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         before = now
 
 
-def _group_labels(groups: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+def _group_labels(groups: DataFrame, scratch: Scratch, percent: int, parts: int) -> DataFrame:
     """node, label of the groups that link with any other group."""
     posts, sketches = scratch.stored(_posts(groups)), scratch.stored(_sketches(groups))
     edges = known = None
@@ -532,7 +574,7 @@ def _group_labels(groups: DataFrame, scratch: Scratch, percent: int) -> DataFram
     while True:
         last = rounds >= CENTRE_ROUNDS
         rows = _labelled(posts, known)
-        pairs = scratch.stored(_possible(rows, percent) if last else _centred(rows))
+        pairs = scratch.stored(_possible(rows, percent, parts) if last else _centred(rows))
         found = scratch.stored(_verified(pairs, groups, sketches, scratch, percent))
         any_yet = not found.isEmpty()
         if any_yet:
@@ -544,6 +586,12 @@ def _group_labels(groups: DataFrame, scratch: Scratch, percent: int) -> DataFram
     return known if known is not None else groups.sparkSession.createDataFrame([], "node long, label long")
 
 
+def _least_shared(n: Column, percent: int) -> Column:
+    """`least_shared` of a column."""
+    m = F.expr(f"cast(ceil(n * {percent} / 100.0D) as long)") if percent != 75 else F.expr("(3 * n + 3) div 4")
+    return F.when(m <= 128, F.greatest(F.lit(1), F.floor(m / 2))).otherwise(F.greatest(F.lit(64), F.floor(m / 20)))
+
+
 def _classed(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, hash of the text, n, sid, sid2) of docs (doc_id, text), and of each set (sid, sid2) the first row of its component."""
     spark = docs.sparkSession
@@ -556,23 +604,22 @@ def _classed(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> tuple[D
     # at most 4 / HOT_SHARE buckets
     for b, k in counts.where(F.col("n") >= total * (100 - percent) / 100 * HOT_SHARE).collect():
         hot[b] = k
-    parts = max(partitions(spark), ceil(total * (105 - percent) / 100 / TASK_POSTINGS))
+    parts = max(partitions(spark), ceil(total * (120 - percent) / 100 / TASK_POSTINGS))
     shared = _shared(firsts, hot, parts, n, percent)
     one = firsts.select("sid", "sid2", "n", "place").dropDuplicates(["sid", "sid2"])
-    least = F.greatest(F.lit(1), F.expr("n div 20"))
-    left = one.join(shared, "sid").where(F.col("k") >= least)
-    left = scratch.stored(left.select("sid", "sid2", "place", F.expr("substring(tokens, 1, cast(8 * (k - greatest(1, n div 20) + 1) as int))").alias("posts")))
+    left = one.join(shared, "sid").withColumn("least", _least_shared(F.col("n"), percent)).where("k >= least")
+    left = scratch.stored(left.select("sid", "sid2", "place", F.expr("substring(tokens, 1, cast(8 * (k - least + 1) as int))").alias("posts")))
     texts = firsts.select("sid", "sid2", "text").join(left, ["sid", "sid2"])
     groups = scratch.stored(_groups(texts, scratch, n, percent).withColumn("gid", F.monotonically_increasing_id()))
     rows = scratch.stored(sets.select("doc_id", "hash", "n", "sid", "sid2"))
     scratch.drop(every, left)
-    labels = _group_labels(groups, scratch, percent)
+    labels = _group_labels(groups, scratch, percent, parts)
     owners = groups.select("gid", F.explode(F.arrays_zip("sids", "sids2")).alias("s")).select("gid", F.col("s.sids").alias("sid"), F.col("s.sids2").alias("sid2"))
     owners = owners.join(labels, F.col("gid") == F.col("node"), "left").select("sid", "sid2", F.coalesce("label", "gid").alias("label"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
     by_set = rows.where("sid IS NOT NULL").groupBy("sid", "sid2").agg(F.min(first).alias("first")).join(owners, ["sid", "sid2"], "left")
     by_set = scratch.stored(by_set)
-    best = by_set.where("label IS NOT NULL").groupBy("label").agg(F.min("first").alias("best"))
+    best = scratch.stored(by_set.where("label IS NOT NULL").groupBy("label").agg(F.min("first").alias("best")))
     return rows, scratch.stored(by_set.join(best, "label", "left").select("sid", "sid2", F.coalesce("best", "first").alias("first")))
 
 
