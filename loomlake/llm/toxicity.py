@@ -1,17 +1,20 @@
 """Toxicity by compression distance: which of two zstandard dictionaries makes a window shorter?
 
-Both dictionaries begin with the same base: one trained by zstandard on windows of ordinary texts, then ordinary words
-that share the longest pieces with telling words. The toxic one ends with the words that tell toxic texts apart, the
-ordinary one with as many bytes that match nothing, so offsets cost the same in both and what both know cancels out.
-A word tells if it is significantly commoner in toxic texts, at a false discovery rate over all words that occur twice,
-so the dictionary's size follows from training and a rare language's words enter as well. Matches have six bytes at
-least. A document's evidence is its two largest window distances, its number of windows and how many windows reach each
-distance; a logistic model turns it into a score, and 0.5 is the calibrated threshold. It is fitted to the evidence of
-each half of the labelled documents by dictionaries of the other half; scoring takes dictionaries of both.
+Two dictionaries are trained by zstandard's trainer: one on ordinary text, one on toxic text. A toxic document is ordinary
+text for the most part, so the toxic dictionary is trained on the stretches that make it toxic: runs of pieces of `piece`
+bytes that are significantly commoner in toxic documents than in ordinary ones, at a false discovery rate over all pieces,
+without what merely stands beside them. There is no list of words, pieces may be parts of words, and a rare language's
+pieces enter as any others; each document's stretches are one sample for the trainer. The toxic dictionary stands behind the ordinary one, and as many bytes that match nothing stand behind the ordinary one alone,
+so what both know cancels out and offsets cost the same. Every window starts with bytes that both know, so zstandard never
+stores it raw, and literals are not entropy-coded: a window's distance is the bytes that toxic matches save.
+
+A document's evidence is its largest two distances, its number of windows and how many windows reach each distance; a
+logistic model turns it into a score, and 0.5 is the calibrated threshold. It is fitted to the evidence of each half of
+the labelled documents by dictionaries of the other half; scoring takes dictionaries of both.
 
 Learning reads a bounded sample: at most `per_class` labelled rows of each class (the smallest MD5 of their ids), with
-their whole texts, which the driver holds. Scoring reads every byte of every document, window by window; windows overlap, so no
-passage of up to `overlap` bytes is split. Memory is bounded by one Arrow batch.
+their whole texts, which the driver holds. Scoring reads every byte of every document, window by window; windows overlap,
+so no passage of up to `overlap` bytes is split. Memory is bounded by one Arrow batch.
 
 Defined cases: null and empty texts have no window and the score of evidence 0; without labelled rows of both classes
 every score is the share of toxic labels (0 without labels); rows with a null label or id teach nothing; repeated rows
@@ -21,19 +24,18 @@ are scored each; other columns are ignored or, in `without_toxic`, carried along
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-_WORD = re.compile(rb"[^\x00-\x20]+")
-_EDGE = b".,;:!?\"'()[]{}*#&%$|-"
+from loomlake.llm.common import fresh
 
 
 @dataclass(frozen=True)
@@ -41,12 +43,17 @@ class Settings:
     """Parameters; all of them documented limits of the fit or fixed window sizes."""
 
     per_class: int = 3000
-    window: int = 64
-    overlap: int = 16
-    base_bytes: int = 4096
-    #: Telling words are over `ratio` times as common in toxic texts, at this false discovery rate.
-    false_rate: float = 0.05
-    ratio: float = 5.0
+    window: int = 128
+    overlap: int = 32
+    dictionary_bytes: int = 8192
+    #: Bytes of a piece, the shortest match; pieces are toxic if over `ratio` times as common in toxic texts, at this false discovery rate.
+    piece: int = 5
+    false_rate: float = 0.01
+    ratio: float = 50.0
+
+
+#: Bytes that both dictionaries begin with and that begin every window that is compressed.
+LEAD = bytes(range(1, 33))
 
 
 @dataclass(frozen=True)
@@ -63,32 +70,35 @@ class Model:
         if not self.toxic:
             prior = self.weights[0]
             return lambda text: prior
-        s, step = self.settings, self.settings.window - self.settings.overlap
-        compress = [_compressor(d).compress for d in (self.ordinary, self.toxic)]
+        s = self.settings
+        compress = [_compressor(d, s.piece).compress for d in (self.ordinary, self.toxic)]
 
         def score(text: str | None) -> float:
-            found = evidence(text.encode("utf-8", "replace") if text else b"", s.window, step, *compress)
+            found = evidence(text.encode("utf-8", "replace") if text else b"", s, *compress)
             z = sum(w * x for w, x in zip(self.weights, features(*found)))
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
         return score
 
 
-def _compressor(content: bytes) -> zstandard.ZstdCompressor:
-    how = zstandard.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=17, search_log=6, min_match=6, target_length=64, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
+def _compressor(content: bytes, piece: int) -> zstandard.ZstdCompressor:
+    # the fast strategy with a target length leaves literals as they are
+    how = zstandard.ZstdCompressionParameters(window_log=17, hash_log=16, chain_log=16, search_log=1, min_match=piece, target_length=1, strategy=zstandard.STRATEGY_FAST, write_content_size=False, write_checksum=False, write_dict_id=False)
     held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=how)
     return zstandard.ZstdCompressor(dict_data=held, compression_params=how)
 
 
-def evidence(data: bytes, window: int, step: int, ordinary, toxic) -> tuple[int, int, list[int]]:
-    """The two largest window distances of data, at least 0, and the numbers of windows by distance, 0 to 6 and more."""
+def evidence(data: bytes, s: Settings, ordinary, toxic) -> tuple[int, int, list[int]]:
+    """The two largest window distances of data, at least 0, and the numbers of windows by distance, 0 to 8 and more."""
     most = second = 0
-    counts = [0] * 7
-    for at in range(0, max(1, len(data) - window + step) if data else 0, step):
-        piece = data[at : at + window]
+    counts = [0] * 9
+    step = s.window - s.overlap
+    low = data.lower()
+    for at in range(0, max(1, len(low) - s.window + step) if low else 0, step):
+        piece = LEAD + low[at : at + s.window]
         distance = len(ordinary(piece)) - len(toxic(piece))
-        counts[max(0, min(6, distance))] += 1
+        counts[max(0, min(8, distance))] += 1
         if distance > second:
             most, second = (distance, most) if distance > most else (most, distance)
     return most, second, counts
@@ -96,79 +106,91 @@ def evidence(data: bytes, window: int, step: int, ordinary, toxic) -> tuple[int,
 
 def features(most: int, second: int, counts: list[int]) -> tuple[float, ...]:
     windows = sum(counts)
-    reached = [sum(counts[k:]) for k in range(7)]
-    shares = (reached[k] / (windows + 1) for k in (2, 4, 6))
-    return 1.0, math.log1p(windows), min(most, 12), min(second, 12), *(math.log1p(n) for n in reached[2:]), *shares
+    reached = [sum(counts[k:]) for k in range(9)]
+    shares = (reached[k] / (windows + 1) for k in (1, 2, 4, 8))
+    return 1.0, math.log1p(windows), min(most, 16), min(second, 16), *(math.log1p(n) for n in reached[1:]), *shares
 
 
-def _words(text: bytes) -> set[bytes]:
-    return {w.strip(_EDGE) for w in _WORD.findall(text.lower())}
+def _pieces(text: bytes, n: int) -> np.ndarray:
+    """The numbers of all pieces of n bytes of a text."""
+    b = np.frombuffer(text, np.uint8).astype(np.uint64)
+    out = np.zeros(max(0, len(b) - n + 1), np.uint64)
+    for k in range(n):
+        out = (out << np.uint64(8)) | b[k : k + len(out)]
+    return out
 
 
-def _found(texts: list[bytes]) -> tuple[dict[bytes, set[bytes]], int]:
-    """The endings of the texts with each word, and the number of endings: texts with one ending count once, as copies do."""
-    found = defaultdict(set)
-    for t in texts:
-        for w in _words(t):
-            if len(w) > 2:
-                found[w].add(t[-64:])
-    return found, max(1, len({t[-64:] for t in texts}))
+def _distinct(texts: list[bytes]) -> list[bytes]:
+    """One text of those with one ending, as copies have."""
+    return list({t[-64:]: t for t in texts}.values())
 
 
 @cache
 def _chance(k: int, n: int, q: float) -> float:
     """The probability that k or more of n texts are toxic if each is with probability q."""
     log = lambda j: math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(q) + (n - j) * math.log1p(-q)
-    return math.fsum(math.exp(log(j)) for j in range(k, n + 1))
-
-
-def _telling(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> set[bytes]:
-    """Words significantly commoner in toxic texts, by the step-up rule over all words that are in two texts or more."""
-    (found, n), (usual, m) = _found(toxic), _found(ordinary)
-    tested = sum(len(v) + len(usual.get(w, ())) > 1 for w, v in found.items()) + sum(len(v) > 1 for w, v in usual.items() if w not in found)
-    chances = []
-    for w, v in found.items():
-        k, other = len(v), len(usual.get(w, ()))
-        if k > 1 and k / n > s.ratio * other / m:
-            chances.append((_chance(k, k + other, n / (n + m)), w))
-    chances.sort()
-    last = max((i for i, (p, _) in enumerate(chances, 1) if p <= s.false_rate * i / tested), default=0)
-    return {w for _, w in chances[:last]}
-
-
-def _alike(telling: set[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Ordinary words that hold the longest pieces, of four bytes or more, of telling words."""
-    usual = Counter(w for t in ordinary for w in _words(t))
-    whole, out = b" " + b" ".join(w for w, _ in sorted(usual.items(), key=lambda r: (-r[1], r[0])) if w and w not in telling) + b" ", {}
-    for word in (b" " + w + b" " for w in sorted(telling)):
-        for i in range(len(word) - 3):
-            at, end = -1, i + 4
-            while end <= len(word) and (k := whole.find(word[i:end])) >= 0:
-                at, end = k, end + 1
-            if at >= 0:
-                # a piece may begin or end with the space beside its word
-                out[whole[whole.rfind(b" ", 0, at + 1) + 1 : whole.index(b" ", max(at + 1, at + end - i - 2))]] = None
-    return list(out)
+    return math.fsum(math.exp(log(j)) for j in range(k, min(n, k + 400) + 1))
 
 
-def _dictionaries(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> tuple[bytes, bytes]:
-    windows = [t[k : k + 256] for t in ordinary for k in range(0, len(t), 256)]
+def _telling(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted pieces that are significantly commoner in toxic texts, by the step-up rule over all pieces of two texts or more.
+
+    With the number of toxic texts that have each.
+    """
+
+    def counted(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_pieces(t, s.piece)) for t in texts)]), return_counts=True)
+
+    (found, k), (usual, m) = counted(toxic), counted(ordinary)
+    at = np.minimum(np.searchsorted(usual, found), max(0, len(usual) - 1))
+    other = np.where(usual[at] == found, m[at], 0) if len(usual) else np.zeros(len(found), np.int64)
+    tested = int((k + other > 1).sum()) + int((~np.isin(usual, found) & (m > 1)).sum())
+    some = np.flatnonzero((k > 1) & (k / len(toxic) > s.ratio * other / len(ordinary)))
+    share = len(toxic) / (len(toxic) + len(ordinary))
+    chances = np.array([_chance(int(a), int(a + b), share) for a, b in zip(k[some], other[some])])
+    order = np.argsort(chances, kind="stable")
+    passed = np.flatnonzero(chances[order] <= s.false_rate * np.arange(1, len(order) + 1) / max(1, tested))
+    chosen = np.sort(some[order[: passed[-1] + 1]]) if len(passed) else some[:0]
+    return found[chosen], k[chosen]
+
+
+def _stretches(text: bytes, telling: np.ndarray, counts: np.ndarray, n: int) -> list[bytes]:
+    """The runs of a text that telling pieces cover; a piece that is much rarer than one it overlaps only stands beside it."""
+    pieces = _pieces(text, n)
+    if not len(pieces) or not len(telling):
+        return []
+    at = np.minimum(np.searchsorted(telling, pieces), len(telling) - 1)
+    known = np.where(telling[at] == pieces, counts[at], 0)
+    wide = np.concatenate([np.zeros(n - 1, known.dtype), known, np.zeros(n - 1, known.dtype)])
+    near = np.lib.stride_tricks.sliding_window_view(wide, 2 * n - 1).max(1)
+    hit = np.concatenate([np.zeros(n, bool), (known > 0) & (2 * known >= near), np.zeros(n, bool)])
+    covered = np.lib.stride_tricks.sliding_window_view(hit, n).any(1)
+    edges = np.flatnonzero(covered[1:] != covered[:-1])
+    return [text[a:b] for a, b in zip(edges[0::2], edges[1::2])]
+
+
+def _trained(samples: list[bytes], size: int) -> bytes:
+    """What zstandard's trainer finds worth keeping of samples; the samples themselves if they are too few to train on."""
     try:
-        base = zstandard.train_dictionary(s.base_bytes, windows).as_bytes()
-    except zstandard.ZstdError:  # too few windows to train on
-        base = b"".join(windows)[-s.base_bytes :]
-    telling, words = _telling(toxic, ordinary, s), {}
-    for t in toxic:
-        words |= {w: None for m in _WORD.finditer(t) if (w := m.group().strip(_EDGE)).lower() in telling}
-    base += b" " + b" ".join(_alike(telling, ordinary))
-    tail = b" " + b" ".join(words) + b" "
-    return base + bytes(len(tail)), base + tail
+        held = zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[-size:]
+    return held
+
+
+def _dictionaries(toxic: list[bytes], ordinary: list[bytes], s: Settings) -> tuple[bytes, bytes]:
+    """The ordinary dictionary and the toxic one, each behind the same lead."""
+    toxic, ordinary = _distinct([t.lower() for t in toxic]), _distinct([t.lower() for t in ordinary])
+    usual = [t[k : k + 256] for t in ordinary for k in range(0, len(t), 256)]
+    base = LEAD + _trained(usual, s.dictionary_bytes)
+    telling = _telling(toxic, ordinary, s)
+    samples = [x for t in toxic if (x := b"\0".join([*_stretches(t, *telling, s.piece), b""]))]
+    own = _trained(samples, s.dictionary_bytes) if samples else b""
+    return base + bytes(len(own)), base + own
 
 
 def _logistic(xs: list[tuple[float, ...]], ys: list[int]) -> tuple[float, ...]:
     """Ridge logistic regression by Newton steps; the first feature is the constant."""
-    import numpy as np
-
     x, y = np.array(xs, float), np.array(ys, float)
     ridge, w = np.full(x.shape[1], 1e-2), np.zeros(x.shape[1])
     ridge[0] = 0
@@ -189,10 +211,10 @@ def fit(rows: list[tuple[bytes, int]], s: Settings = Settings(), prior: float |
     if any(len({y for _, y in half}) < 2 for half in halves):
         return Model(s, b"", b"", (prior,))
     built = lambda part: _dictionaries(*([t for t, y in part if y == k] for k in (1, 0)), s)
-    step, xs, ys = s.window - s.overlap, [], []
+    xs, ys = [], []
     for build, calibrate in (halves, halves[::-1]):
-        compress = [_compressor(d).compress for d in built(build)]
-        xs += [features(*evidence(t, s.window, step, *compress)) for t, _ in calibrate]
+        compress = [_compressor(d, s.piece).compress for d in built(build)]
+        xs += [features(*evidence(t, s, *compress)) for t, _ in calibrate]
         ys += [y for _, y in calibrate]
     constant, *weights = _logistic(xs, ys)
     odds = lambda q: math.log(q / (1 - q))
@@ -229,8 +251,6 @@ def scored(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
             scores = pa.array([score(t) for t in batch.column(at).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, out])
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
 
 
@@ -244,4 +264,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Da
 def without_toxic(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The rows of docs that the classifier does not reject, with docs' columns."""
     model = learned(docs, labels, s)
-    return scored(docs, model, "__score").where("__score < 0.5").select(*docs.columns)
+    name = fresh(docs, "score")
+    return scored(docs, model, name).where(F.col(name) < 0.5).select(*docs.columns)
