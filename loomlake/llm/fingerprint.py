@@ -1,23 +1,27 @@
 """Document fingerprints by one-permutation MinHash, in Spark expressions alone.
 
 Every shingle of five words is hashed once; the hash's upper bits name one of 2 ** `bin_bits` bins, its lower bits the
-value. A bin keeps its least value. Empty bins are filled by optimal densification: an empty bin asks bins drawn by a
-universal hash of (bin, attempt) until one is not empty, and takes that one's value. Of each bin `bits` low-order bits are
-packed into the fingerprint, as hexadecimal text. The likeness of two fingerprints is the share of equal bins, corrected
-for the 2 ** -bits of equal bins that chance gives.
+value. A bin keeps its least value. Empty bins are filled by optimal densification: an empty bin asks other bins, in an
+order of its own that a universal hash gives and that visits every bin once, until one is not empty, and takes that one's
+value. Of each bin `bits` low-order bits are packed into the fingerprint, as hexadecimal text. The likeness of two
+fingerprints is the share of equal bins, corrected for the 2 ** -bits of equal bins that chance gives.
 
 The least value of each bin comes from sorting the packed (bin, value) numbers of a text once, so a document costs one
-sort and no shuffle. Edited texts need the next document: documents are dealt to ranges of ids, whose borders are
-quantiles, with one shuffle of the texts; a window inside a range finds the next one, and only the first document of each
-range, one row each, is joined on for the last one of the range before.
+sort and no shuffle. Edited texts need the next document: documents are dealt to slices of ids with one shuffle of the
+texts, and a window inside each slice finds the next one. A copy of each slice's first document stands at the end of the
+slice before, so nothing is joined and every fingerprint is computed once, after the shuffle. Slices lie between quantiles
+of the ids and are as many as the rows need; rows that share one id, or have none, are dealt by their texts' hashes.
 
 Defined cases: a null text is the empty one; a text without words has no shingle and the fingerprint of zeros; fewer than
-five words are one shingle; equal texts have equal fingerprints; rows with equal ids follow each other by text; null ids
-come last; of one document the next one is itself; an empty table gives an empty result; other columns are ignored.
+five words are one shingle; equal texts have equal fingerprints; rows with equal ids follow each other by the hash of their
+texts, then by text; null ids come last; of one document the next one is itself; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -27,14 +31,14 @@ from loomlake.llm.common import let, partitions
 BIN_BITS = 8
 BITS = 8
 SHINGLE = 5
-#: Attempts of densification that draw bins; a last one then takes the next bin in order that is not empty.
-ATTEMPTS = 24
+#: Bins that an empty bin asks at once: these many, then as many more, and so on until it has asked all.
+DRAWS = (2, 6, 24)
 #: Bits of a hash that are its value in its bin; one more value marks an empty bin.
 VALUE_BITS = 40
 EMPTY = 1 << VALUE_BITS
-#: Documents for each range of ids, and the most ranges.
-RANGE_ROWS = 4000
-MOST_RANGES = 1024
+#: Documents for each slice of ids, and the most quantiles between which slices of equal width lie.
+SLICE_ROWS = 4000
+QUANTILES = 512
 
 
 def shingle_hashes(text: Column, n: int = SHINGLE) -> Column:
@@ -56,65 +60,97 @@ def bin_values(hashes: Column, bin_bits: int = BIN_BITS) -> Column:
 
 
 def densified(values: Column, bin_bits: int = BIN_BITS) -> Column:
-    """Bin values with every empty bin filled from the first drawn bin that is not empty; all 0 if all are empty."""
+    """Bin values with every empty bin filled from the first bin it asks that is not empty; all 0 if all are empty."""
     bins = 1 << bin_bits
+    ends = [0, *(sum(DRAWS[: k + 1]) for k in range(len(DRAWS))), bins]
+    spans = [(a, b - 1) for a, b in zip(ends, ends[1:]) if a < min(b, bins)]
 
     def filled(v: Column) -> Column:
-        draw = lambda b, lo, hi: F.transform(F.sequence(F.lit(lo), F.lit(hi)), lambda t: F.get(v, F.pmod(F.xxhash64(b, t), F.lit(bins)).cast("int")))
-        first = lambda xs: F.get(F.filter(xs, lambda x: x != EMPTY), F.lit(0))
-        onward = lambda b: F.concat(F.slice(v, b + 1, F.lit(bins)), v)
-        # coalesce stops at the first one that is found
-        found = lambda b: F.coalesce(first(draw(b, 1, 3)), first(draw(b, 4, ATTEMPTS)), first(onward(b)))
-        return F.transform(v, lambda x, b: F.when(x != EMPTY, x).otherwise(found(b)))
+        def found(b: Column, order: Column) -> Column:
+            draw = lambda lo, hi: F.transform(F.sequence(F.lit(lo), F.lit(min(hi, bins - 1))), lambda t: F.get(v, (order["s"] + t * order["d"]).bitwiseAND(F.lit(bins - 1)).cast("int")))
+            # coalesce stops at the first one that is found
+            return F.coalesce(*[F.get(F.filter(draw(lo, hi), lambda x: x != EMPTY), F.lit(0)) for lo, hi in spans])
+
+        order = lambda b: F.struct(F.xxhash64(b, F.lit(1)).bitwiseAND(F.lit(bins - 1)).alias("s"), F.xxhash64(b, F.lit(2)).bitwiseOR(F.lit(1)).bitwiseAND(F.lit(bins - 1)).alias("d"))
+        return F.transform(v, lambda x, b: F.when(x != EMPTY, x).otherwise(let(order(b), lambda o: found(b, o))))
 
     zeros = F.array_repeat(F.lit(0).cast("long"), bins)
     return let(values, lambda v: F.when(F.array_min(v) == EMPTY, zeros).otherwise(filled(v)))
 
 
+def cells(text: Column, bin_bits: int = BIN_BITS, bits: int = BITS) -> Column:
+    """The low-order bits of a text's bins, as an array."""
+    return F.transform(densified(bin_values(shingle_hashes(text), bin_bits), bin_bits), lambda x: x.bitwiseAND(F.lit((1 << bits) - 1)).cast("int"))
+
+
+def packed(cells: Column, bits: int = BITS) -> Column:
+    """Cells as hexadecimal text."""
+    digits = -(-bits // 4)
+    return F.array_join(F.transform(cells, lambda x: F.lpad(F.lower(F.hex(x)), digits, "0")), "")
+
+
 def fingerprint(text: Column, bin_bits: int = BIN_BITS, bits: int = BITS) -> Column:
     """The packed low-order bits of a text's bins, as hexadecimal text."""
-    digits = -(-bits // 4)
-    mask = (1 << bits) - 1
-    return F.array_join(F.transform(densified(bin_values(shingle_hashes(text), bin_bits), bin_bits), lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(mask)))), digits, "0")), "")
+    return packed(cells(text, bin_bits, bits), bits)
 
 
 def likeness(a: Column, b: Column, bin_bits: int = BIN_BITS, bits: int = BITS) -> Column:
-    """Estimated Jaccard likeness of two fingerprints: the share of equal bins without those that chance makes equal."""
-    digits = -(-bits // 4)
+    """Estimated Jaccard likeness of two texts by their cells: the share of equal ones without those that chance makes equal."""
     bins, chance = 1 << bin_bits, 2.0**-bits
-    cell = lambda c, i: F.substring(c, i * digits + 1, F.lit(digits))
-    matching = lambda p: F.size(F.filter(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: cell(p["a"], i) == cell(p["b"], i)))
-    equal = let(F.struct(a.alias("a"), b.alias("b")), matching)
+    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
     share = (equal / F.lit(float(bins)) - chance) / (1 - chance)
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, n_chars, fingerprint) with next: text and fingerprint of the next document, descending doc_id."""
-    count = docs.select("doc_id").count()
-    ranges = max(1, min(MOST_RANGES, max(partitions(docs.sparkSession), count // RANGE_ROWS)))
-    bounds = sorted(set(docs.stat.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], 0.2 / ranges))) if ranges > 1 else []
-    borders = F.array(*[F.lit(int(b)) for b in bounds]).cast("array<long>")
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(borders, lambda b: b <= F.col("doc_id"))))
-    rows = docs.withColumn("bucket", bucket)
-    order = [F.col("doc_id").desc(), F.col("text").desc()]
-    here = W.partitionBy("bucket").orderBy(*order)
-    entry = F.struct("text", "fingerprint")
-    rows = rows.withColumn("near", F.lead(entry).over(here))
-    heads = docs.withColumn("bucket", bucket).groupBy("bucket").agg(F.max(F.struct("doc_id", "text", "fingerprint")).alias("head"))
-    down = W.orderBy(F.col("bucket").desc())
-    everything = down.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    heads = heads.select("bucket", F.coalesce(F.lead("head").over(down), F.first("head").over(everything)).alias("head"))
-    after = F.when(F.col("near").isNotNull(), F.col("near")).otherwise(F.struct("head.text", "head.fingerprint"))
-    return rows.join(heads, "bucket").withColumn("next", after).drop("bucket", "near", "head")
+def slices(docs: DataFrame) -> Column:
+    """The number of the slice of a row (doc_id, hash): larger ids, and of one id larger hashes, have larger numbers."""
+    rows, nulls = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    wanted = max(partitions(docs.sparkSession), rows // SLICE_ROWS)
+    parts = min(wanted, QUANTILES)
+    deep = -(-wanted // parts)
+    found = docs.stat.approxQuantile("doc_id", [k / parts for k in range(parts + 1)], 0.2 / parts) if rows > nulls else []
+    counts = Counter(int(x) for x in found)
+    borders = sorted(counts)
+    if not borders:
+        borders = [0]
+    # of each range of ids: its start, its width, how many slices it has, and how many an id at its start alone has
+    ranges = [(a, max(1, b - a), deep if counts[a] < 3 else 1, deep * counts[a] if counts[a] > 2 else 1) for a, b in zip(borders, [*borders[1:], borders[-1] + 1])]
+    table = F.array(*[F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip("awnm", r)]) for r in ranges])
+    at = F.size(F.filter(F.lit(borders).cast("array<long>") if len(borders) > 1 else F.array(F.lit(borders[0]).cast("long")), lambda x: x <= F.col("doc_id"))) - 1
+    hashed = lambda n: F.shiftrightunsigned(F.col("hash").bitwiseXOR(F.lit(-(2**63))), 33) * n / F.lit(float(2**31))
+    most = 2 * max(2, *(r[2] + r[3] for r in ranges), deep * (1 + parts * nulls // max(1, rows)))
+
+    def inside(r: Column) -> Column:
+        alone = F.col("doc_id") == r["a"]
+        # an id that many rows share stands at the start of its range; the rows behind it follow
+        return F.when(alone & (r["m"] > 1), F.floor(hashed(r["m"]))).otherwise(F.when(r["m"] > 1, r["m"]).otherwise(F.lit(0)) + F.least(r["n"] - 1, F.floor((F.col("doc_id") - r["a"]) * r["n"] / r["w"])))
+
+    known = let(F.greatest(F.lit(0), at), lambda i: (i + 1) * F.lit(most) + inside(F.get(table, i)))
+    of_null = max(1, deep * parts * nulls // max(1, rows))
+    return F.when(F.col("doc_id").isNull(), F.floor(hashed(F.lit(of_null))) - F.lit(of_null)).otherwise(known).cast("long")
+
+
+def with_next(docs: DataFrame, of: Column) -> DataFrame:
+    """docs (doc_id, hash, text) with `of` (an expression of text) and, by descending doc_id, the next one's text and `of`."""
+    rows = docs.withColumn("slice", slices(docs))
+    first = F.max(F.struct("doc_id", "hash", "text"))
+    heads = rows.groupBy("slice").agg(first.alias("head"))
+    # a row for each slice; the slice after the last one is the first
+    numbers = heads.select("slice")
+    before = F.coalesce(F.lag("slice").over(W.orderBy(F.desc("slice"))), F.min("slice").over(W.orderBy(F.desc("slice")).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    guests = heads.join(numbers.select("slice", before.alias("before")), "slice").select("head.doc_id", "head.hash", "head.text", F.col("before").alias("slice"), F.lit(True).alias("guest"))
+    both = rows.select("doc_id", "hash", "text", "slice", F.lit(False).alias("guest")).unionByName(guests)
+    down = W.partitionBy("slice").orderBy("guest", F.desc("doc_id"), F.desc("hash"), F.desc("text"))
+    both = both.withColumn("next_text", F.lead("text").over(down)).withColumn("of", of)
+    return both.withColumn("next_of", F.lead("of").over(down)).where("NOT guest").drop("slice", "guest")
 
 
 def edited(docs: DataFrame) -> DataFrame:
     """Fingerprints of docs and of their edited texts, and how near each is to its edited text and to the next document."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint"))
-    cut = F.floor(F.col("n_chars") / 3).cast("int")
-    rows = with_next(rows)
-    rows = rows.withColumn("edited", F.concat(F.substring("text", 1, F.col("n_chars").cast("int") - cut), F.substring("next.text", 1, cut)))
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), F.col("next.fingerprint").alias("next_fingerprint"))
-    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = with_next(docs.select("doc_id", F.xxhash64(text).alias("hash"), text.alias("text")), cells(F.col("text")))
+    n_chars = F.length("text")
+    cut = F.floor(n_chars / 3).cast("int")
+    rows = rows.select("doc_id", n_chars.cast("long").alias("n_chars"), "of", "next_of", F.concat(F.substring("text", 1, n_chars - cut), F.substring("next_text", 1, cut)).alias("edited"))
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "of", "next_of", cells(F.col("edited")).alias("edited_of"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", packed(F.col("of")).alias("fingerprint"), packed(F.col("edited_of")).alias("edited_fingerprint"), likeness(F.col("of"), F.col("edited_of")).alias("near_edited"), likeness(F.col("of"), F.col("next_of")).alias("near_next"))
