@@ -7,8 +7,8 @@ Chunks of two lines or more, and such long lines, that occur more than once in t
 (smallest id, then place) and lose the others; short single lines stay.
 
 Equality is of bytes: hashes only select which chunks' texts are shuffled at all, the grouping is by the text itself.
-A chunk with a third of all occurrences is reduced on the map side by both counts; the join that finds its later
-occurrences carries ids and texts of repeated chunks alone and is split by adaptive execution where it is hot.
+A chunk with a third of all occurrences is reduced on the map side by both counts. What they find is written out, so the
+joins with it are joins of two plain tables, which adaptive execution splits where a chunk is hot.
 
 Defined cases: null texts stay null and are not counted; empty texts have no lines; rows that agree in id and text are
 one document (they share the decision, and do not repeat each other); null ids come first; a text whose every chunk goes
@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.llm.common import let, stored
+from loomlake.llm.common import Scratch, fresh, let, stored
+
 
 #: A single line is a chunk worth removing from this many words on.
 LINE_WORDS = 50
@@ -50,40 +51,43 @@ def chunks(text: Column, line_words: int = LINE_WORDS) -> Column:
     return let(hashed, cut)
 
 
-def later_chunks(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
+def later_chunks(docs: DataFrame, scratch: Scratch, line_words: int) -> DataFrame:
     """doc_id, text_hash, gone: for each document of docs, the places of its chunks that occurred before."""
     rows = docs.where("text IS NOT NULL AND text <> ''").select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(chunks(F.col("text"), line_words)).alias("place", "chunk"))
-    counts = lambda c: (c["lines"] > 1) | is_long(c["text"], line_words)
-    rows = rows.where(counts(F.col("chunk"))).select("doc_id", "text_hash", "place", F.col("chunk.text").alias("text"), F.xxhash64("chunk.text").alias("hash"))
+    rows = rows.where((F.col("chunk.lines") > 1) | is_long(F.col("chunk.text"), line_words)).select("doc_id", "text_hash", "place", F.col("chunk.text").alias("text"), F.xxhash64("chunk.text").alias("hash"))
     place = F.struct("doc_id", "text_hash", "place")
-    several = rows.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("hash")
-    repeated = stored(rows.join(several, "hash", "left_semi"))
-    firsts = repeated.groupBy("text").agg(F.min(place).alias("first"))
-    later = repeated.join(firsts, "text").where(place != F.col("first"))
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("gone"))
-
-
-def deduped(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
-    """docs with later occurrences of repeated chunks removed from text, and __removed_lines, __removed_chunks."""
-    later = later_chunks(docs, line_words).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "gone")
-    rows = docs.join(later, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left")
-    parts = F.when(F.col("gone").isNotNull(), chunks(F.col("text"), line_words))
-    rows = rows.withColumn("__kept", let(parts, lambda p: F.when(p.isNotNull(), F.struct(
-        F.array_join(F.transform(F.filter(p, lambda c, i: ~F.array_contains("gone", i)), lambda c: c["text"]), "\n").alias("text"),
-        F.aggregate(F.filter(p, lambda c, i: F.array_contains("gone", i)), F.lit(0), lambda s, c: s + c["lines"]).alias("lines")))))
-    rows = rows.withColumn("text", F.when(F.col("__kept").isNotNull(), F.col("__kept.text")).otherwise(F.col("text")))
-    rows = rows.withColumn("__removed_lines", F.coalesce("__kept.lines", F.lit(0)).cast("long")).withColumn("__removed_chunks", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
+    several = scratch.stored(rows.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("hash"))
+    repeated = scratch.stored(rows.join(several, "hash", "left_semi"))
+    firsts = scratch.stored(repeated.groupBy("hash", "text").agg(F.min(place).alias("first")))
+    later = repeated.join(firsts, ["hash", "text"]).where(place != F.col("first"))
+    return stored(later.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("gone")))
+
+
+def deduped(docs: DataFrame, lines: str, removed: str, line_words: int = LINE_WORDS) -> DataFrame:
+    """docs with later occurrences of repeated chunks removed from text, and the numbers of lines and of chunks that went."""
+    with Scratch(docs.sparkSession) as scratch:
+        later = later_chunks(docs.select("doc_id", "text"), scratch, line_words)
+    key, text_hash, gone, kept = (fresh(docs, n) for n in ("__id", "__hash", "__gone", "__kept"))
+    later = later.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), F.col("gone").alias(gone))
+    rows = docs.join(later, docs["doc_id"].eqNullSafe(later[key]) & (F.xxhash64(docs["text"]) == later[text_hash]), "left")
+    parts = F.when(F.col(gone).isNotNull(), chunks(F.col("text"), line_words))
+    rows = rows.withColumn(kept, let(parts, lambda p: F.when(p.isNotNull(), F.struct(
+        F.array_join(F.transform(F.filter(p, lambda c, i: ~F.array_contains(gone, i)), lambda c: c["text"]), "\n").alias("text"),
+        F.aggregate(F.filter(p, lambda c, i: F.array_contains(gone, i)), F.lit(0), lambda s, c: s + c["lines"]).alias("lines")))))
+    changed = F.col(kept).isNotNull()
+    out = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.when(changed, F.col(kept)["text"]).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns, "__removed_lines", "__removed_chunks")
+        out["n_chars"] = F.when(changed, F.length(F.col(kept)["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    counts = [F.coalesce(F.col(kept)["lines"], F.lit(0)).cast("long").alias(lines), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(removed)]
+    return rows.select(*[out[c].alias(c) for c in docs.columns], *counts)
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_removed_lines, n_removed_chunks and the text that is kept, one row for each document."""
-    rows = deduped(docs.select("doc_id", "text"))
-    return rows.select("doc_id", F.col("__removed_lines").alias("n_removed_lines"), F.col("__removed_chunks").alias("n_removed_chunks"), F.col("text").alias("kept_text"))
+    rows = deduped(docs.select("doc_id", "text"), "n_removed_lines", "n_removed_chunks")
+    return rows.select("doc_id", "n_removed_lines", "n_removed_chunks", F.col("text").alias("kept_text"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs after line dedup, with its own columns."""
-    return deduped(docs).select(*docs.columns)
+    return deduped(docs, fresh(docs, "__lines"), fresh(docs, "__chunks")).select(*[f"`{c}`" for c in docs.columns])

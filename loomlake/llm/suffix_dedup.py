@@ -290,10 +290,10 @@ def segments(data: bytes, width: int, frequent: np.ndarray) -> tuple[np.ndarray,
     return first, np.r_[first[1:], len(place)], h[place[first]]
 
 
-def _blocks(data: bytes, width: int, frequent: np.ndarray) -> Iterator[tuple]:
+def _blocks(data: bytes, width: int, frequent: np.ndarray, block: int) -> Iterator[tuple]:
     """base, bytes, and the segments of each block of a text."""
-    for base in range(0, max(0, len(data) - width + 1), BLOCK):
-        part = data[base : base + BLOCK + width - 1]
+    for base in range(0, max(0, len(data) - width + 1), block):
+        part = data[base : base + block + width - 1]
         yield base, part, *segments(part, width, frequent)
 
 
@@ -359,7 +359,7 @@ def _spread(rid: np.ndarray, parts: int) -> np.ndarray:
 _BLOBS = "part int, kind int, anchors binary, digests binary, rids binary"
 
 
-def _marks(rows: DataFrame, width: int, frequent, parts: int) -> DataFrame:
+def _marks(rows: DataFrame, width: int, frequent, parts: int, block: int) -> DataFrame:
     """rid, digests, flags, shown: what is known of segments of each document that has any to know of."""
 
     def blobs(kind: int, part: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -374,7 +374,7 @@ def _marks(rows: DataFrame, width: int, frequent, parts: int) -> DataFrame:
             for k in range(0, whole.num_rows, 2048):
                 anchors, digests, rids = [np.zeros(0, np.uint64)], [], [np.zeros(0, np.int64)]
                 for rid, text in zip(*(c.to_pylist() for c in whole.slice(k, 2048).columns)):
-                    for _, part, first, last, keys in _blocks(text, width, often):
+                    for _, part, first, last, keys in _blocks(text, width, often, block):
                         anchors.append(keys)
                         digests += [_digest(part[a : b + width - 1]) for a, b in zip(first.tolist(), last.tolist())]
                         rids.append(np.full(len(keys), rid))
@@ -430,7 +430,7 @@ def _marks(rows: DataFrame, width: int, frequent, parts: int) -> DataFrame:
     return known.mapInArrow(listed, "rid long, digests binary, flags binary, shown boolean")
 
 
-def _hits(rows: DataFrame, marks: DataFrame, width: int, frequent) -> DataFrame:
+def _hits(rows: DataFrame, marks: DataFrame, width: int, frequent, block: int) -> DataFrame:
     """rid, digest, hits: of the compared segments, which windows start elsewhere, one byte each; those without any are left out."""
 
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,7 +440,7 @@ def _hits(rows: DataFrame, marks: DataFrame, width: int, frequent) -> DataFrame:
                 out: list[tuple] = []
                 for rid, text, digests, flags in zip(*(c.to_pylist() for c in batch.columns)):
                     wanted = {d: f for d, f in zip(np.frombuffer(digests, "<u8").tolist(), flags) if f > ALL}
-                    for _, part, first, last, keys in _blocks(text, width, often):
+                    for _, part, first, last, keys in _blocks(text, width, often, block):
                         for a, b, key in zip(first.tolist(), last.tolist(), keys.view(np.int64).tolist()):
                             segment = part[a : b + width - 1]
                             if flag := wanted.pop(_digest(segment), None):
@@ -472,12 +472,12 @@ def _hits(rows: DataFrame, marks: DataFrame, width: int, frequent) -> DataFrame:
     return found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(sorted_, "rid long, digest long, hits binary")
 
 
-def spans(data: bytes, digests: bytes | None, flags: bytes | None, hits: list | None, width: int, often: np.ndarray) -> np.ndarray:
+def spans(data: bytes, digests: bytes | None, flags: bytes | None, hits: list | None, width: int, often: np.ndarray, block: int = BLOCK) -> np.ndarray:
     """Which bytes of a text go."""
     edge = np.zeros(len(data) + 1, np.int32)
     known = {d for d, f in zip(np.frombuffer(digests or b"", "<u8").tolist(), flags or b"") if f == ALL}
     some = {h["digest"] & (2**64 - 1): np.frombuffer(h["hits"], bool) for h in hits or ()}
-    for base, part, first, last, _ in _blocks(data, width, often) if known or some else ():
+    for base, part, first, last, _ in _blocks(data, width, often, block) if known or some else ():
         for a, b in zip(first.tolist(), last.tolist()):
             digest = _digest(part[a : b + width - 1])
             if digest in known:
@@ -490,7 +490,7 @@ def spans(data: bytes, digests: bytes | None, flags: bytes | None, hits: list |
     return np.cumsum(edge[:-1]) > 0
 
 
-def marked(docs: DataFrame, width: int, scratch: Scratch) -> tuple[DataFrame, object]:
+def marked(docs: DataFrame, width: int, scratch: Scratch, block: int) -> tuple[DataFrame, object]:
     """doc_id, data (bytes), digests, flags, hits of each document of docs, and the broadcast buckets of frequent strings."""
     spark = docs.sparkSession
     data = F.encode(F.coalesce(F.col("text"), F.lit("")), "utf-8")
@@ -498,17 +498,17 @@ def marked(docs: DataFrame, width: int, scratch: Scratch) -> tuple[DataFrame, ob
     frequent = spark.sparkContext.broadcast(np.packbits(_frequent(rows, width)))
     size = rows.agg(F.sum(F.length("data"))).first()[0] or 0
     parts = max(partitions(spark), size // 40 // TASK_POSTINGS)
-    marks = scratch.stored(_marks(rows, width, frequent, parts))
-    hits = scratch.stored(_hits(rows, marks, width, frequent))
+    marks = scratch.stored(_marks(rows, width, frequent, parts, block))
+    hits = scratch.stored(_hits(rows, marks, width, frequent, block))
     found = hits.groupBy("rid").agg(F.collect_list(F.struct("digest", "hits")).alias("hits"))
     both = marks.drop("shown").join(found, "rid", "full")
     return rows.join(both, "rid", "left").select("doc_id", "data", "digests", "flags", "hits"), frequent
 
 
-def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def digests(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document of docs: doc_id, text."""
     with Scratch(docs.sparkSession) as scratch:
-        rows, frequent = marked(docs, width, scratch)
+        rows, frequent = marked(docs, width, scratch, block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             often = np.unpackbits(frequent.value).astype(bool)
@@ -516,7 +516,7 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 for batch in (whole.slice(k, 256) for k in range(0, whole.num_rows, 256)):
                     found = []
                     for data, *known in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
-                        gone = spans(data, *known, width, often)
+                        gone = spans(data, *known, width, often, block)
                         rest = np.frombuffer(data, np.uint8)[~gone].tobytes()
                         found.append((len(data), int(gone.sum()), int(np.count_nonzero(gone & ~np.r_[False, gone[:-1]])), hashlib.sha256(rest).hexdigest()))
                     columns = list(zip(*found)) or [()] * 4
@@ -526,15 +526,15 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         return stored(rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """doc_id and the remaining bytes of each document (a span may begin or end inside a character)."""
     with Scratch(docs.sparkSession) as scratch:
-        rows, frequent = marked(docs, width, scratch)
+        rows, frequent = marked(docs, width, scratch, block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             often = np.unpackbits(frequent.value).astype(bool)
             for batch in batches:
-                rest = [np.frombuffer(data, np.uint8)[~spans(data, *known, width, often)].tobytes() for data, *known in zip(*(batch.column(k).to_pylist() for k in range(1, 5)))]
+                rest = [np.frombuffer(data, np.uint8)[~spans(data, *known, width, often, block)].tobytes() for data, *known in zip(*(batch.column(k).to_pylist() for k in range(1, 5)))]
                 yield _batch("doc_id kept", batch.column(0), pa.array(rest, pa.binary()))
 
         return stored(rows.mapInArrow(run, "doc_id long, kept binary"))

@@ -54,8 +54,11 @@ def test_jaccard_components(docs, texts):
     assert sorted(got) == sorted(want)
 
 
-@pytest.mark.parametrize("shard_bytes", [suffix_dedup.SHARD_BYTES, 100])
-def test_suffix_dedup(docs, texts, shard_bytes):
+@pytest.mark.parametrize("case", ["plain", "small blocks and shards", "frequent strings"])
+def test_suffix_dedup(docs, texts, case, monkeypatch):
+    for name, value in {"small blocks and shards": {"SHARD_BYTES": 500}, "frequent strings": {"FREQUENT": 3, "FREQUENT_SHARE": 1e-9}}.get(case, {}).items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    block = 300 if case == "small blocks and shards" else suffix_dedup.BLOCK
     data = [(t or "").encode() for _, t in texts]
     counts = {}
     for d in data:
@@ -69,15 +72,27 @@ def test_suffix_dedup(docs, texts, shard_bytes):
                 gone[k : k + 200] = b"\1" * 200
         rest = bytes(c for c, g in zip(d, gone) if not g)
         want.append((str(i), len(d), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(rest).hexdigest()))
-    got = [(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(docs, shard_bytes=shard_bytes).collect()]
+    got = [(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(docs, block=block).collect()]
     assert sorted(got) == sorted(want)
 
 
-def test_induced_order():
+def test_suffix_arrays():
     rng = random.Random(1)
-    for _ in range(200):
-        s = [rng.randrange(1, 4) for _ in range(rng.randrange(60))] + [0]
-        assert suffix_dedup.induced_order(s, 4) == sorted(range(len(s)), key=lambda i: s[i:])
+    for _ in range(300):
+        letters = rng.choice([1, 2, 3, 26])
+        texts = [bytes(rng.randrange(97, 97 + letters) for _ in range(rng.randrange(1, rng.choice([3, 10, 60])))) for _ in range(rng.randrange(1, 6))]
+        texts += texts[:2] * rng.randrange(2)
+        s, order = suffix_dedup.suffix_array(texts)
+        borders = [i for i, c in enumerate(s) if c == 0]
+        plain = [borders.index(i) if c == 0 else int(c) + 1000 for i, c in enumerate(s)]
+        assert order.tolist() == sorted(range(len(plain)), key=lambda i: plain[i:])
+        for width in (1, 3, 7):
+            counts = {}
+            for t in texts:
+                for i in range(len(t) - width + 1):
+                    counts[t[i : i + width]] = counts.get(t[i : i + width], 0) + 1
+            want = [[counts[t[i : i + width]] > 1 for i in range(max(0, len(t) - width + 1))] for t in texts]
+            assert [h.tolist() for h in suffix_dedup.repeated_starts(texts, width)] == want
 
 
 def test_line_dedup_keeps_first_and_clean_documents(docs, texts):

@@ -90,18 +90,23 @@ def mixed(docs: dict) -> list:
     sizes: dict = {}
     for i, d in docs.items():
         sizes[d["source"]] = sizes.get(d["source"], 0) + words[i]
-    out = []
-    for source, target in targets_of(sizes).items():
-        queue = sorted((i for i in docs if docs[i]["source"] == source), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
-        left = int(target + 0.5)
-        for i in queue * 2:
-            n = min(words[i], left)
-            left -= n
-            if n:
-                text = docs[i]["text"]
-                if n < words[i]:
-                    text = "".join(re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", text)[:n])
-                out.append(docs[i] | {"text": text, "n_chars": len(text), "doc_id": i})
+    targets = targets_of(sizes)
+    passes = []
+    for source, target in targets.items():
+        start = 0
+        for i in sorted((i for i in docs if docs[i]["source"] == source), key=lambda i: hashlib.md5(str(i).encode()).hexdigest()) * 2:
+            if words[i]:
+                passes.append(((start + words[i]) / target, source is None, source or "", start, i))
+                start += words[i]
+    out, left = [], int(sum(targets.values()) + 0.5)
+    for *_, i in sorted(passes):
+        n = min(words[i], left)
+        left -= n
+        if n:
+            text = docs[i]["text"]
+            if n < words[i]:
+                text = "".join(re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", text)[:n])
+            out.append(docs[i] | {"text": text, "n_chars": len(text), "doc_id": i})
     return out
 
 
