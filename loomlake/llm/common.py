@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Fixed value: a word is a run of bytes other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
+BLANK = r"[\x20\x09-\x0D]"
 #: Spark's setting that removes the shuffle files of a query once it has ended.
 _TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from loomlake.llm.common import Scratch, n_words, partitions, stored
+from loomlake.llm.common import BLANK, WORD, Scratch, n_words, partitions, stored
 
 #: Leading hexadecimal digits of the shuffle key that name a piece of a source: 16 ** 3 pieces.
 PIECE_DIGITS = 3
@@ -170,7 +170,8 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     slices = partitions(spark)
     rows = rows.withColumn("slice", F.least(F.floor(F.col("finish") * slices), F.lit(slices - 1)).cast("int"))
     rows = rows.repartitionById(slices, F.col("slice")).sortWithinPartitions("finish", F.col("source").asc_nulls_last(), "start")
-    head = F.expr(r"array_join(slice(regexp_extract_all(row.text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+', 0), 1, cast(served as int)), '')")
+    words = F.regexp_extract_all(F.col("row.text"), F.lit(BLANK + "*" + WORD), F.lit(0))
+    head = F.array_join(F.slice(words, F.lit(1), F.col("served").cast("int")), "")
     text = F.when(F.col("served") < F.col("size"), head).otherwise(F.col("row.text"))
     out = {c: F.col("row").getField(c) for c in docs.columns} | {"text": text}
     if "n_chars" in docs.columns:
