@@ -32,15 +32,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def _written(df: DataFrame) -> tuple[DataFrame, str]:
-    """df as a Parquet table in the shared folder, read again, and its path; the query's shuffle files go at once."""
+#: Spark's setting for the rows that a Python worker gets at once.
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _written(df: DataFrame, rows: int | None = None) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, read again, and its path; the query's shuffle files go at once.
+
+    rows: how many rows a Python worker gets at once, where rows are wide.
+    """
     spark = df.sparkSession
+    usual = spark.conf.get(_ROWS)
+    if rows:
+        spark.conf.set(_ROWS, str(rows))
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     before = spark.conf.get(_TIDY, None)
     spark.conf.set(_TIDY, "true")
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
+        spark.conf.set(_ROWS, usual)
         if before is None:
             spark.conf.unset(_TIDY)
         else:
@@ -60,8 +71,8 @@ class Scratch:
         self.spark = spark
         self.tables: list[tuple[DataFrame, str]] = []
 
-    def stored(self, df: DataFrame) -> DataFrame:
-        self.tables.append(_written(df))
+    def stored(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        self.tables.append(_written(df, rows))
         return self.tables[-1][0]
 
     def drop(self, *dropped: DataFrame) -> None:

@@ -48,7 +48,9 @@ BUCKETS = 1 << 20
 HOT_ROWS = 10_000
 HOT_SHARE = 1 / (1 << 15)
 #: A group is closed at this many cells of its bit matrix; a meeting place is dealt into parts of about this many sets.
-GROUP_CELLS = 1_000_000
+GROUP_CELLS = 250_000
+#: Groups that a Python worker gets at once.
+GROUP_ROWS = 128
 PLACE_SETS = 2_000
 #: Postings that one task of the matrix sorts.
 TASK_POSTINGS = 4_000_000
@@ -568,14 +570,14 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _group_labels(groups: DataFrame, scratch: Scratch, percent: int, parts: int) -> DataFrame:
     """node, label of the groups that link with any other group."""
-    posts, sketches = scratch.stored(_posts(groups)), scratch.stored(_sketches(groups))
+    posts, sketches = scratch.stored(_posts(groups), GROUP_ROWS), scratch.stored(_sketches(groups), GROUP_ROWS)
     edges = known = None
     rounds = 0
     while True:
         last = rounds >= CENTRE_ROUNDS
         rows = _labelled(posts, known)
         pairs = scratch.stored(_possible(rows, percent, parts) if last else _centred(rows))
-        found = scratch.stored(_verified(pairs, groups, sketches, scratch, percent))
+        found = scratch.stored(_verified(pairs, groups, sketches, scratch, percent), GROUP_ROWS)
         any_yet = not found.isEmpty()
         if any_yet:
             edges = found if edges is None else edges.union(found)
