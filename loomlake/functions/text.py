@@ -56,8 +56,34 @@ def character_ids(text: Column, vocabulary: int = 256) -> Column:
     return F.transform(found, lambda c: F.when(c == "<|im_start|>", START).when(c == "<|im_end|>", END).otherwise(F.lit(4) + F.ascii(c) % (vocabulary - 4)).cast("int"))
 
 
+def number(text: Column) -> Column:
+    """A text as a double by the usual rule of scripting languages: white space around, underscores between digits; else null."""
+    bare = strip(text)
+    plain = F.when(bare.rlike(r"\d_\d"), F.regexp_replace(bare, r"(?<=\d)_(?=\d)", "")).otherwise(bare)
+    # a suffix that only names a type makes no number
+    return F.when(plain.rlike(r"(?i)^[+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?|inf|infinity|nan)$"), F.regexp_replace(plain, r"(?i)^([+-]?)inf$", "$1Infinity").try_cast("double"))
+
+
 def score(*columns: Column) -> Column:
-    """The first column that is not null as a double; null where it is no number."""
-    first = F.coalesce(*[c.cast("string") for c in columns])
-    plain = F.when(strip(first).rlike(r"\d_\d"), F.regexp_replace(first, "_", "")).otherwise(first)
-    return strip(plain).try_cast("double")
+    """The first column that is neither null nor empty, as a double; null where it is no number."""
+    return number(F.coalesce(*[F.nullif(c.cast("string"), F.lit("")) for c in columns]))
+
+
+def character_count(text: Column) -> Column:
+    """How many ids `character_ids` gives, without building them: a chat mark counts once."""
+    marks = F.regexp_count(text, F.lit(r"<\|im_start\|>")) * 11 + F.regexp_count(text, F.lit(r"<\|im_end\|>")) * 9
+    return F.coalesce(F.length(text) - marks, F.lit(0))
+
+
+#: Named text functions: of the row's column names, the text.
+TEXTS = {"query_and_answer": lambda columns: query_and_answer(*[F.col(c) if c in columns else F.lit("") for c in ("query", "answer")])}
+
+
+def extracted(columns: list[str], of: str | list[str], join: bool = False, named: str | None = None) -> Column:
+    """The text of a row: by a named function, or of the columns `of`, joined or the first that has any."""
+    if named:
+        if named not in TEXTS:
+            raise ValueError(f"unknown text function {named!r}")
+        return TEXTS[named](columns)
+    have = [F.col(c) for c in ([of] if isinstance(of, str) else of) if c in columns]
+    return F.lit("") if not have else joined(*have) if join else first_filled(*have)

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from loomlake.functions.text import END, IGNORED, PAD, character_ids, first_filled, strip
+from loomlake.operators.sequence import running_before
 
+#: The roles of messages.
 ROLES = ["system", "user", "assistant"]
 #: The columns that may hold each part, in order of preference.
 PROMPTS = ("prompt", "instruction", "input", "problem", "question")
@@ -17,6 +21,9 @@ RESPONSES = ("response", "output", "target", "solution", "answer")
 OUTPUTS = ("output", "response", "target", "answer")
 
 
+MESSAGES = "array<struct<role:string,content:string>>"
+
+
 def message(role: str, content: Column) -> Column:
     return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
@@ -27,23 +34,74 @@ def normalised(messages: Column) -> Column:
     return F.when(good, F.transform(messages, lambda m: F.struct(m["role"].alias("role"), strip(m["content"]).alias("content"))))
 
 
-def converted(df: DataFrame, layout: str) -> Column:
-    """The messages of df's rows in a known layout; null where a part is missing."""
-    have = lambda names: first_filled(*[F.col(c) for c in names if c in df.columns] or [F.lit(None)])
-    if layout in ("messages", "chosen_messages"):
-        return normalised(F.col("messages" if layout == "messages" else "chosen"))
-    if layout == "alpaca":
-        asked, extra, answer = have(("instruction",)), have(("input",)), have(OUTPUTS)
-        user = F.when(extra != "", F.concat(strip(asked), F.lit("\n\n"), strip(extra))).otherwise(strip(asked))
-    elif layout == "prompt_response":
-        asked, answer = have(PROMPTS), have(RESPONSES)
-        user = strip(asked)
-    elif layout == "firefly":
-        asked, answer = have(("input",)), have(("target",))
-        user = strip(asked)
-    else:
+def _have(df: DataFrame, names: Sequence[str]) -> Column:
+    return first_filled(*[F.col(c) for c in names if c in df.columns] or [F.lit(None)])
+
+
+def _two(asked: Column, user: Column, answer: Column, drop_blank: bool) -> Column:
+    filled = (strip(user) != "") & (strip(answer) != "") if drop_blank else (asked != "") & (answer != "")
+    return F.when(filled, F.array(message("user", user), message("assistant", strip(answer))))
+
+
+#: Layouts: a function of the rows, the names of fields and whether blank parts drop a row, that gives messages.
+LAYOUTS: dict[str, Callable[[DataFrame, Mapping[str, Any], bool], Column]] = {}
+
+
+def layout(name: str):
+    """Decorator that adds a layout."""
+
+    def add(f):
+        LAYOUTS[name] = f
+        return f
+
+    return add
+
+
+@layout("messages")
+def _messages(df: DataFrame, fields: Mapping[str, Any], drop_blank: bool) -> Column:
+    return normalised(F.col(fields.get("messages_field", "messages")))
+
+
+@layout("chosen_messages")
+def _chosen(df: DataFrame, fields: Mapping[str, Any], drop_blank: bool) -> Column:
+    return normalised(F.col(fields.get("messages_field", "chosen")))
+
+
+@layout("alpaca")
+def _alpaca(df: DataFrame, fields: Mapping[str, Any], drop_blank: bool) -> Column:
+    asked = _have(df, [fields.get("instruction_field", "instruction")])
+    extra = strip(_have(df, [fields.get("input_field", "input")]))
+    answer = _have(df, [fields["output_field"], *OUTPUTS] if "output_field" in fields else OUTPUTS)
+    return _two(asked, F.when(extra != "", F.concat(strip(asked), F.lit("\n\n"), extra)).otherwise(strip(asked)), answer, drop_blank)
+
+
+@layout("prompt_response")
+def _prompt(df: DataFrame, fields: Mapping[str, Any], drop_blank: bool) -> Column:
+    asked = _have(df, [fields["prompt_field"], *PROMPTS] if "prompt_field" in fields else PROMPTS)
+    answer = _have(df, [fields["response_field"], *RESPONSES] if "response_field" in fields else RESPONSES)
+    return _two(asked, strip(asked), answer, drop_blank)
+
+
+@layout("firefly")
+def _firefly(df: DataFrame, fields: Mapping[str, Any], drop_blank: bool) -> Column:
+    asked, answer = _have(df, [fields.get("input_field", "input")]), _have(df, [fields.get("target_field", "target")])
+    return _two(asked, strip(asked), answer, drop_blank)
+
+
+def converted(df: DataFrame, layout: str, fields: Mapping[str, Any] | None = None, drop_blank: bool = False) -> Column:
+    """The messages of df's rows in a known layout; null where a part is missing.
+
+    fields: other names of the parts. drop_blank: also null where a part is white space alone, which the strict check rejects.
+    """
+    if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
-    return F.when((asked != "") & (answer != ""), F.array(message("user", user), message("assistant", strip(answer))))
+    return LAYOUTS[layout](df, fields or {}, drop_blank)
+
+
+def checked(messages: Column, where: Column) -> Column:
+    """Normalised messages; a row that is not valid raises and names its place."""
+    fine = normalised(messages)
+    return F.when(fine.isNotNull(), fine).otherwise(F.raise_error(F.concat(F.lit("invalid conversation at "), where)).cast(MESSAGES))
 
 
 def passes(messages: Column, least: int = 0, most: int | None = None, least_assistant: int = 0) -> Column:
@@ -75,15 +133,35 @@ def rendered(messages: Column, length: int, vocabulary: int = 256, end_counts: b
 def padded(df: DataFrame, batch: int, key: str) -> DataFrame:
     """df (key, ids, labels) with batch, attention mask, and ids and labels padded right to the longest row of the batch.
 
-    key numbers the rows from 0 without gaps, so that the batch is key div size.
+    Batches are rows in the order of key, which may have gaps.
     """
-    rows = df.withColumn("batch", F.expr(f"{key} div {batch}"))
+    numbered = running_before(df.select(key).withColumn("__one", F.lit(1)), "__one", key, key, "__place").drop("__one")
+    rows = df.join(numbered, key).withColumn("batch", F.expr(f"__place div {batch}")).drop("__place")
     short = F.max(F.size("ids")).over(W.partitionBy("batch")) - F.size("ids")
     rows = rows.withColumn("__short", short)
     fill = lambda v: F.array_repeat(F.lit(v), F.col("__short"))
     return rows.withColumn("mask", F.concat(F.transform("ids", lambda _: F.lit(1)), fill(0))).withColumn("ids", F.concat("ids", fill(PAD))).withColumn("labels", F.concat("labels", fill(IGNORED))).drop("__short")
 
 
+def collated(sequences: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """sequences with input_ids and labels for pretraining: labels are a copy, as the model shifts them itself."""
+    return sequences.withColumn("input_ids", F.col(tokens)).withColumn("labels", F.col(tokens))
+
+
+def aligned(labels: Column, ids: Column) -> Column:
+    """What each place is to predict: pairs of a place's id and the next label, without ignored ones."""
+    pairs = F.zip_with(F.slice(ids, F.lit(1), F.greatest(F.lit(0), F.size(ids) - 1)), F.slice(labels, F.lit(2), F.greatest(F.lit(0), F.size(labels) - 1)), lambda i, w: F.struct(i.alias("id"), w.alias("next")))
+    return F.filter(pairs, lambda p: p["next"] != IGNORED)
+
+
+def split(rows: DataFrame, key: str, share: float, seed: int) -> DataFrame:
+    """rows with part: 'val' for the held-out places in the order of key, else 'train'."""
+    places = rows.sparkSession.createDataFrame([(p,) for p in held_out_places(rows.count(), share, seed)], "__place long")
+    numbered = running_before(rows.select(key).withColumn("__one", F.lit(1)), "__one", key, key, "__place").drop("__one")
+    held = numbered.join(places, "__place", "left_semi").select(key, F.lit("val").alias("__part"))
+    return rows.join(held, key, "left").withColumn("part", F.coalesce("__part", F.lit("train"))).drop("__part")
+
+
 def held_out_places(n: int, share: float, seed: int) -> list[int]:
     """The places of the validation rows: at least one of n; an empty training part is an error."""
     if share <= 0:

@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from loomlake.functions import text as T
 from loomlake.operators import chat, filters, sequence
+from loomlake.plans import recipe
+from loomlake.sources import samples
+from loomlake.sources.files import union
+from loomlake.streaming import state
 
 LENGTH = 2048
 BUDGET = 100_000
@@ -40,7 +43,8 @@ def query(sql: str | None = None):
 
 
 def with_ids(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.concat(T.character_ids(F.col("text")), F.array(F.lit(T.EOS))).alias("ids"))
+    ids = F.concat(T.character_ids(F.coalesce("text", F.lit(""))), F.array(F.lit(T.EOS)))
+    return docs.select("doc_id", ids.alias("ids"), (T.character_count(F.col("text")) + 1).cast("long").alias("n_ids"))
 
 
 def flat(xs: Column) -> Column:
@@ -63,13 +67,13 @@ def script_ratio_filter(spark, sf_dir):
 @query("SELECT doc_id, quality FROM documents JOIN labels USING (doc_id) WHERE quality >= 1")
 def quality_filter(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id")
-    return rows.where(filters.compiled({"min_score": 1, "score_columns": ["quality"]}, F.col("text"), rows.columns)).select("doc_id", "quality")
+    return rows.where(filters.compiled({"min_quality_score": 1, "quality_columns": ["quality"]}, F.col("text"), rows.columns)).select("doc_id", "quality")
 
 
 @query("SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'de')")
 def language_filter(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    return docs.where(filters.compiled({"languages": ["en", "de"], "language_column": "lang"}, F.col("text"), docs.columns)).select("doc_id", "lang")
+    return docs.where(filters.compiled({"allowed_languages": ["en", "de"], "language_column": "lang"}, F.col("text"), docs.columns)).select("doc_id", "lang")
 
 
 @query("SELECT event_id, value FROM events WHERE value > 50")
@@ -119,8 +123,7 @@ def budgeted_prefix(spark, sf_dir):
 @query(f"SELECT lang, doc_id, tokens FROM (SELECT lang, doc_id, {_EST} AS tokens, coalesce(sum({_EST}) OVER (PARTITION BY lang ORDER BY {_KEY}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < 20000")
 def budget_by_lang(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("lang", "doc_id", T.token_estimate(F.col("text")).alias("tokens"), sequence.seeded_key(F.lit("42"), F.col("doc_id").cast("string")).alias("key"))
-    before = F.coalesce(F.sum("tokens").over(W.partitionBy("lang").orderBy("key", "doc_id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("b", before).where("b < 20000").select("lang", "doc_id", "tokens")
+    return sequence.budgeted(rows, "tokens", "key", "doc_id", 20000, "lang").select("lang", "doc_id", "tokens")
 
 
 @query(f"SELECT doc_id, len(ids) + 1 AS n, md5(array_to_string(list_append(ids, 1), ',')) AS ids FROM (SELECT doc_id, {_IDS.format(t='text')} AS ids FROM documents)")
@@ -128,10 +131,11 @@ def toy_token_ids(spark, sf_dir):
     return with_ids(read(spark, sf_dir, "documents")).select("doc_id", F.size("ids").cast("long").alias("n"), flat(F.col("ids")).alias("ids"))
 
 
-@query("SELECT coalesce(source, 'TOTAL') AS dataset, sum(length(text) + 1)::BIGINT AS tokens, count(*) AS docs FROM documents WHERE NOT contains(text, '<|im_') GROUP BY ROLLUP (source)")
+@query(f"SELECT CASE WHEN grouping(source) = 1 THEN 'TOTAL' ELSE coalesce(source, '') END AS dataset, sum(coalesce(len({_IDS.format(t='text')}), 0) + 1)::BIGINT AS tokens, count(*) AS docs FROM documents GROUP BY ROLLUP (source)")
 def token_rollup(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("source", (F.coalesce(F.size(T.character_ids(F.col("text"))), F.lit(0)) + 1).cast("long").alias("n"))
-    return docs.rollup("source").agg(F.sum("n").alias("tokens"), F.count("*").alias("docs")).select(F.coalesce("source", F.lit("TOTAL")).alias("dataset"), "tokens", "docs")
+    docs = read(spark, sf_dir, "documents").select("source", (T.character_count(F.col("text")) + 1).cast("long").alias("n"))
+    name = F.when(F.grouping("source") == 1, F.lit("TOTAL")).otherwise(F.coalesce("source", F.lit("")))
+    return docs.rollup("source").agg(name.alias("dataset"), F.sum("n").alias("tokens"), F.count("*").alias("docs")).select("dataset", "tokens", "docs")
 
 
 @query("SELECT doc_id, coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off FROM documents WHERE n_chars > 0")
@@ -145,16 +149,16 @@ _FLAT = f"flat AS (SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS pos, id
 
 @query(f"WITH {_FLAT} SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}")
 def packed_sequences(spark, sf_dir):
-    return sequence.packed(with_ids(read(spark, sf_dir, "documents")), LENGTH).select("seq", flat(F.col("tokens")).alias("tokens"))
+    return sequence.packed(with_ids(read(spark, sf_dir, "documents")), LENGTH, n=F.col("n_ids")).select("seq", flat(F.col("tokens")).alias("tokens"))
 
 
 @query(f"WITH {_FLAT}, t AS (SELECT count(*) AS n, ((count(*) * 0.1::DOUBLE)::BIGINT // {LENGTH}) * {LENGTH} AS v FROM flat), s AS (SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}) "
        f"SELECT seq, tokens, CASE WHEN seq < (n - v) // {LENGTH} THEN 'train' ELSE 'val' END AS part FROM s, t WHERE seq < (n - v) // {LENGTH} + v // {LENGTH}")
 def train_val_split(spark, sf_dir):
     docs = with_ids(read(spark, sf_dir, "documents"))
-    total = docs.agg(F.sum(F.size("ids"))).first()[0]
+    total = docs.agg(F.sum("n_ids")).first()[0] or 0
     train, held = sequence.tail_split(total, LENGTH, 0.1)
-    rows = sequence.packed(docs, LENGTH).where(F.col("seq") < (train + held) // LENGTH)
+    rows = sequence.packed(docs, LENGTH, n=F.col("n_ids")).where(F.col("seq") < (train + held) // LENGTH)
     return rows.select("seq", flat(F.col("tokens")).alias("tokens"), F.when(F.col("seq") < train // LENGTH, "train").otherwise("val").alias("part"))
 
 
@@ -211,7 +215,7 @@ def chatml_render(spark, sf_dir):
     return _chat(spark, sf_dir).select("conv_id", flat(F.col("ids")).alias("ids"), flat(F.col("labels")).alias("labels"))
 
 
-@query(f"WITH {_VALID}, r AS (SELECT conv_id, {_CHAT_IDS} AS ids, conv_id // 8 AS batch FROM valid), p AS (SELECT conv_id, ids, max(len(ids)) OVER (PARTITION BY batch) AS most FROM r) SELECT conv_id, most AS padded, md5(array_to_string(list_concat(ids, list_transform(range(most - len(ids)), lambda i: 0)), ',')) AS ids, len(ids) AS attended FROM p")
+@query(f"WITH {_VALID}, r AS (SELECT conv_id, {_CHAT_IDS} AS ids, (row_number() OVER (ORDER BY conv_id) - 1) // 8 AS batch FROM valid), p AS (SELECT conv_id, ids, max(len(ids)) OVER (PARTITION BY batch) AS most FROM r) SELECT conv_id, most AS padded, md5(array_to_string(list_concat(ids, list_transform(range(most - len(ids)), lambda i: 0)), ',')) AS ids, len(ids) AS attended FROM p")
 def padded_batches(spark, sf_dir):
     rows = chat.padded(_chat(spark, sf_dir), 8, "conv_id")
     return rows.select("conv_id", F.size("ids").cast("long").alias("padded"), flat(F.col("ids")).alias("ids"), F.aggregate("mask", F.lit(0), lambda a, x: a + x).cast("long").alias("attended"))
@@ -219,12 +223,103 @@ def padded_batches(spark, sf_dir):
 
 @query()
 def sft_split(spark, sf_dir):
-    rows = _normal(spark, sf_dir).select("conv_id")
-    places = chat.held_out_places(rows.count(), 0.1, 42)
-    numbered = sequence.running_before(rows.withColumn("one", F.lit(1)), "one", "conv_id", "conv_id", "place")
-    return numbered.select("conv_id", F.when(F.col("place").isin(places), "val").otherwise("train").alias("part"))
+    return chat.split(_normal(spark, sf_dir).select("conv_id"), "conv_id", 0.1, 42)
 
 
 @query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
 def anti_join_resume(spark, sf_dir):
     return read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id")
+
+
+@query("SELECT doc_id FROM documents WHERE text <> '' AND length(regexp_replace(text, '^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$', '', 'g')) >= 200 AND length(text) <= 12000")
+def one_stage_filter(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return docs.where(filters.accepted({"max_chars": 12000}, F.col("text"), docs.columns, mode="one_stage", least=200)).select("doc_id")
+
+
+@query("SELECT e.event_id FROM events e WHERE event_type <> 'purchase'")
+def text_comparison(spark, sf_dir):
+    rows = read(spark, sf_dir, "events")
+    return rows.where(filters.compiled({"field": "event_type", "op": "!=", "value": "purchase"}, F.lit(""), rows.columns)).select("event_id")
+
+
+@query("SELECT event_id FROM events WHERE event_id = 7")
+def default_comparison(spark, sf_dir):
+    rows = read(spark, sf_dir, "events")
+    return rows.where(filters.compiled({"field": "event_id", "value": "7"}, F.lit(""), rows.columns)).select("event_id")
+
+
+@query("SELECT d.doc_id FROM documents d JOIN labels USING (doc_id) WHERE quality >= 2 OR (quality >= 1 AND length(text) >= 100)")
+def merged_filter(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id")
+    named = {"good": {"min_quality_score": 5, "quality_column": "quality", "min_chars": 100}}
+    return rows.where(filters.compiled({"min_quality_score": 1}, F.col("text"), rows.columns, "good", named)).select("doc_id")
+
+
+@query("SELECT doc_id, md5(coalesce(source, '') || chr(10) || coalesce(text, '')) AS text FROM documents")
+def named_text(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("query"), F.col("text").alias("answer"))
+    return rows.select("doc_id", F.md5(T.extracted(rows.columns, [], named="query_and_answer")).alias("text"))
+
+
+_TWO = "SELECT doc_id, md5('user:' || {user} || chr(10) || 'assistant:' || trim(source)) AS messages FROM documents WHERE lang <> '' AND source <> ''"
+
+
+def _layout(spark, sf_dir, layout, names):
+    rows = read(spark, sf_dir, "documents").select("doc_id", *[F.col(a).alias(b) for b, a in names.items()])
+    rows = rows.withColumn("m", chat.converted(rows, layout)).where("m IS NOT NULL")
+    return rows.select("doc_id", F.md5(F.array_join(F.transform("m", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")).alias("messages"))
+
+
+@query(_TWO.format(user="trim(lang) || chr(10) || chr(10) || trim(source)"))
+def alpaca_layout(spark, sf_dir):
+    return _layout(spark, sf_dir, "alpaca", {"instruction": "lang", "input": "source", "response": "source"})
+
+
+@query(_TWO.format(user="trim(lang)"))
+def prompt_response_layout(spark, sf_dir):
+    return _layout(spark, sf_dir, "prompt_response", {"problem": "lang", "solution": "source"})
+
+
+@query(_TWO.format(user="trim(lang)"))
+def firefly_layout(spark, sf_dir):
+    return _layout(spark, sf_dir, "firefly", {"input": "lang", "target": "source"})
+
+
+@query(f"WITH {_FLAT}, cut AS (SELECT pos - 1000 AS pos, id FROM flat WHERE pos >= 1000 AND pos < 61000) SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM cut GROUP BY 1 HAVING count(*) = {LENGTH}")
+def sub_stream_sequences(spark, sf_dir):
+    docs = with_ids(read(spark, sf_dir, "documents")).select("doc_id", "ids")
+    return sequence.sub_stream(docs, 10**12, LENGTH, 1000, 60000).select("seq", flat(F.col("tokens")).alias("tokens"))
+
+
+@query(f"WITH {_VALID} SELECT conv_id FROM (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS k FROM valid) WHERE k > 10")
+def resume_skip(spark, sf_dir):
+    return sequence.resumed(_normal(spark, sf_dir).select("conv_id"), 10, ["conv_id"]).select("conv_id")
+
+
+@query("SELECT i AS pos, ((((i % 128) // 4 + 1) * [1, 3, 5, 7][(i % 4 + 1)::INT]) % 256)::INT AS token FROM range(4096) t(i)")
+def synthetic_tokens(spark, sf_dir):
+    return samples.token_stream(spark)
+
+
+@query("SELECT name, sum(target)::BIGINT AS target, sum(target // 5000000)::BIGINT AS shards, sum(target * 4)::BIGINT AS bytes, grouping(name)::INT AS is_total FROM (VALUES ('a', 12000000), ('b', 4000000)) t(name, target) GROUP BY ROLLUP (name)")
+def plan_table(spark, sf_dir):
+    chosen = {"datasets": [{"name": "a", "target_tokens": 24_000_000}, {"name": "b", "target_tokens": 8_000_000}, {"name": "c", "target_tokens": 1, "enabled": False}]}
+    return recipe.plan(spark, recipe.datasets(chosen, scale=0.5))
+
+
+@query("SELECT 'documents' AS source, doc_id AS id, lang FROM documents UNION ALL SELECT 'pages', page_id, NULL FROM pages")
+def union_of_datasets(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), "lang")
+    return union([docs, read(spark, sf_dir, "pages").select(F.lit("pages").alias("source"), F.col("page_id").alias("id"))]).select("source", "id", "lang")
+
+
+@query("SELECT doc_id FROM documents ANTI JOIN (SELECT doc_id || ':' || n_chars AS id FROM documents WHERE lang = 'en') p ON doc_id || ':' || n_chars = p.id")
+def packed_skip(spark, sf_dir):
+    files = read(spark, sf_dir, "documents").select("doc_id", "lang", F.col("doc_id").cast("string").alias("path"), F.col("n_chars").alias("size"))
+    return state.not_packed(files, files.where("lang = 'en'").withColumn("id", state.stable_id())).select("doc_id")
+
+
+@query("SELECT doc_id FROM documents SEMI JOIN labels USING (doc_id)")
+def already_published(spark, sf_dir):
+    return state.removable(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "doc_id").select("doc_id")

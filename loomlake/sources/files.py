@@ -1,31 +1,147 @@
-"""Readers of corpus files by format, and writers of shards."""
+"""Readers of corpus files by format, and writers of rows and archives."""
 
 from __future__ import annotations
 
+import io
 import json
+import re
 import tarfile
-from collections.abc import Iterable
-from pathlib import Path
+from collections.abc import Iterable, Iterator, Mapping
+from functools import reduce
+from pathlib import Path, PurePosixPath
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loomlake.functions.text import strip
 
-def read_rows(spark: SparkSession, path: str, fmt: str) -> DataFrame:
-    """Rows of Parquet, JSON lines, a JSON array, CSV or TSV files; values of CSV and TSV are strings; a bad JSON line raises."""
+#: The file formats by ending.
+FORMATS = ("parquet", "csv", "tsv", "jsonl", "json", "arrow")
+
+
+def detect_format(path: str) -> str | None:
+    """The format of a file by its ending, in any case; None for other files."""
+    ending = PurePosixPath(path).suffix[1:].lower()
+    return ending if ending in FORMATS else None
+
+
+def listed(spark: SparkSession, root: str) -> list[dict[str, Any]]:
+    """path (below root) and size of all files below a folder of any store that Spark reads, sorted by path."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(conf)
+    top = fs.makeQualified(top)
+    found, files = [], fs.listFiles(top, True)
+    while files.hasNext():
+        f = files.next()
+        found.append({"path": f.getPath().toString()[len(top.toString().rstrip("/")) + 1 :], "size": f.getLen()})
+    return sorted(found, key=lambda f: f["path"])
+
+
+def data_files(files: Iterable[Mapping[str, Any]], config: str | None = None, split: str = "train") -> list[dict[str, Any]]:
+    """The files of a dataset's listing to read: those below the folder `config`, else those that name it.
+
+    Of files other than Parquet only those whose names begin with the split, if there are any.
+    """
+    found = [dict(f) for f in files if detect_format(f["path"])]
+    if config:
+        found = [f for f in found if f["path"].startswith(config + "/")] or [f for f in found if config in f["path"]]
+    columnar = [f for f in found if f["path"].endswith(".parquet")]
+    others = [f for f in found if not f["path"].endswith(".parquet")]
+    of_split = [f for f in others if re.match(re.escape(split) + r"[.-]", PurePosixPath(f["path"]).name)]
+    return sorted(columnar + (of_split or others), key=lambda f: f["path"])
+
+
+def _arrow_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of Arrow files; the schema is that of the first one."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[aA][rR][rR][oO][wW]").load(path) if detect_format(path) != "arrow" else spark.read.format("binaryFile").load(path)
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    first = files.orderBy("path").select("content").first()
+    if first is None:
+        raise FileNotFoundError(path)
+    with pa.ipc.open_file(io.BytesIO(first[0])) as f:
+        schema = f.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                with pa.ipc.open_file(pa.py_buffer(content.as_py())) as f:
+                    for k in range(f.num_record_batches):
+                        yield f.get_batch(k)
+
+    return files.select("content").mapInArrow(run, from_arrow_schema(schema))
+
+
+def _begins_an_array(spark: SparkSession, path: str) -> bool:
+    """Whether the first character of the first file is an opening bracket."""
+    row = spark.read.format("binaryFile").load(path).orderBy("path").select(F.substring("content", 1, 1).cast("string").alias("c")).first()
+    return row is not None and row["c"] == "["
+
+
+def read_rows(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:
+    """Rows of files of one format, by default that of the ending; values of CSV and TSV are strings; a bad JSON line raises."""
+    fmt = fmt or detect_format(path)
     if fmt == "parquet":
         return spark.read.parquet(path)
-    if fmt == "jsonl":
-        return spark.read.option("mode", "FAILFAST").json(path)
-    if fmt == "json":
-        return spark.read.option("multiLine", True).json(path)
+    if fmt in ("json", "jsonl"):
+        whole = fmt == "json" and _begins_an_array(spark, path)
+        reader = spark.read.option("mode", "FAILFAST").option("multiLine", whole)
+        return (reader.schema(schema) if schema is not None else reader).json(path)
     if fmt in ("csv", "tsv"):
-        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", "," if fmt == "csv" else "\t").csv(path)
+        return spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("sep", "," if fmt == "csv" else "\t").csv(path)
+    if fmt == "arrow":
+        return _arrow_rows(spark, path)
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def write_shards(df: DataFrame, path: str, *by: str) -> None:
-    """Parquet shards, a folder for each value of the columns `by`."""
-    df.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
+def mirrored(spark: SparkSession, root: str, config: str | None = None, split: str = "train", files: Iterable[str] | None = None) -> DataFrame:
+    """Rows of a dataset's mirror in a folder, all of its files in one table; columns that a file lacks are null."""
+    chosen = [{"path": f} for f in files] if files else data_files(listed(spark, root), config, split)
+    if not chosen:
+        raise FileNotFoundError(root)
+    return union([read_rows(spark, f"{root.rstrip('/')}/{f['path']}") for f in chosen])
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    """All rows of several tables; columns that a table lacks are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def raw_texts(spark: SparkSession, path: str) -> DataFrame:
+    """text, and file and row that give the order of reading; only the text column is read and empty texts are dropped."""
+    rows = spark.read.parquet(path).select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows.where("text IS NOT NULL AND text <> ''")
+
+
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (counted from 1) and value of the lines of text files that are not blank."""
+    reader = spark.read if path.endswith((".json", ".jsonl")) else spark.read.option("pathGlobFilter", "*.json*")
+    whole = reader.text(path, wholetext=True)
+    rows = whole.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
+    return rows.where(strip(F.col("value")) != "").withColumn("line", F.col("line") + 1)
+
+
+def conversation_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, line, messages, source of a file or folder of JSON lines; any row that is not valid raises and names file and line.
+
+    A row without a source has its file's name; an explicit null stays.
+    """
+    from loomlake.operators.chat import MESSAGES, checked
+
+    rows = lines(spark, path)
+    where = F.concat_ws(":", "file", F.col("line").cast("string"))
+    parsed = F.from_json("value", f"messages {MESSAGES}, source string")
+    keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))
+    named = F.when(F.array_contains(keys, "source"), parsed["source"]).otherwise(F.regexp_extract("file", r"([^/]*)$", 1))
+    return rows.select("file", "line", checked(parsed["messages"], where).alias("messages"), named.alias("source"))
+
+
+def row_count(spark: SparkSession, path: str) -> int:
+    """How many lines of text files are not blank."""
+    return spark.read.text(path).where(strip(F.col("value")) != "").count()
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
@@ -42,6 +158,15 @@ def write_archive(files: Iterable[str], path: str) -> None:
                 tar.addfile(info, f)
 
 
+def write_archives(files: list[str], folder: str, prefix: str, batches: list[int]) -> list[str]:
+    """One archive for each batch number, named by it; the files of a batch keep their order."""
+    out = []
+    for k in sorted(set(batches)):
+        out.append(f"{folder}/{prefix}_{k:04d}.tar")
+        write_archive([f for f, b in zip(files, batches) if b == k], out[-1])
+    return out
+
+
 def write_state(state: dict, path: str) -> None:
     """A manifest, replaced atomically."""
     new = Path(path + ".new")

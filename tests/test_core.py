@@ -31,8 +31,8 @@ def test_query_matches_sql(spark, name):
 
 
 def test_greedy_shards_and_next_fit():
-    assert sequence.greedy_shards([6, 6, 6, 6], 10) == [0, 0, 1, 1]
-    assert sequence.next_fit([6, 6, 3, 12, 1], 10) == [0, 1, 1, 2, 3]
+    assert list(map(sequence.greedy_shards(10), [6, 6, 6, 6])) == [0, 0, 1, 1]
+    assert list(map(sequence.next_fit(10), [6, 6, 3, 12, 1])) == [0, 1, 1, 2, 3]
 
 
 def test_tail_split():
