@@ -32,8 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from loomlake.llm.common import fresh
+
 #: Words of a task whose ids are remembered before the memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 
 @functools.cache
@@ -249,7 +251,8 @@ def read_description(spark: SparkSession, path: str) -> str:
 
 
 def tokenized(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """docs with the column `ids`: the ids of text, as an array of int."""
+    """docs with the column `ids`: the ids of text, as an array of int; if docs has such a column, ours begins with _."""
+    ids = fresh(docs, ids)
     held = docs.sparkSession.sparkContext.broadcast(read_description(docs.sparkSession, path))
     at = docs.columns.index("text")
 

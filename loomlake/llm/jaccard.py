@@ -51,6 +51,8 @@ HOT_SHARE = 1 / (1 << 15)
 GROUP_CELLS = 250_000
 #: Groups that a Python worker gets at once.
 GROUP_ROWS = 128
+#: Texts that a Python worker gets at once.
+TEXT_ROWS = 2_000
 PLACE_SETS = 2_000
 #: Postings that one task of the matrix sorts.
 TASK_POSTINGS = 4_000_000
@@ -61,7 +63,7 @@ _ODD = [np.uint64(v | 1) for v in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165
 _BASE = 0x2545F4914F6CDD1D
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 #: Bytes of text that are hashed at once.
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -597,7 +599,7 @@ def _least_shared(n: Column, percent: int) -> Column:
 def _classed(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, hash of the text, n, sid, sid2) of docs (doc_id, text), and of each set (sid, sid2) the first row of its component."""
     spark = docs.sparkSession
-    every = scratch.stored(_sets(docs.selectExpr("cast(doc_id as long) doc_id", "xxhash64(text) hash", "text"), n, percent))
+    every = scratch.stored(_sets(docs.selectExpr("cast(doc_id as long) doc_id", "xxhash64(text) hash", "text"), n, percent), TEXT_ROWS)
     sets = every.where("bucket IS NULL")
     firsts = sets.where("text IS NOT NULL")
     counts = every.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT_ROWS)
@@ -610,9 +612,9 @@ def _classed(docs: DataFrame, scratch: Scratch, n: int, percent: int) -> tuple[D
     shared = _shared(firsts, hot, parts, n, percent)
     one = firsts.select("sid", "sid2", "n", "place").dropDuplicates(["sid", "sid2"])
     left = one.join(shared, "sid").withColumn("least", _least_shared(F.col("n"), percent)).where("k >= least")
-    left = scratch.stored(left.select("sid", "sid2", "place", F.expr("substring(tokens, 1, cast(8 * (k - least + 1) as int))").alias("posts")))
+    left = scratch.stored(left.select("sid", "sid2", "place", F.expr("substring(tokens, 1, cast(8 * (k - least + 1) as int))").alias("posts")), TEXT_ROWS)
     texts = firsts.select("sid", "sid2", "text").join(left, ["sid", "sid2"])
-    groups = scratch.stored(_groups(texts, scratch, n, percent).withColumn("gid", F.monotonically_increasing_id()))
+    groups = scratch.stored(_groups(texts, scratch, n, percent).withColumn("gid", F.monotonically_increasing_id()), TEXT_ROWS)
     rows = scratch.stored(sets.select("doc_id", "hash", "n", "sid", "sid2"))
     scratch.drop(every, left)
     labels = _group_labels(groups, scratch, percent, parts)

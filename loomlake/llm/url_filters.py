@@ -25,8 +25,11 @@ OPEN = "9999-12-31"
 
 
 def host_of(url: Column) -> Column:
-    """The lower-case host of an absolute URL, without user, port and trailing dot; null if there is none."""
-    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
+    """The lower-case host of an absolute URL, without user, port and trailing dot; null if there is none.
+
+    Addresses are hosts, too: IPv4 as it stands, IPv6 in its brackets.
+    """
+    found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@\[\]]+)", 1)
     return F.nullif(F.regexp_replace(F.lower(found), r"\.+$", ""), F.lit(""))
 
 
@@ -34,7 +37,7 @@ def intervals(entries: DataFrame) -> DataFrame:
     """pattern, action, valid_from, valid_to (exclusive) of entries: pattern, action ('block' or 'allow'), listed (a date)."""
     rows = entries.where("pattern IS NOT NULL AND action IS NOT NULL AND listed IS NOT NULL")
     # 'block' sorts after 'allow', so the larger action of a day stays
-    rows = rows.groupBy(F.lower("pattern").alias("pattern"), "listed").agg(F.max("action").alias("action"))
+    rows = rows.groupBy(F.regexp_replace(F.lower("pattern"), r"\.+$", "").alias("pattern"), "listed").agg(F.max("action").alias("action"))
     later = F.lead("listed").over(W.partitionBy("pattern").orderBy("listed"))
     return rows.select("pattern", "action", F.col("listed").alias("valid_from"), F.coalesce(later, F.lit(OPEN).cast("date")).alias("valid_to"))
 
@@ -43,6 +46,8 @@ def host_timelines(hosts: DataFrame, entries: DataFrame) -> DataFrame:
     """host, timeline: for each row of hosts that any pattern covers, the intervals of all of these patterns."""
     labels = F.split("host", r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # an address has no parent domains
+    parents = F.when(F.col("host").rlike(r"^(\[.*\]|[0-9]+(\.[0-9]+){3})$"), F.array("host")).otherwise(parents)
     reach = hosts.select("host", F.explode(parents).alias("pattern"))
     held = reach.join(intervals(entries), "pattern")
     step = F.struct(F.length("pattern").alias("level"), "pattern", "action", "valid_from", "valid_to")

@@ -34,6 +34,7 @@ _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
 _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
+_CONTROL = re.compile(r"[\x00-\x20\x7f]")
 _LINK = re.compile(r"<a\b[^>]*\bhref\s*=", re.I)
 
 SCHEMA = "page_id long, kind string, record_id string, refers_to string, target_uri string, headers string, block string, content_length long, block_digest string, payload_digest string"
@@ -61,7 +62,8 @@ def response(page_id: int | None, url: str | None, page: str | None) -> tuple[di
     whole.update(payload)
     headers = {"WARC-Type": "response", "WARC-Record-ID": identifier(f"{page_id} {url}"), "WARC-Date": DATE}
     if url is not None:
-        headers["WARC-Target-URI"] = url
+        # control characters and blanks would end or break the header
+        headers["WARC-Target-URI"] = _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", url)
     headers |= {"WARC-Payload-Digest": digest(payload), "WARC-Block-Digest": "sha1:" + base64.b32encode(whole.digest()).decode(), "Content-Type": "application/http; msgtype=response", "Content-Length": str(len(head) + len(payload))}
     return headers, head, payload
 

@@ -122,10 +122,82 @@ def test_bpe_equals_the_library(docs, texts):
     assert sorted((str(r.doc_id), r.ids_sha256) for r in bpe.round_trip(docs, vocabulary_path()).collect()) == want
 
 
+def test_fingerprints_against_plain_texts(docs, texts):
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+
+    def shingles(t):
+        w = word.findall(t)
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    unique = {i: t or "" for i, t in texts if i is not None and i != 5}
+    rows = fingerprint.edited(docs.where("doc_id <> 5")).collect()
+    assert len(rows) == len(unique)
+    ids = sorted(unique, reverse=True)
+    for r in rows:
+        here, after = unique[r.doc_id], unique[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        cut = len(here) // 3
+        edited = here[: len(here) - cut] + after[:cut]
+        assert r.n_chars == len(here) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        for other, near in ((edited, r.near_edited), (after, r.near_next)):
+            a, b = shingles(here), shingles(other)
+            if a and b:
+                assert abs(near - len(a & b) / len(a | b)) < 0.25
+    every = fingerprint.edited(docs).collect()
+    assert len(every) == len(texts)  # repeated and null ids too
+
+
+def test_url_filters(spark):
+    from datetime import date
+
+    from loomlake.llm import url_filters
+
+    day = date(2024, 1, 10)
+    entries = [("a.com", "block", date(2024, 1, 5)), ("x.a.com.", "allow", date(2024, 1, 5)), ("x.a.com", "block", date(2024, 1, 11)), ("3.4", "block", date(2024, 1, 1)), ("[::1]", "block", date(2024, 1, 1)), ("b.com", "allow", day), ("b.com", "block", day), (None, "block", day), ("c.com", "block", None)]
+    urls = ["http://a.com/", "http://u@X.A.com:80/p", "http://y.a.com./", "http://10.0.3.4/", "http://[::1]:8/", "http://b.com", "http://c.com", "nothing", None, "http://a.com/"]
+    pages = spark.createDataFrame([(k, u, day, "e") for k, u in enumerate(urls)] + [(99, "http://a.com/", None, "e"), (98, "http://a.com/", date(2024, 1, 4), "e")], "page_id long, url string, fetched date, decision string")
+    lists = spark.createDataFrame(entries, "pattern string, action string, listed date")
+    got = {r.page_id: r.decision for r in url_filters.filter_urls(pages, lists).collect()}
+    assert [got[k] for k in range(10)] == ["block", "allow", "block", "none", "block", "block", "none", "none", "none", "block"]
+    assert got[99] == got[98] == "none"
+    assert url_filters.filter_urls(pages.limit(0), lists).collect() == []
+
+
+def test_bpe_round_trip_and_clashing_columns(docs, texts):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary_path())
+    t.no_padding()
+    t.no_truncation()
+    want = sorted((str(i), hashlib.sha256(t.decode(t.encode(s or "", add_special_tokens=False).ids, skip_special_tokens=False).encode()).hexdigest()) for i, s in texts)
+    assert sorted((str(r.doc_id), r.decoded_sha256) for r in bpe.round_trip(docs, vocabulary_path()).collect()) == want
+    clash = docs.withColumnsRenamed({"gid": "ids", "extra": "gone"})
+    rows = bpe.tokenized(clash, vocabulary_path())
+    assert rows.columns == [*clash.columns, "_ids"] and rows.select("ids", "_ids").count() == len(texts)
+    assert line_dedup.without_repeats(clash).columns == clash.columns and line_dedup.without_repeats(clash).count() == len(texts)
+    assert bpe.tokenized(clash.limit(0), vocabulary_path()).collect() == []
+
+
+def test_mixing_of_hard_tables(spark):
+    from loomlake.llm import mixing
+
+    rows = [(None, "a b c", "s"), (None, "a b c", "s"), (1, "x y", None), (1, "x y", None), (2, None, "t"), (3, "", "t"), (4, "w " * 50, "t"), (5, "v " * 9, "u")]
+    docs = spark.createDataFrame([(i, t, s, 1, "z") for i, t, s in rows], "doc_id long, text string, source string, slice int, row string")
+    plan = mixing.taken(docs.repartition(3)).collect()
+    mix = mixing.mixed(docs.repartition(3))
+    words = lambda t: len((t or "").split())
+    assert len(plan) == len(rows) and all(r.taken <= 2 * r.size for r in plan)
+    got = [words(r.text) for r in mix.collect()]
+    assert sum(r.taken for r in plan) == sum(got) == int(sum({r.source_size: r.target for r in plan}.values()) + 0.5)
+    assert mix.columns == docs.columns and 0 not in got
+    again = sorted((str(r.doc_id), r.size, r.taken) for r in mixing.taken(docs.repartition(5)).collect())
+    assert again == sorted((str(r.doc_id), r.size, r.taken) for r in plan)
+    assert mixing.taken(docs.limit(0)).collect() == [] and mixing.mixed(docs.limit(0)).collect() == []
+
+
 def test_warc_links(spark):
-    pages = spark.createDataFrame([(1, "http://a.b/", "<title>T</title><p>x &amp; y</p>"), (2, None, None)], "page_id long, url string, html string")
+    pages = spark.createDataFrame([(1, "http://a.b/", "<title>T</title><p>x &amp; y</p>"), (2, None, None), (3, "http://a/\r\nWARC-Type: x", "y")], "page_id long, url string, html string")
     rows = warc.built(pages).collect()
-    assert len(rows) == 4 and {r.block for r in rows if r.kind == "conversion"} == {"T\nx & y", ""}
+    assert len(rows) == 6 and {r.block for r in rows if r.kind == "conversion"} == {"T\nx & y", "", "y"}
     for r in rows:
         ((headers, block),) = warc.parsed((r.headers + r.block + "\r\n\r\n").encode())
         assert headers["WARC-Refers-To"] == r.refers_to and block.decode() == r.block
