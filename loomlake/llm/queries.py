@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import ann, bpe, fingerprint, jaccard, line_dedup, mixing, suffix_dedup, toxicity, url_filters, warc
+from loomlake.llm import ann, bpe, fingerprint, jaccard, line_dedup, mixing, quality, suffix_dedup, toxicity, url_filters, warc
 from loomlake.llm.common import table
 
 #: The vocabulary that the queries encode with; operators take any path.
@@ -60,6 +60,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_jaccard": op2_jaccard,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
+    "op13_quality": op13_quality,
 }
 
 ORACLES: dict[str, str] = {"op1_url_filters": url_filters.ORACLE, "op10_mixing": mixing.ORACLE}
