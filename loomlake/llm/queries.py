@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomlake.llm import ann, bpe, fingerprint, jaccard, line_dedup, mixing, quality, runs, suffix_dedup, toxicity, url_filters, warc
+from loomlake.llm import ann, bpe, fingerprint, importance, jaccard, line_dedup, mixing, quality, runs, suffix_dedup, toxicity, url_filters, warc
 from loomlake.llm.common import table
 
 #: The vocabulary that the queries encode with; operators take any path.
@@ -60,6 +60,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.with_loops(table(spark, sf_dir, "documents")))
 
@@ -79,8 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
+    "op11_importance": op11_importance,
     "op12_runs": op12_runs,
     "op13_quality": op13_quality,
 }
 
-ORACLES: dict[str, str] = {"op1_url_filters": url_filters.ORACLE, "op10_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op1_url_filters": url_filters.ORACLE, "op10_mixing": mixing.ORACLE, "op11_importance": importance.ORACLE}
