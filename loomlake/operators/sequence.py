@@ -1,161 +1,20 @@
-"""Order-dependent operators: running sums, budgets, cuts, packing into sequences, splits.
-
-A running sum over all rows never uses one window for all: rows are dealt to ranges of their order key, the ranges' sums
-(at most `RANGES` rows) are summed up in order, and a window inside each range does the rest.
-"""
+"""Order-dependent operators by their names: running sums and budgets, cuts, packing, resuming."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
-
-RANGES = 1024
-#: Rows for each range of smaller inputs.
-RANGE_ROWS = 50_000
-
-
-def seeded_key(*parts: Column) -> Column:
-    """A shuffling order key that does not depend on the order of the input: 60 bits of a SHA-256."""
-    return F.conv(F.substring(F.sha2(F.concat_ws("::", *parts), 256), 1, 15), 16, 10).cast("long")
-
-
-def running_before(df: DataFrame, value: str, key: str, tie: str, out: str = "before", by: str | None = None) -> DataFrame:
-    """df with the sum of value over all rows (of the same `by`) with a smaller (key, tie); key is a number without nulls.
-
-    Ranges lie between quantiles of the key, so outliers and gaps leave them even, and are as many as the rows need.
-    """
-    count = df.count()
-    ranges = max(1, min(RANGES, -(-count // RANGE_ROWS)))
-    found = df.stat.approxQuantile(key, [k / ranges for k in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
-    borders = F.array(*[F.lit(int(b)) for b in sorted(set(found))]).cast("array<long>")
-    group = [by] if by else []
-    rows = df.withColumn("__range", F.size(F.filter(borders, lambda b: b <= F.col(key))) if found else F.lit(0))
-    ahead = W.unboundedPreceding, -1
-    sums = rows.groupBy(*group, "__range").agg(F.sum(value).alias("__sum"))
-    sums = sums.select(*group, "__range", F.coalesce(F.sum("__sum").over(W.partitionBy(*group).orderBy("__range").rowsBetween(*ahead)), F.lit(0)).alias("__base"))
-    inside = F.coalesce(F.sum(value).over(W.partitionBy(*group, "__range").orderBy(key, tie).rowsBetween(*ahead)), F.lit(0))
-    # at most RANGES rows of each group
-    small = sums if by else F.broadcast(sums)
-    return rows.withColumn(out, inside).join(small, [*group, "__range"]).withColumn(out, F.col(out) + F.col("__base")).drop("__range", "__base")
-
-
-def budgeted(df: DataFrame, value: str, key: str, tie: str, target: int, by: str | None = None) -> DataFrame:
-    """The rows (of each `by`) before the budget is reached; the row that reaches it is included."""
-    return running_before(df, value, key, tie, "__before", by).where(F.col("__before") < target).drop("__before")
-
-
-def offsets(docs: DataFrame, key: str = "doc_id", n: Column | None = None, tokens: str = "ids") -> DataFrame:
-    """key, off, n of the documents that have tokens: narrow rows, kept so that texts are tokenized once more only."""
-    sizes = docs.select(key, (F.size(tokens) if n is None else n).cast("long").alias("n")).where("n > 0").persist()
-    return running_before(sizes, "n", key, key, "off")
-
-
-def packed(docs: DataFrame, length: int, key: str = "doc_id", tokens: str = "ids", n: Column | None = None) -> DataFrame:
-    """seq, tokens: the concatenation of all documents' tokens, in order, cut into sequences of one length; the tail goes.
-
-    n: how many tokens a document has, where that is cheaper than the tokens themselves.
-    """
-    places = offsets(docs, key, n, tokens).select(key, F.col("off").alias("__off"), F.col("n").alias("__n"))
-    rows = docs.select(key, tokens).join(places, key)
-    rows = rows.withColumn("seq", F.explode(F.sequence(F.expr(f"__off div {length}L"), F.expr(f"(__off + __n - 1) div {length}L"))))
-    start = F.greatest(F.col("__off"), F.col("seq") * length)
-    end = F.least(F.col("__off") + F.col("__n"), (F.col("seq") + 1) * length)
-    part = F.slice(tokens, (start - F.col("__off") + 1).cast("int"), (end - start).cast("int"))
-    parts = rows.select("seq", F.struct(start.alias("start"), part.alias("part")).alias("p")).groupBy("seq").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    return parts.select("seq", F.flatten(F.transform("ps", lambda p: p["part"])).alias("tokens")).where(F.size("tokens") == length)
-
-
-def tail_split(total: int, length: int, share: float, most: int | None = None) -> tuple[int, int]:
-    """Tokens of the training part and of the validation part, both whole sequences; validation follows training."""
-    if not 0 <= share < 1:
-        raise ValueError("the share must be in [0, 1)")
-    held = int(total * share)
-    held = min(held, most) if most is not None else held
-    held -= held % length
-    return (total - held) // length * length, held
-
 
-def sub_stream(docs: DataFrame, total: int, length: int, offset: int = 0, most: int | None = None, key: str = "doc_id", tokens: str = "ids") -> DataFrame:
-    """seq, tokens: the sequences that begin at token `offset` and end before min(total, offset + most), numbered from 0."""
-    if offset < 0 or offset > total:
-        raise ValueError(f"the offset must be between 0 and {total}")
-    end = total if most is None else min(total, offset + most)
-    places = offsets(docs, key, None, tokens)
-    rows = docs.select(key, tokens).join(places, key).where((F.col("off") < end) & (F.col("off") + F.col("n") > offset))
-    skip = F.greatest(F.lit(0), offset - F.col("off"))
-    cut = F.slice(tokens, (skip + 1).cast("int"), (F.least(F.col("n"), end - F.col("off")) - skip).cast("int"))
-    return packed(rows.select(key, cut.alias(tokens)), length, key, tokens)
+from loomlake.operators.cuts import GREEDY, NEXT_FIT, cut_by, greedy_shards, next_fit
+from loomlake.operators.packing import Packing, chunks, packed, sequence_at, sub_stream, tail_split
+from loomlake.operators.ranges import budgeted, running_before, seeded_key
 
-
-def sequence_at(sequences: DataFrame, count: int, place: int) -> DataFrame:
-    """The sequence at a place, which is counted from 0; others, negative ones too, raise."""
-    if not 0 <= place < count:
-        raise IndexError(place)
-    return sequences.where(F.col("seq") == place)
+__all__ = ["GREEDY", "NEXT_FIT", "Packing", "budgeted", "chunks", "cut_by", "greedy_shards", "next_fit", "packed", "resumed", "running_before", "seeded_key", "sequence_at", "sub_stream", "tail_split"]
 
 
 def resumed(valid: DataFrame, existing: int, order: Sequence[str]) -> DataFrame:
     """The valid rows after the first `existing` ones, in a stable order of long keys."""
     rows = running_before(valid.withColumn("__one", F.lit(1)), "__one", order[0], order[-1], "__place")
     return rows.where(F.col("__place") >= existing).drop("__one", "__place")
-
-
-def greedy_shards(threshold: int) -> Callable[[int], int]:
-    """A rule from sizes to shard numbers: a shard closes after the row that reaches the threshold; the excess is forgotten."""
-    shard = held = 0
-
-    def step(n: int) -> int:
-        nonlocal shard, held
-        here = shard
-        held += n
-        if held >= threshold:
-            shard, held = shard + 1, 0
-        return here
-
-    return step
-
-
-def next_fit(target: int) -> Callable[[int], int]:
-    """A rule from sizes to batch numbers: a batch closes before the file that would exceed the target, unless it is empty."""
-    batch, held, empty = 0, 0, True
-
-    def step(n: int) -> int:
-        nonlocal batch, held, empty
-        if not empty and held + n > target:
-            batch, held = batch + 1, 0
-        held, empty = held + n, False
-        return batch
-
-    return step
-
-
-def cut_by(df: DataFrame, dataset: str, order: str, size: str, limit: int, rule=greedy_shards, out: str = "shard") -> DataFrame:
-    """dataset, order, size and the number that a sequential rule gives, for each dataset.
-
-    Rows stream through the rule in order, a batch at a time, so a dataset of any size needs the memory of one batch.
-    """
-    kinds = dict(df.dtypes)
-    rows = df.select(dataset, order, size).withColumn("__null", F.col(dataset).isNull())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, step = None, None
-        for batch in batches:
-            numbers = []
-            for name, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-                if step is None or name != now:
-                    now, step = name, rule(limit)
-                numbers.append(step(n))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(numbers, pa.int64())], names=[dataset, order, size, out])
-
-    ordered = rows.repartition(dataset).sortWithinPartitions(dataset, order)
-    return ordered.mapInArrow(run, f"`{dataset}` {kinds[dataset]}, `{order}` {kinds[order]}, `{size}` {kinds[size]}, `{out}` long")
-
-
-def chunks(df: DataFrame, length: int, tokens: str = "ids") -> DataFrame:
-    """df exploded into chunk, part: slices of a fixed length of each row's tokens."""
-    rows = df.where(F.size(tokens) > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(size({tokens}) - 1) div {length}").cast("int"))))
-    return rows.withColumn("part", F.slice(tokens, F.col("chunk") * length + 1, F.lit(length)))

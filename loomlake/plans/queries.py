@@ -117,13 +117,13 @@ def seeded_order_topk(spark, sf_dir):
 @query(f"SELECT doc_id, tokens FROM (SELECT doc_id, {_EST} AS tokens, coalesce(sum({_EST}) OVER (ORDER BY {_KEY}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < {BUDGET}")
 def budgeted_prefix(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("doc_id", T.token_estimate(F.col("text")).alias("tokens"), sequence.seeded_key(F.lit("42"), F.col("doc_id").cast("string")).alias("key"))
-    return sequence.budgeted(rows, "tokens", "key", "doc_id", BUDGET).select("doc_id", "tokens")
+    return sequence.budgeted(rows, "tokens", "key", "doc_id", BUDGET, even=True).select("doc_id", "tokens")
 
 
 @query(f"SELECT lang, doc_id, tokens FROM (SELECT lang, doc_id, {_EST} AS tokens, coalesce(sum({_EST}) OVER (PARTITION BY lang ORDER BY {_KEY}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < 20000")
 def budget_by_lang(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("lang", "doc_id", T.token_estimate(F.col("text")).alias("tokens"), sequence.seeded_key(F.lit("42"), F.col("doc_id").cast("string")).alias("key"))
-    return sequence.budgeted(rows, "tokens", "key", "doc_id", 20000, "lang").select("lang", "doc_id", "tokens")
+    return sequence.budgeted(rows, "tokens", "key", "doc_id", 20000, "lang", even=True).select("lang", "doc_id", "tokens")
 
 
 @query(f"SELECT doc_id, len(ids) + 1 AS n, md5(array_to_string(list_append(ids, 1), ',')) AS ids FROM (SELECT doc_id, {_IDS.format(t='text')} AS ids FROM documents)")
@@ -147,18 +147,24 @@ def doc_offsets(spark, sf_dir):
 _FLAT = f"flat AS (SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS pos, id FROM (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM (SELECT doc_id, list_append({_IDS.format(t='text')}, 1) AS ids FROM documents)))"
 
 
+def _packing(spark, sf_dir):
+    """Texts are shuffled and tokenized where they are packed."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = F.concat(T.character_ids(F.coalesce("text", F.lit(""))), F.array(F.lit(T.EOS)))
+    return sequence.Packing(docs, LENGTH, tokens=ids, n=T.character_count(F.col("text")) + 1)
+
+
 @query(f"WITH {_FLAT} SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}")
 def packed_sequences(spark, sf_dir):
-    return sequence.packed(with_ids(read(spark, sf_dir, "documents")), LENGTH, n=F.col("n_ids")).select("seq", flat(F.col("tokens")).alias("tokens"))
+    return _packing(spark, sf_dir).sequences().select("seq", flat(F.col("tokens")).alias("tokens"))
 
 
 @query(f"WITH {_FLAT}, t AS (SELECT count(*) AS n, ((count(*) * 0.1::DOUBLE)::BIGINT // {LENGTH}) * {LENGTH} AS v FROM flat), s AS (SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}) "
        f"SELECT seq, tokens, CASE WHEN seq < (n - v) // {LENGTH} THEN 'train' ELSE 'val' END AS part FROM s, t WHERE seq < (n - v) // {LENGTH} + v // {LENGTH}")
 def train_val_split(spark, sf_dir):
-    docs = with_ids(read(spark, sf_dir, "documents"))
-    total = docs.agg(F.sum("n_ids")).first()[0] or 0
-    train, held = sequence.tail_split(total, LENGTH, 0.1)
-    rows = sequence.packed(docs, LENGTH, n=F.col("n_ids")).where(F.col("seq") < (train + held) // LENGTH)
+    packing = _packing(spark, sf_dir)
+    train, held = sequence.tail_split(packing.total, LENGTH, 0.1)
+    rows = packing.sequences(most=train + held)
     return rows.select("seq", flat(F.col("tokens")).alias("tokens"), F.when(F.col("seq") < train // LENGTH, "train").otherwise("val").alias("part"))
 
 
@@ -169,7 +175,7 @@ def raw_shard_cut(spark, sf_dir):
 
 @query("WITH RECURSIVE r AS (SELECT source, n_chars, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k, doc_id FROM documents), w AS (SELECT source, k, doc_id, 0 AS batch, n_chars AS held FROM r WHERE k = 1 UNION ALL SELECT r.source, r.k, r.doc_id, CASE WHEN w.held + r.n_chars > 20000 THEN w.batch + 1 ELSE w.batch END, CASE WHEN w.held + r.n_chars > 20000 THEN r.n_chars ELSE w.held + r.n_chars END FROM w JOIN r ON r.source = w.source AND r.k = w.k + 1) SELECT source, doc_id, batch::BIGINT AS batch FROM w")
 def archive_batches(spark, sf_dir):
-    return sequence.cut_by(read(spark, sf_dir, "documents"), "source", "doc_id", "n_chars", 20000, sequence.next_fit, "batch").select("source", "doc_id", "batch")
+    return sequence.cut_by(read(spark, sf_dir, "documents"), "source", "doc_id", "n_chars", 20000, sequence.NEXT_FIT, "batch").select("source", "doc_id", "batch")
 
 
 @query(f"SELECT doc_id, k AS chunk, md5(array_to_string(ids[k * 1000 + 1 : k * 1000 + 1000], ',')) AS part FROM (SELECT doc_id, ids, unnest(range(0, (len(ids) - 1) // 1000 + 1)) AS k FROM (SELECT doc_id, list_append({_IDS.format(t='text')}, 1) AS ids FROM documents))")
@@ -288,8 +294,7 @@ def firefly_layout(spark, sf_dir):
 
 @query(f"WITH {_FLAT}, cut AS (SELECT pos - 1000 AS pos, id FROM flat WHERE pos >= 1000 AND pos < 61000) SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM cut GROUP BY 1 HAVING count(*) = {LENGTH}")
 def sub_stream_sequences(spark, sf_dir):
-    docs = with_ids(read(spark, sf_dir, "documents")).select("doc_id", "ids")
-    return sequence.sub_stream(docs, 10**12, LENGTH, 1000, 60000).select("seq", flat(F.col("tokens")).alias("tokens"))
+    return _packing(spark, sf_dir).sequences(1000, 60000).select("seq", flat(F.col("tokens")).alias("tokens"))
 
 
 @query(f"WITH {_VALID} SELECT conv_id FROM (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS k FROM valid) WHERE k > 10")

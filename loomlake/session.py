@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import atexit
+import re
+import shutil
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "loomlake", **extra: str) -> SparkSession:
@@ -19,3 +24,22 @@ def local_session(cores: int | str = 8, app: str = "loomlake", **extra: str) ->
     spark = SparkSession.builder.master(f"local[{cores}]").appName(app).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the cluster's setting; in local mode, where it is unset, one of our own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="loomlake-")
+        atexit.register(shutil.rmtree, named, True)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df behind a reliable checkpoint in the shared folder; for narrow tables."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
