@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomlake.functions import text as T
 from loomlake.operators import chat, filters, sequence
+from loomlake.operators.permutation import place_sql
 from loomlake.plans import recipe
 from loomlake.sources import samples
 from loomlake.sources.files import union
@@ -227,7 +228,10 @@ def padded_batches(spark, sf_dir):
     return rows.select("conv_id", F.size("ids").cast("long").alias("padded"), flat(F.col("ids")).alias("ids"), F.aggregate("mask", F.lit(0), lambda a, x: a + x).cast("long").alias("attended"))
 
 
-@query()
+_SPLIT = "placed AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS place, count(*) OVER () AS n FROM valid), sized AS (SELECT *, greatest(1, (length(bin(n - 1)) + 1) // 2) AS bits FROM placed)"
+
+
+@query(f"WITH {_VALID}, {_SPLIT} SELECT conv_id, CASE WHEN {place_sql('place', 'n', 'bits', 42)} < greatest(1, floor(n * 0.1::DOUBLE)) THEN 'val' ELSE 'train' END AS part FROM sized")
 def sft_split(spark, sf_dir):
     return chat.split(_normal(spark, sf_dir).select("conv_id"), "conv_id", 0.1, 42)
 
