@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-import io
 import json
 import re
 import tarfile
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from pathlib import Path, PurePosixPath
 from typing import Any
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from loomlake.functions.text import strip
+from loomlake.sources.binary import read_arrow
 
 #: The file formats by ending.
 FORMATS = ("parquet", "csv", "tsv", "jsonl", "json", "arrow")
@@ -54,55 +55,76 @@ def data_files(files: Iterable[Mapping[str, Any]], config: str | None = None, sp
     return sorted(columnar + (of_split or others), key=lambda f: f["path"])
 
 
-def _arrow_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of Arrow files; the schema is that of the first one."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[aA][rR][rR][oO][wW]").load(path) if detect_format(path) != "arrow" else spark.read.format("binaryFile").load(path)
-    from pyspark.sql.pandas.types import from_arrow_schema
+def _beginnings(spark: SparkSession, paths: list[str], many: int = 1) -> list[str]:
+    """The first bytes of files, read by the driver side by side, as text; many lines where a number is negative."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
 
-    first = files.orderBy("path").select("content").first()
-    if first is None:
-        raise FileNotFoundError(path)
-    with pa.ipc.open_file(io.BytesIO(first[0])) as f:
-        schema = f.schema
+    def first(path: str) -> str:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        stream = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(where.getFileSystem(conf).open(where), "UTF-8"))
+        try:
+            if many < 0:
+                return stream.readLine() or ""
+            code = stream.read()
+            return chr(code) if code >= 0 else ""
+        finally:
+            stream.close()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                with pa.ipc.open_file(pa.py_buffer(content.as_py())) as f:
-                    for k in range(f.num_record_batches):
-                        yield f.get_batch(k)
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(first, paths))
 
-    return files.select("content").mapInArrow(run, from_arrow_schema(schema))
 
+def _paths(spark: SparkSession, path: str | list[str], fmt: str) -> list[str]:
+    """A list of files: that given, a file, or those of a format below a folder."""
+    if not isinstance(path, str):
+        return path
+    if detect_format(path) == fmt:
+        return [path]
+    return [f"{path.rstrip('/')}/{f['path']}" for f in listed(spark, path) if detect_format(f["path"]) == fmt]
 
-def _begins_an_array(spark: SparkSession, path: str) -> bool:
-    """Whether the first character of the first file is an opening bracket."""
-    row = spark.read.format("binaryFile").load(path).orderBy("path").select(F.substring("content", 1, 1).cast("string").alias("c")).first()
-    return row is not None and row["c"] == "["
 
+def read_rows(spark: SparkSession, path: str | list[str], fmt: str | None = None, schema=None) -> DataFrame:
+    """Rows of files of one format, by default that of the ending; values of CSV and TSV are strings; a bad JSON line raises.
 
-def read_rows(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:
-    """Rows of files of one format, by default that of the ending; values of CSV and TSV are strings; a bad JSON line raises."""
-    fmt = fmt or detect_format(path)
+    Each JSON file is an array or lines by its own first character; CSV files may have different headers. Columns that some
+    files lack are null there. One reader serves all files that look alike.
+    """
+    fmt = fmt or detect_format(path if isinstance(path, str) else path[0])
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", not isinstance(path, str)).parquet(*([path] if isinstance(path, str) else path))
     if fmt in ("json", "jsonl"):
-        whole = fmt == "json" and _begins_an_array(spark, path)
-        reader = spark.read.option("mode", "FAILFAST").option("multiLine", whole)
-        return (reader.schema(schema) if schema is not None else reader).json(path)
+        reader = spark.read.option("mode", "FAILFAST")
+        reader = reader.schema(schema) if schema is not None else reader
+        if fmt == "jsonl":
+            return reader.json(path)
+        paths = _paths(spark, path, fmt)
+        kinds = _beginnings(spark, paths)
+        groups = [(whole, [p for p, c in zip(paths, kinds, strict=True) if (c == "[") == whole]) for whole in (True, False)]
+        return union([reader.option("multiLine", whole).json(found) for whole, found in groups if found])
     if fmt in ("csv", "tsv"):
-        return spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("sep", "," if fmt == "csv" else "\t").csv(path)
+        paths = _paths(spark, path, fmt)
+        heads: dict[str, list[str]] = {}
+        for p, line in zip(paths, _beginnings(spark, paths, -1), strict=True):
+            heads.setdefault(line, []).append(p)
+        reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("sep", "," if fmt == "csv" else "\t")
+        return union([reader.csv(found) for found in heads.values()])
     if fmt == "arrow":
-        return _arrow_rows(spark, path)
+        return read_arrow(spark, path)
     raise ValueError(f"unknown format {fmt!r}")
 
 
 def mirrored(spark: SparkSession, root: str, config: str | None = None, split: str = "train", files: Iterable[str] | None = None) -> DataFrame:
-    """Rows of a dataset's mirror in a folder, all of its files in one table; columns that a file lacks are null."""
+    """Rows of a dataset's mirror in a folder, all of its files in one table; columns that a file lacks are null.
+
+    Files of one format are read together.
+    """
     chosen = [{"path": f} for f in files] if files else data_files(listed(spark, root), config, split)
     if not chosen:
         raise FileNotFoundError(root)
-    return union([read_rows(spark, f"{root.rstrip('/')}/{f['path']}") for f in chosen])
+    groups: dict[str, list[str]] = {}
+    for f in chosen:
+        groups.setdefault(detect_format(f["path"]) or "", []).append(f"{root.rstrip('/')}/{f['path']}")
+    return union([read_rows(spark, paths, fmt) for fmt, paths in groups.items()])
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -117,11 +139,19 @@ def raw_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line (counted from 1) and value of the lines of text files that are not blank."""
+    """file, line (counted from 1) and value of the lines of text files that are not blank.
+
+    A file may be read in any number of splits: the lines of each split are counted, the counts of the splits before it are added
+    up, and a line's place in its split is the distance of its row number from the split's first one.
+    """
     reader = spark.read if path.endswith((".json", ".jsonl")) else spark.read.option("pathGlobFilter", "*.json*")
-    whole = reader.text(path, wholetext=True)
-    rows = whole.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
-    return rows.where(strip(F.col("value")) != "").withColumn("line", F.col("line") + 1)
+    at = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    rows = reader.text(path).select(*at, "value").withColumn("number", F.monotonically_increasing_id())
+    splits = rows.groupBy("file", "block").agg(F.min("number").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("file", "block", (before - F.col("first") + 1).alias("shift"))
+    numbered = rows.join(splits, ["file", "block"]).where(strip(F.col("value")) != "")
+    return numbered.select("file", (F.col("number") + F.col("shift")).alias("line"), "value")
 
 
 def conversation_records(spark: SparkSession, path: str) -> DataFrame:

@@ -1,76 +1,19 @@
-"""Shards of rows and of tokens: names, writers, readers, and what a folder of them holds."""
+"""Shards of rows and of tokens: names, and what a folder of them holds."""
 
 from __future__ import annotations
 
-import io
 import re
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomlake.sources.binary import token_counts
 from loomlake.sources.files import listed
 
 #: Fixed value: tokens of a full shard.
 SHARD_TOKENS = 5_000_000
 
 
-def shard_name(dataset: str, index: int, ending: str = "") -> str:
-    return f"{dataset}-{index:05d}{ending}"
-
-
-def write_row_shards(df: DataFrame, path: str, *by: str) -> None:
-    """Parquet shards, a folder for each value of the columns `by`."""
-    df.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
-
-
-def write_token_shards(shards: DataFrame, folder: str) -> DataFrame:
-    """Write shards (dataset, shard, tokens) as .npy files of 32-bit numbers into a folder that executors share.
-
-    name and n of the files that were written. A file appears whole, under its name, or not at all; a rerun replaces it.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        import uuid
-
-        for batch in batches:
-            names, sizes = [], []
-            for dataset, shard, tokens in zip(*(batch.column(k) for k in range(3))):
-                values = tokens.values.to_numpy().astype("<i4")
-                name = shard_name(dataset.as_py(), shard.as_py(), ".npy")
-                part = f"{folder}/.{name}-{uuid.uuid4().hex}"
-                with open(part, "wb") as f:
-                    np.save(f, values)
-                os.replace(part, f"{folder}/{name}")
-                names.append(name)
-                sizes.append(len(values))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["name", "n"])
-
-    return shards.select("dataset", F.col("shard").cast("long"), "tokens").mapInArrow(run, "name string, n long")
-
-
-def _numbers(content: bytes, path: str) -> np.ndarray:
-    return np.load(io.BytesIO(content)).astype("<i4") if path.endswith(".npy") else np.frombuffer(content, "<i4")
-
-
-def read_token_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """path, tokens of the .npy and .bin files of a folder; a folder without any raises. The paths' order is that of the stream."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{npy,bin}").load(folder)
-    if files.select("path").isEmpty():
-        raise FileNotFoundError(f"no token shards in {folder}")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens = _numbers(content.as_py(), path)
-                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.ListArray.from_arrays(pa.array([0, len(tokens)], pa.int32()), pa.array(tokens))], names=["path", "tokens"])
-
-    return files.select("path", "content").mapInArrow(run, "path string, tokens array<int>")
-
-
 def shard_files(files: list[dict], dataset: str) -> list[dict]:
     """Of a listing, the token files of one dataset: the old single file first, then its shards in order.
 
@@ -88,9 +31,12 @@ def next_index(files: list[dict], dataset: str) -> int:
 
 
 def tokens_in(spark: SparkSession, folder: str) -> DataFrame:
-    """dataset, tokens of the shards in a folder, and the grand total with a null dataset; is_total tells it apart."""
+    """dataset, tokens of the shards in a folder, and the grand total with a null dataset; is_total tells it apart.
+
+    Only headers are read.
+    """
     name = F.regexp_extract("path", r"([^/]+?)(?:-\d+)?\.(?:npy|bin)$", 1)
-    rows = read_token_shards(spark, folder).select(name.alias("dataset"), F.size("tokens").cast("long").alias("n"))
+    rows = spark.createDataFrame(token_counts(folder), "path string, n long").select(name.alias("dataset"), "n")
     return rows.rollup("dataset").agg(F.sum("n").alias("tokens"), F.count("*").alias("files"), F.grouping("dataset").cast("int").alias("is_total"))
 
 
