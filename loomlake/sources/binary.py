@@ -45,7 +45,10 @@ def _files(folder: str, endings: tuple[str, ...]) -> list[str]:
 
 
 class ArrowFiles(DataSource):
-    """Arrow files: one partition for each record batch; the schema is that of the first file."""
+    """Arrow files: one partition for each record batch; the schema is that of the first file.
+
+    With the option places, rows also have the columns _file and _row, which tell where they are.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -57,22 +60,25 @@ class ArrowFiles(DataSource):
         folder = self.options["path"]
         store, _ = located(folder.split("\n")[0])
         with store.open_input_file(_files(folder, (".arrow",))[0]) as f, pa.ipc.open_file(f) as reader:
-            return from_arrow_schema(reader.schema)
+            found = from_arrow_schema(reader.schema)
+        return found.add("_file", "string").add("_row", "long") if self.options.get("places") else found
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _ArrowReader(self.options["path"], schema)
+        return _ArrowReader(self.options["path"], schema, bool(self.options.get("places")))
 
 
 class _ArrowReader(DataSourceReader):
-    def __init__(self, folder: str, schema: StructType):
-        self.folder, self.names = folder, schema.names
+    def __init__(self, folder: str, schema: StructType, places: bool):
+        self.folder, self.names, self.places = folder, schema.names, places
 
     def partitions(self) -> list[Part]:
         store, _ = located(self.folder.split("\n")[0])
 
         def batches(path: str) -> list[Part]:
             with store.open_input_file(path) as f, pa.ipc.open_file(f) as reader:
-                return [Part(path, k) for k in range(reader.num_record_batches)]
+                # rows before a batch are known only by reading the batches before it, whose buffers stay untouched
+                sizes = [reader.get_batch(k).num_rows if self.places else 0 for k in range(reader.num_record_batches)]
+                return [Part(path, k, count=sum(sizes[:k])) for k in range(reader.num_record_batches)]
 
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
             return [p for found in pool.map(batches, _files(self.folder, (".arrow",))) for p in found]
@@ -81,6 +87,9 @@ class _ArrowReader(DataSourceReader):
         store, _ = located(self.folder.split("\n")[0])
         with store.open_input_file(part.path) as f, pa.ipc.open_file(f) as reader:
             batch = reader.get_batch(part.start)
+            if self.places:
+                n = batch.num_rows
+                batch = pa.RecordBatch.from_arrays([*batch.columns, pa.array([part.path] * n, pa.string()), pa.array(range(part.count, part.count + n), pa.int64())], names=[*batch.schema.names, "_file", "_row"])
             yield batch.select(self.names) if batch.schema.names != self.names else batch
 
 
@@ -129,10 +138,11 @@ class _TokenReader(DataSourceReader):
         yield pa.RecordBatch.from_arrays([pa.array([part.path]), pa.array([part.start], pa.int64()), tokens], names=["path", "start", "tokens"])
 
 
-def read_arrow(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Rows of an Arrow file, of a list of them in one store, or of all Arrow files below a folder."""
+def read_arrow(spark: SparkSession, path: str | list[str], places: bool = False) -> DataFrame:
+    """Rows of an Arrow file, of a list of them in one store, or of all Arrow files below a folder; places: with _file and _row."""
     spark.dataSource.register(ArrowFiles)
-    return spark.read.format("arrow_files").option("path", path if isinstance(path, str) else "\n".join([*path, ""][: max(2, len(path))])).load()
+    reader = spark.read.format("arrow_files")
+    return (reader.option("places", "yes") if places else reader).option("path", path if isinstance(path, str) else "\n".join([*path, ""][: max(2, len(path))])).load()
 
 
 def read_tokens(spark: SparkSession, path: str, tokens: int = TOKENS) -> DataFrame:

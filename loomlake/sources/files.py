@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import tarfile
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from pathlib import Path, PurePosixPath
@@ -29,11 +29,13 @@ def detect_format(path: str) -> str | None:
 
 
 def listed(spark: SparkSession, root: str) -> list[dict[str, Any]]:
-    """path (below root) and size of all files below a folder of any store that Spark reads, sorted by path."""
+    """path (below root) and size of all files below a folder of any store that Spark reads, sorted by path; none if it is missing."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     top = jvm.org.apache.hadoop.fs.Path(root)
     fs = top.getFileSystem(conf)
     top = fs.makeQualified(top)
+    if not fs.exists(top):
+        return []
     found, files = [], fs.listFiles(top, True)
     while files.hasNext():
         f = files.next()
@@ -83,31 +85,31 @@ def _paths(spark: SparkSession, path: str | list[str], fmt: str) -> list[str]:
     return [f"{path.rstrip('/')}/{f['path']}" for f in listed(spark, path) if detect_format(f["path"]) == fmt]
 
 
-def read_rows(spark: SparkSession, path: str | list[str], fmt: str | None = None, schema=None) -> DataFrame:
+def read_rows(spark: SparkSession, path: str | list[str], fmt: str | None = None, schema=None, each: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Rows of files of one format, by default that of the ending; values of CSV and TSV are strings; a bad JSON line raises.
 
     Each JSON file is an array or lines by its own first character; CSV files may have different headers. Columns that some
-    files lack are null there. One reader serves all files that look alike.
+    files lack are null there. One reader serves all files that look alike; `each` sees what it reads.
     """
     fmt = fmt or detect_format(path if isinstance(path, str) else path[0])
     if fmt == "parquet":
-        return spark.read.option("mergeSchema", not isinstance(path, str)).parquet(*([path] if isinstance(path, str) else path))
+        return each(spark.read.option("mergeSchema", not isinstance(path, str)).parquet(*([path] if isinstance(path, str) else path)))
     if fmt in ("json", "jsonl"):
         reader = spark.read.option("mode", "FAILFAST")
         reader = reader.schema(schema) if schema is not None else reader
         if fmt == "jsonl":
-            return reader.json(path)
+            return each(reader.json(path))
         paths = _paths(spark, path, fmt)
         kinds = _beginnings(spark, paths)
         groups = [(whole, [p for p, c in zip(paths, kinds, strict=True) if (c == "[") == whole]) for whole in (True, False)]
-        return union([reader.option("multiLine", whole).json(found) for whole, found in groups if found])
+        return union([each(reader.option("multiLine", whole).json(found)) for whole, found in groups if found])
     if fmt in ("csv", "tsv"):
         paths = _paths(spark, path, fmt)
         heads: dict[str, list[str]] = {}
         for p, line in zip(paths, _beginnings(spark, paths, -1), strict=True):
             heads.setdefault(line, []).append(p)
         reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("sep", "," if fmt == "csv" else "\t")
-        return union([reader.csv(found) for found in heads.values()])
+        return union([each(reader.csv(found)) for found in heads.values()])
     if fmt == "arrow":
         return read_arrow(spark, path)
     raise ValueError(f"unknown format {fmt!r}")

@@ -207,6 +207,9 @@ def counted(rows: DataFrame, accepted: str, tokens: str, datasets: list[str]) ->
 
 
 def counts(seen: Observation, datasets: list[str]) -> list[tuple[str, int, int, int]]:
-    """dataset, docs, tokens, skipped of a write that has ended."""
+    """dataset, docs, tokens, skipped of a write that has ended; zeros where Spark saw beforehand that there are no rows."""
+    assert seen._jo is not None
+    if not seen._jo.getRow().length():
+        return [(name, 0, 0, 0) for name in datasets]
     got = seen.get
     return [(name, got[f"docs_{k}"], got[f"tokens_{k}"], got[f"skipped_{k}"]) for k, name in enumerate(datasets)]

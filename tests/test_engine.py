@@ -2,17 +2,14 @@
 
 import json
 
-import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomlake.functions import formats, tokenizers
-from loomlake.functions import text as T
-from loomlake.operators import chat, filters, order, sequence
-from loomlake.plans import gates, recipe
-from loomlake.sources import files, samples, shards
-from loomlake.streaming import state
+from loomlake.functions import formats
+from loomlake.operators import chat, filters
+from loomlake.plans import gates
+from loomlake.sources import files, samples
 
 
 def kept(df, config, **more):
@@ -71,43 +68,6 @@ def test_layouts_and_strict_check(spark):
         bad.select(chat.checked(F.col("m"), F.lit("row 7"))).collect()
 
 
-def test_padding_numbers_rows_without_gaps(spark):
-    df = spark.createDataFrame([(5, [1], [1]), (90, [1, 2, 3], [1, 2, 3]), (1000, [4], [4])], "conv_id long, ids array<int>, labels array<int>")
-    got = {r.conv_id: (r.ids, r.labels, r["mask"]) for r in chat.padded(df, 2, "conv_id").collect()}
-    assert got == {5: ([1, 0, 0], [1, -100, -100], [1, 0, 0]), 90: ([1, 2, 3], [1, 2, 3], [1, 1, 1]), 1000: ([4], [4], [1])}
-    assert chat.collated(df, "ids").where("labels = input_ids").count() == 3
-    pairs = df.where("conv_id = 90").select(chat.aligned(F.array(F.lit(-100), F.lit(-100), F.lit(3)), F.col("ids")).alias("p")).first().p
-    assert [(p.id, p.next) for p in pairs] == [(2, 3)]
-
-
-def test_split_and_resume(spark):
-    df = spark.createDataFrame([(k * k,) for k in range(10)], "conv_id long")
-    parts = {r.conv_id: r.part for r in chat.split(df, "conv_id", 0.34, 1).collect()}
-    assert sum(p == "val" for p in parts.values()) == 3
-    assert {k for k, p in parts.items() if p == "val"} == {p * p for p in chat.held_out_places(10, 0.34, 1)}
-    assert sorted(r.conv_id for r in sequence.resumed(df, 8, ["conv_id"]).collect()) == [64, 81]
-
-
-def test_running_sums_with_outliers_and_groups(spark, monkeypatch):
-    monkeypatch.setattr(sequence, "RANGE_ROWS", 100)
-    rows = [(k, k % 2, 1) for k in range(2000)] + [(10**15, 0, 1)]
-    df = spark.createDataFrame(rows, "k long, g int, v long").repartition(5)
-    assert sorted(r.before for r in sequence.running_before(df, "v", "k", "k").collect()) == list(range(2001))
-    got = {r.k: r.before for r in sequence.running_before(df, "v", "k", "k", by="g").collect()}
-    assert got[1999] == 999 and got[10**15] == 1000 and got[0] == got[1] == 0
-
-
-def test_sub_streams_and_places(spark):
-    df = spark.createDataFrame([(1, list(range(6))), (2, list(range(6, 14)))], "doc_id long, ids array<int>")
-    run = lambda *a: {r.seq: r.tokens for r in sequence.sub_stream(df, 14, 4, *a).collect()}
-    assert run(3, 9) == {0: [3, 4, 5, 6], 1: [7, 8, 9, 10]} and run(14) == {}
-    with pytest.raises(ValueError):
-        run(15)
-    assert sequence.sequence_at(sequence.packed(df, 4), 3, 2).first().tokens == [8, 9, 10, 11]
-    with pytest.raises(IndexError):
-        sequence.sequence_at(df, 3, -1)
-
-
 def test_readers_agree(spark, tmp_path):
     rows = [{"a": "1", "b": "x\ny"}, {"a": "2", "b": 'q"r,s'}]
     (tmp_path / "x.jsonl").write_text("\n".join(map(json.dumps, rows)) + "\n")
@@ -126,15 +86,6 @@ def test_readers_agree(spark, tmp_path):
     assert files.mirrored(spark, str(tmp_path), files=["x.csv", "x.jsonl"]).count() == 4
 
 
-def test_listing(spark, tmp_path):
-    found = [{"path": p, "size": 1} for p in ("cfg/train-0.parquet", "cfg/test.csv", "cfg/train.csv", "other/train.csv", "readme.md")]
-    assert [f["path"] for f in files.data_files(found, "cfg")] == ["cfg/train-0.parquet", "cfg/train.csv"]
-    assert [f["path"] for f in files.data_files(found, "ther")] == ["other/train.csv"]
-    (tmp_path / "d").mkdir()
-    (tmp_path / "d" / "f.csv").write_text("abc")
-    assert files.listed(spark, str(tmp_path)) == [{"path": "d/f.csv", "size": 3}] and shards.folder_bytes(spark, str(tmp_path)) == (3, 3)
-
-
 def test_raw_texts_and_conversation_records(spark, tmp_path):
     spark.createDataFrame([("a", 1), ("", 2), (None, 3), ("b", 4)], "text string, other int").coalesce(1).write.parquet(str(tmp_path / "raw"))
     assert [r.text for r in files.raw_texts(spark, str(tmp_path / "raw")).orderBy("file", "row").collect()] == ["a", "b"]
@@ -147,103 +98,12 @@ def test_raw_texts_and_conversation_records(spark, tmp_path):
         files.conversation_records(spark, str(tmp_path / "bad.jsonl")).collect()
 
 
-def test_token_shards(spark, tmp_path):
-    df = spark.createDataFrame([("math", 0, [1, 2, 3]), ("math", 1, [4, 5]), ("math-b", 0, [6])], "dataset string, shard int, tokens array<int>")
-    written = {r.name: r.n for r in shards.write_token_shards(df, str(tmp_path)).collect()}
-    assert written == {"math-00000.npy": 3, "math-00001.npy": 2, "math-b-00000.npy": 1}
-    np.array([7, 8], "<i4").tofile(tmp_path / "old.bin")
-    got = [r.tokens for r in shards.read_token_shards(spark, str(tmp_path)).orderBy("path").collect()]
-    assert got == [[1, 2, 3], [4, 5], [6], [7, 8]]
-    found = [f for f in files.listed(spark, str(tmp_path)) if not f["path"].startswith(".")]
-    assert [f["path"] for f in shards.shard_files(found, "math")] == ["math-00000.npy", "math-00001.npy"]
-    assert shards.next_index(found, "math") == 2 and shards.next_index(found, "new") == 0
-    totals = {(r.dataset, r.is_total): r.tokens for r in shards.tokens_in(spark, str(tmp_path)).collect()}
-    assert totals == {("math", 0): 5, ("math-b", 0): 1, ("old", 0): 2, (None, 1): 8}
-    assert shards.token_progress(found, {"math-00000.npy": 3}, "math") == 3
-    (tmp_path / "none").mkdir()
-    with pytest.raises(FileNotFoundError):
-        shards.read_token_shards(spark, str(tmp_path / "none"))
-
-
 def test_samples(spark):
     tokens = [r.token for r in samples.token_stream(spark).orderBy("pos").collect()]
     assert len(tokens) == 4096 and tokens[:8] == [1, 3, 5, 7, 2, 6, 10, 14] and max(tokens) < 256
     assert samples.conversation_rows(spark).where(chat.normalised(F.col("messages")).isNull()).count() == 0
 
 
-RECIPE = {
-    "sampling": {"seed": 1, "row_order": "sorted"},
-    "filters": {"good": {"min_chars": 5, "max_length": 90}},
-    "datasets": [
-        {"name": "sample", "source": "org/repo", "subset": "part", "text_field": "body", "target_tokens": 100, "filter": "good", "filters": {"max_chars": 50, "add_eos": True}, "sampling": {"seed": 2}},
-        {"name": "disabled", "source": None, "target_tokens": 100, "enabled": False},
-    ],
-}
-
-
-def test_recipes(spark, tmp_path):
-    (d,) = recipe.datasets(RECIPE, scale=0.5)
-    assert (d.path, d.config, d.text, d.target, d.add_eos) == ("org/repo", "part", ("body",), 50, True)
-    assert d.sampling == {"seed": 2, "row_order": "sorted"} and d.filters["min_length"] == 5
-    assert recipe.datasets(RECIPE, "other, disabled") == []
-    (tmp_path / "r.yaml").write_text("datasets:\n- {name: a, target_tokens: 7}\n")
-    assert recipe.datasets(recipe.load(str(tmp_path / "r.yaml")))[0].target == 7
-    folder = tmp_path / "org" / "repo" / "part"
-    folder.mkdir(parents=True)
-    (folder / "train.jsonl").write_text("\n".join(json.dumps({"body": "word " * k}) for k in range(40)))
-    rows = recipe.run(spark, RECIPE, str(tmp_path)).collect()
-    assert all(5 <= len(r.text) <= 90 and r.dataset == "sample" for r in rows) and sum(r.tokens for r in rows[:-1]) < 100
-    assert recipe.run(spark, RECIPE, str(tmp_path), dry=True).first().docs == len(rows)
-
-
-def test_order(spark):
-    found = [{"path": f"data/{k:03d}.parquet", "size": 1} for k in range(10)]
-    once = order.ordered_files(found, "n", "p", 123)
-    assert once == order.ordered_files(found[::-1], "n", "p", 123) and once != found
-    assert order.ordered_files(found[::-1], "n", "p", mode="sorted") == found
-    with pytest.raises(ValueError):
-        order.ordered_files(found, "n", "p", mode="odd")
-    rows = spark.createDataFrame([("f", k) for k in range(20)] + [("g", k) for k in range(3)], "file string, row long")
-    ranked = order.ordered_rows(rows, ["g", "f"], "n", group_rows=8).orderBy("file_rank", "group_rank", "row_rank").collect()
-    assert [r.file for r in ranked[:3]] == ["g"] * 3
-    groups = [r["row"] // 8 for r in ranked[3:]]
-    assert sum(a != b for a, b in zip(groups, groups[1:])) == 2 and [r["row"] for r in ranked[3:]] != list(range(20))
-    plain = order.ordered_rows(rows, ["f", "g"], "n", group_mode="sorted", mode="sorted").orderBy("file_rank", "group_rank", "row_rank").collect()
-    assert [r["row"] for r in plain[:20]] == list(range(20))
-
-
-def test_state(spark, tmp_path):
-    for name in ("checkpoint-9", "checkpoint-200", "checkpoint-1000", "checkpoint-x"):
-        (tmp_path / name).mkdir()
-    assert state.last_checkpoint(str(tmp_path)).endswith("checkpoint-1000")
-    (tmp_path / "checkpoint-200" / "done").write_text("")
-    assert state.last_checkpoint(str(tmp_path), ["done"]).endswith("checkpoint-200") and state.last_checkpoint(str(tmp_path / "no")) is None
-    published = [state.publish_checkpoint(str(tmp_path), str(tmp_path / "to"), str(tmp_path / "state"), ["done"]) for _ in range(2)]
-    assert published == ["checkpoint-200", None]
-    refused, waits = [2], []
-
-    class Slow(state.FolderPublisher):
-        def put(self, path):
-            if refused[0]:
-                refused[0] -= 1
-                raise ConnectionError
-            super().put(path)
-
-    batch = state.Batches(Slow(str(tmp_path / "out")), size=2, wait=waits.append)
-    for k in range(3):
-        (tmp_path / f"s{k}").write_text("x")
-        batch.add(str(tmp_path / f"s{k}"))
-    assert sorted(f.name for f in (tmp_path / "out").iterdir()) == ["s0", "s1"] and waits == [60, 120]
-    batch.flush()
-    assert not (tmp_path / "s2").exists() and state.mirror(str(tmp_path / "out"), str(tmp_path / "copy")) == ["s0", "s1", "s2"]
-    assert state.mirror(str(tmp_path / "out"), str(tmp_path / "copy")) == []
-    with pytest.raises(OSError):
-        state.enough_disk(str(tmp_path), 10**18)
-    state.enough_disk(str(tmp_path), 1, least_free_gb=0)
-    tries = iter([True, True, False])
-    assert state.restarted(lambda: 1 / 0 if next(tries) else None, wait=lambda s: None) == 3
-
-
 def test_gates(tmp_path, monkeypatch):
     monkeypatch.chdir(tmp_path)
     local = {"use_cpu": True, "data_dir": "./data/local_smoke/x", "output_dir": "./artifacts/local/x"}
@@ -274,33 +134,6 @@ def test_formats():
         formats.parsed_size("ten")
 
 
-def test_tokenizers(spark, tmp_path):
-    class Mock:
-        eos_token_id, pad_token_id = 7, None
-
-        def encode(self, text):
-            return {"doc one": [1, 2, 3], "doc two": [4, 5]}.get(text, [])
-
-        def __len__(self):
-            return 10
-
-    df = spark.createDataFrame([(1, "doc one"), (2, "doc two"), (3, None)], "doc_id long, text string")
-    assert [r.ids for r in tokenizers.tokenized(df, Mock()).orderBy("doc_id").collect()] == [[1, 2, 3, 7], [4, 5, 7], [7]]
-    toy = tokenizers.CharacterTokenizer()
-    assert [r.ids for r in tokenizers.tokenized(df, toy).orderBy("doc_id").collect()] == [[*toy.encode(t), 1] for t in ("doc one", "doc two", "")]
-    texts = spark.createDataFrame([("a<|im_start|>\n😀",), ("",), (None,), ("<|im_end|><|im_end|>",)], "text string")
-    assert texts.where(F.coalesce(F.size(T.character_ids(F.col("text"))), F.lit(0)) != T.character_count(F.col("text"))).count() == 0
-    toy.save(str(tmp_path))
-    assert json.loads((tmp_path / "toy_tokenizer.json").read_text())["vocab_size"] == 256
-    tokenizers.check_vocabulary(toy, 300)
-    with pytest.raises(ValueError):
-        tokenizers.check_vocabulary(toy, 100)
-    with pytest.warns(UserWarning):
-        tokenizers.check_vocabulary(toy, 9000)
-    with pytest.raises(ValueError):
-        tokenizers.check_ids(tokenizers.tokenized(df, Mock()), 7)
-
-
 def test_archives(tmp_path):
     import tarfile
 
