@@ -44,9 +44,9 @@ class Packing:
             self.ranges.append((r["__range"], self.total, r["n"], r["head"]))
             self.total += r["n"]
 
-    def _owner(self, base: int, offset: int) -> int | None:
+    def _owner(self, base: int, offset: int, length: int) -> int | None:
         """The range in which the sequence begins that goes on at `base`."""
-        start = offset + (base - offset) // self.length * self.length
+        start = offset + (base - offset) // length * length
         if start < offset or start == base:
             return None
         return next(number for number, begin, n, _ in self.ranges if begin <= start < begin + n)
@@ -55,9 +55,18 @@ class Packing:
         """seq, tokens: the whole sequences from token `offset` on, numbered from 0, that end within `most` tokens."""
         if offset < 0 or offset > self.total:
             raise ValueError(f"the offset must be between 0 and {self.total}")
-        length, end = self.length, self.total if most is None else min(self.total, offset + most)
+        return self._cut(offset, self.total if most is None else min(self.total, offset + most), self.length)
+
+    def rest(self) -> list[int]:
+        """The tokens behind the last whole sequence, fewer than one has."""
+        many = self.total % self.length
+        row = self._cut(self.total - many, self.total, many).first() if many else None
+        return list(row["tokens"]) if row else []
+
+    def _cut(self, offset: int, end: int, length: int) -> DataFrame:
+        """seq, tokens: sequences of a length, at most the usual one, from token `offset` to `end`."""
         begins = {number: (base, base + n) for number, base, n, _ in self.ranges if base < end and base + n > offset}
-        rows = [(number, self._owner(base, offset), head) for number, base, _, head in self.ranges if number in begins]
+        rows = [(number, self._owner(base, offset, length), head) for number, base, _, head in self.ranges if number in begins]
         spark = self.docs.sparkSession
         kinds = f"__range int, __owner int, __head {dict(self.docs.dtypes)[self.key]}"
         # at most RANGES rows

@@ -8,6 +8,7 @@ leaves the folder as it was; a run whose name the manifest has already adds noth
 
 from __future__ import annotations
 
+import json
 import posixpath
 import uuid
 from collections.abc import Iterator
@@ -35,9 +36,9 @@ def shard_file(dataset: str, index: int, ending: str) -> str:
 
 
 def manifest(folder: str) -> dict:
-    """shards (dataset, name, rows, tokens) and runs of a folder; a commit that was not carried out to its end is, first."""
+    """shards (dataset, index, name, rows, tokens), runs and notes of a folder; a commit that was not carried out to its end is, first."""
     store, path = located(folder)
-    state = get_json(store, f"{path}/{MANIFEST}") or {"shards": [], "runs": []}
+    state = get_json(store, f"{path}/{MANIFEST}") or {"shards": [], "runs": [], "notes": {}}
     commit = get_json(store, f"{path}/{COMMIT}")
     if commit is not None:
         if commit["run"] not in state["runs"]:
@@ -45,7 +46,7 @@ def manifest(folder: str) -> dict:
                 store.create_dir(posixpath.dirname(f"{path}/{new}"), recursive=True)
                 if store.get_file_info(f"{path}/{old}").is_file:
                     store.move(f"{path}/{old}", f"{path}/{new}")
-            state = {"shards": state["shards"] + commit["shards"], "runs": [*state["runs"], commit["run"]]}
+            state = {"shards": state["shards"] + commit["shards"], "runs": [*state["runs"], commit["run"]], "notes": state["notes"] | commit["notes"]}
             put_json(store, f"{path}/{MANIFEST}", state)
         store.delete_file(f"{path}/{COMMIT}")
     return state
@@ -95,7 +96,7 @@ class _Parquet:
 
 
 class ShardSink(DataSource):
-    """Options: path, kind (parquet or npy), run (a name that is written once)."""
+    """Options: path, kind (parquet or npy), run (a name that is written once), notes (JSON that is committed with the shards)."""
 
     @classmethod
     def name(cls) -> str:
@@ -105,16 +106,16 @@ class ShardSink(DataSource):
         return "dataset string, shard long"
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return ShardWriter(self.options["path"], self.options.get("kind", "parquet"), self.options.get("run") or uuid.uuid4().hex)
+        return ShardWriter(self.options["path"], self.options.get("kind", "parquet"), self.options.get("run") or uuid.uuid4().hex, self.options.get("notes") or "{}")
 
 
 class ShardWriter(DataSourceArrowWriter):
     """Writes rows that come by (dataset, shard): a file for each, without the column shard."""
 
-    def __init__(self, folder: str, kind: str, run: str):
+    def __init__(self, folder: str, kind: str, run: str, notes: str):
         if kind not in ("parquet", "npy"):
             raise ValueError(f"unknown kind of shards {kind!r}")
-        self.folder, self.kind, self.run, self.own = folder, kind, run, f".part-{uuid.uuid4().hex}"
+        self.folder, self.kind, self.run, self.notes, self.own = folder, kind, run, json.loads(notes), f".part-{uuid.uuid4().hex}"
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         store, path = located(self.folder)
@@ -169,7 +170,7 @@ class ShardWriter(DataSourceArrowWriter):
                 name = shard_file(dataset, index, ending)
                 moves[name] = old
                 shards.append({"dataset": dataset, "index": index, "name": name, "rows": rows, "tokens": tokens})
-            put_json(store, f"{path}/{COMMIT}", {"run": self.run, "moves": moves, "shards": shards})
+            put_json(store, f"{path}/{COMMIT}", {"run": self.run, "moves": moves, "shards": shards, "notes": self.notes})
             manifest(self.folder)
         self._clean()
 
@@ -184,14 +185,14 @@ class ShardWriter(DataSourceArrowWriter):
                 store.delete_file(f.path)
 
 
-def write_shards(rows: DataFrame, folder: str, kind: str = "parquet", run: str | None = None, order: str | None = None) -> None:
+def write_shards(rows: DataFrame, folder: str, kind: str = "parquet", run: str | None = None, order: str | None = None, notes: dict | None = None) -> None:
     """Write rows (dataset, shard and more) as shards named after their dataset and numbered on from those already there.
 
     Datasets have names, without slashes. A shard's rows come to one task, in the order of a column, and stream into its file. kind npy: tokens end to end.
     """
     rows.sparkSession.dataSource.register(ShardSink)
     dealt = rows.withColumn("shard", F.col("shard").cast("long")).repartition("dataset", "shard").sortWithinPartitions("dataset", "shard", *([order] if order else []))
-    out = dealt.write.format("shards").mode("append").option("path", folder).option("kind", kind)
+    out = dealt.write.format("shards").mode("append").option("path", folder).option("kind", kind).option("notes", json.dumps(notes or {}))
     (out.option("run", run) if run else out).save()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import shutil
 import time
@@ -105,10 +106,14 @@ def last_checkpoint(folder: str, needs: Iterable[str] = ()) -> str | None:
 def publish_checkpoint(folder: str, target: str, state: str, needs: Iterable[str] = ()) -> str | None:
     """Copy the newest complete checkpoint once: its name, or None if it was copied before. For a trigger or a loop."""
     found = last_checkpoint(folder, needs)
-    done = Path(state).read_text() if Path(state).exists() else ""
-    if found is None or Path(found).name in done:
+    done = json.loads(Path(state).read_text())["published"] if Path(state).exists() else None
+    if found is None or Path(found).name == done:
         return None
-    shutil.copytree(found, Path(target) / Path(found).name, dirs_exist_ok=True)
+    part, there = Path(target) / f".{Path(found).name}.part", Path(target) / Path(found).name
+    shutil.rmtree(part, ignore_errors=True)
+    shutil.copytree(found, part)
+    shutil.rmtree(there, ignore_errors=True)
+    part.rename(there)
     write_state({"published": Path(found).name}, state)
     return Path(found).name
 

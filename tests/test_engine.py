@@ -6,7 +6,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomlake.functions import formats
+from loomlake.functions import formats, tokenizers
+from loomlake.functions import text as T
 from loomlake.operators import chat, filters
 from loomlake.plans import gates
 from loomlake.sources import files, samples
@@ -144,3 +145,36 @@ def test_archives(tmp_path):
     made = files.write_archives(names, str(tmp_path), "pack", [0, 0, 1])
     with tarfile.open(made[0]) as tar:
         assert tar.getnames() == ["f0", "f1"] and all(m.mtime == 0 for m in tar.getmembers())
+
+
+class Syllables:
+    """Ids of syllables of two letters, and an end of text."""
+
+    eos_token_id, pad_token_id = 50, None
+
+    def encode(self, text):
+        return [ord(c) % 50 for c in text[::2]]
+
+    def __len__(self):
+        return 51
+
+
+def test_tokenizer_plug_ins(spark, tmp_path):
+    texts = ["lada", "mo", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    syllables = Syllables()
+    run = lambda *a, **b: [r.ids for r in tokenizers.tokenized(df, *a, **b).orderBy("k").collect()]
+    assert run(syllables) == [[*syllables.encode(t or ""), 50] for t in texts] and run(syllables, end=False)[2:] == [[], []]
+    letters = tokenizers.CharacterTokenizer(99)
+    assert run(letters) == [[*letters.encode(t or ""), letters.eos_token_id] for t in texts]
+    marks = spark.createDataFrame([("é<|im_end|>\r😀<|im_start|>",), ("",), (None,), ("<|im_start|>" * 3,)], "text string")
+    assert marks.where(F.coalesce(F.size(T.character_ids(F.col("text"))), F.lit(0)) != T.character_count(F.col("text"))).count() == 0
+    letters.save(str(tmp_path))
+    assert json.loads((tmp_path / "toy_tokenizer.json").read_text())["vocab_size"] == 99
+    tokenizers.check_vocabulary(letters, 99)
+    with pytest.raises(ValueError):
+        tokenizers.check_vocabulary(letters, 98)
+    with pytest.warns(UserWarning):
+        tokenizers.check_vocabulary(letters, 99 + 4097)
+    with pytest.raises(ValueError):
+        tokenizers.check_ids(tokenizers.tokenized(df, syllables), 50)

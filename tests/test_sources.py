@@ -124,7 +124,7 @@ def test_a_commit_is_carried_out_later(spark, tmp_path):
     (tmp_path / ".part-1").write_text("x")
     (tmp_path / "d" / "d-00000.npy").write_text("moved before the driver was lost")
     shard = {"dataset": "d", "rows": 1, "tokens": 0}
-    commit = {"run": "r", "moves": {"d/d-00000.npy": ".part-0", "d/d-00001.npy": ".part-1"}, "shards": [shard | {"index": k, "name": f"d/d-{k:05d}.npy"} for k in (0, 1)]}
+    commit = {"run": "r", "moves": {"d/d-00000.npy": ".part-0", "d/d-00001.npy": ".part-1"}, "shards": [shard | {"index": k, "name": f"d/d-{k:05d}.npy"} for k in (0, 1)], "notes": {"n": 1}}
     (tmp_path / sink.COMMIT).write_text(json.dumps(commit))
     for _ in range(2):
         state = sink.manifest(str(tmp_path))
