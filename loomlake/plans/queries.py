@@ -2,56 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlake.functions import text as T
 from loomlake.operators import chat, filters, sequence
 from loomlake.operators.permutation import place_sql
 from loomlake.plans import recipe
+from loomlake.plans.shared import BUDGET, CHAT_LENGTH, EST, FLAT, IDS, KEY, LENGTH, ORACLES, QUERIES, SHARE, VALID, flat, normal, packing_of, query, read, with_ids
 from loomlake.sources import samples
 from loomlake.sources.files import union
 from loomlake.streaming import state
 
-LENGTH = 2048
-BUDGET = 100_000
-CHAT_LENGTH = 512
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-_IDS = r"list_transform(regexp_extract_all({t}, '(?s)<\|im_start\|>|<\|im_end\|>|.'), lambda c: CASE c WHEN '<|im_start|>' THEN 2 WHEN '<|im_end|>' THEN 3 ELSE 4 + unicode(c) % 252 END)"
-_SHARE = "(CASE WHEN length(text) > 0 THEN len(regexp_extract_all(text, '[e]'))::DOUBLE / length(text) ELSE 0 END)"
-_EST = "(CASE WHEN length(text) > 0 THEN greatest(1, floor(length(text) / 3.2::DOUBLE))::BIGINT ELSE 0 END)"
-_KEY = "('0x' || substr(sha256('42::' || doc_id), 1, 15))::BIGINT"
-_CONV = "conv AS (SELECT conv_id, list(struct_pack(role := role, content := text) ORDER BY turn, role, text) AS ms FROM conversations GROUP BY conv_id)"
-
-
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def with_ids(docs: DataFrame) -> DataFrame:
-    ids = F.concat(T.character_ids(F.coalesce("text", F.lit(""))), F.array(F.lit(T.EOS)))
-    return docs.select("doc_id", ids.alias("ids"), (T.character_count(F.col("text")) + 1).cast("long").alias("n_ids"))
-
-
-def flat(xs: Column) -> Column:
-    """A digest of an array of numbers."""
-    return F.md5(F.array_join(xs.cast("array<string>"), ","))
-
 
 @query("SELECT doc_id, n_chars FROM documents WHERE length(text) BETWEEN 200 AND 12000")
 def length_filter(spark, sf_dir):
@@ -59,7 +20,7 @@ def length_filter(spark, sf_dir):
     return docs.where(filters.compiled({"min_length": 200, "max_length": 12000}, F.col("text"), docs.columns)).select("doc_id", "n_chars")
 
 
-@query(f"SELECT doc_id, {_SHARE} AS share FROM documents WHERE {_SHARE} >= 0.1")
+@query(f"SELECT doc_id, {SHARE} AS share FROM documents WHERE {SHARE} >= 0.1")
 def script_ratio_filter(spark, sf_dir):
     share = T.script_share(F.col("text"), "[e]")
     return read(spark, sf_dir, "documents").where(share >= 0.1).select("doc_id", share.alias("share"))
@@ -93,12 +54,12 @@ def joined_text(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(T.joined(F.col("lang"), F.col("source"))).alias("text"))
 
 
-@query(f"SELECT doc_id, {_EST} AS tokens FROM documents")
+@query(f"SELECT doc_id, {EST} AS tokens FROM documents")
 def token_estimate(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", T.token_estimate(F.col("text")).alias("tokens"))
 
 
-@query(f"SELECT source, count(*) AS docs, sum({_EST})::BIGINT AS tokens FROM documents WHERE length(text) >= 200 GROUP BY source")
+@query(f"SELECT source, count(*) AS docs, sum({EST})::BIGINT AS tokens FROM documents WHERE length(text) >= 200 GROUP BY source")
 def estimate_by_source(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").where(F.length("text") >= 200)
     return docs.groupBy("source").agg(F.count("*").alias("docs"), F.sum(T.token_estimate(F.col("text"))).alias("tokens"))
@@ -109,30 +70,30 @@ def stable_seed(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", T.stable_seed(F.lit("42"), F.col("source"), F.col("doc_id").cast("string")).alias("seed"))
 
 
-@query(f"SELECT doc_id FROM documents ORDER BY {_KEY}, doc_id LIMIT 50")
+@query(f"SELECT doc_id FROM documents ORDER BY {KEY}, doc_id LIMIT 50")
 def seeded_order_topk(spark, sf_dir):
     key = sequence.seeded_key(F.lit("42"), F.col("doc_id").cast("string"))
     return read(spark, sf_dir, "documents").select("doc_id").orderBy(key, "doc_id").limit(50)
 
 
-@query(f"SELECT doc_id, tokens FROM (SELECT doc_id, {_EST} AS tokens, coalesce(sum({_EST}) OVER (ORDER BY {_KEY}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < {BUDGET}")
+@query(f"SELECT doc_id, tokens FROM (SELECT doc_id, {EST} AS tokens, coalesce(sum({EST}) OVER (ORDER BY {KEY}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < {BUDGET}")
 def budgeted_prefix(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("doc_id", T.token_estimate(F.col("text")).alias("tokens"), sequence.seeded_key(F.lit("42"), F.col("doc_id").cast("string")).alias("key"))
     return sequence.budgeted(rows, "tokens", "key", "doc_id", BUDGET, even=True).select("doc_id", "tokens")
 
 
-@query(f"SELECT lang, doc_id, tokens FROM (SELECT lang, doc_id, {_EST} AS tokens, coalesce(sum({_EST}) OVER (PARTITION BY lang ORDER BY {_KEY}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < 20000")
+@query(f"SELECT lang, doc_id, tokens FROM (SELECT lang, doc_id, {EST} AS tokens, coalesce(sum({EST}) OVER (PARTITION BY lang ORDER BY {KEY}, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM documents) WHERE b < 20000")
 def budget_by_lang(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("lang", "doc_id", T.token_estimate(F.col("text")).alias("tokens"), sequence.seeded_key(F.lit("42"), F.col("doc_id").cast("string")).alias("key"))
     return sequence.budgeted(rows, "tokens", "key", "doc_id", 20000, "lang", even=True).select("lang", "doc_id", "tokens")
 
 
-@query(f"SELECT doc_id, len(ids) + 1 AS n, md5(array_to_string(list_append(ids, 1), ',')) AS ids FROM (SELECT doc_id, {_IDS.format(t='text')} AS ids FROM documents)")
+@query(f"SELECT doc_id, len(ids) + 1 AS n, md5(array_to_string(list_append(ids, 1), ',')) AS ids FROM (SELECT doc_id, {IDS.format(t='text')} AS ids FROM documents)")
 def toy_token_ids(spark, sf_dir):
     return with_ids(read(spark, sf_dir, "documents")).select("doc_id", F.size("ids").cast("long").alias("n"), flat(F.col("ids")).alias("ids"))
 
 
-@query(f"SELECT CASE WHEN grouping(source) = 1 THEN 'TOTAL' ELSE coalesce(source, '') END AS dataset, sum(coalesce(len({_IDS.format(t='text')}), 0) + 1)::BIGINT AS tokens, count(*) AS docs FROM documents GROUP BY ROLLUP (source)")
+@query(f"SELECT CASE WHEN grouping(source) = 1 THEN 'TOTAL' ELSE coalesce(source, '') END AS dataset, sum(coalesce(len({IDS.format(t='text')}), 0) + 1)::BIGINT AS tokens, count(*) AS docs FROM documents GROUP BY ROLLUP (source)")
 def token_rollup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("source", (T.character_count(F.col("text")) + 1).cast("long").alias("n"))
     name = F.when(F.grouping("source") == 1, F.lit("TOTAL")).otherwise(F.coalesce("source", F.lit("")))
@@ -145,25 +106,15 @@ def doc_offsets(spark, sf_dir):
     return sequence.running_before(rows, "n_chars", "doc_id", "doc_id", "off").select("doc_id", "off")
 
 
-_FLAT = f"flat AS (SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS pos, id FROM (SELECT doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM (SELECT doc_id, list_append({_IDS.format(t='text')}, 1) AS ids FROM documents)))"
-
-
-def _packing(spark, sf_dir):
-    """Texts are shuffled and tokenized where they are packed."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = F.concat(T.character_ids(F.coalesce("text", F.lit(""))), F.array(F.lit(T.EOS)))
-    return sequence.Packing(docs, LENGTH, tokens=ids, n=T.character_count(F.col("text")) + 1)
-
-
-@query(f"WITH {_FLAT} SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}")
+@query(f"WITH {FLAT} SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}")
 def packed_sequences(spark, sf_dir):
-    return _packing(spark, sf_dir).sequences().select("seq", flat(F.col("tokens")).alias("tokens"))
+    return packing_of(spark, sf_dir).sequences().select("seq", flat(F.col("tokens")).alias("tokens"))
 
 
-@query(f"WITH {_FLAT}, t AS (SELECT count(*) AS n, ((count(*) * 0.1::DOUBLE)::BIGINT // {LENGTH}) * {LENGTH} AS v FROM flat), s AS (SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}) "
+@query(f"WITH {FLAT}, t AS (SELECT count(*) AS n, ((count(*) * 0.1::DOUBLE)::BIGINT // {LENGTH}) * {LENGTH} AS v FROM flat), s AS (SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}) "
        f"SELECT seq, tokens, CASE WHEN seq < (n - v) // {LENGTH} THEN 'train' ELSE 'val' END AS part FROM s, t WHERE seq < (n - v) // {LENGTH} + v // {LENGTH}")
 def train_val_split(spark, sf_dir):
-    packing = _packing(spark, sf_dir)
+    packing = packing_of(spark, sf_dir)
     train, held = sequence.tail_split(packing.total, LENGTH, 0.1)
     rows = packing.sequences(most=train + held)
     return rows.select("seq", flat(F.col("tokens")).alias("tokens"), F.when(F.col("seq") < train // LENGTH, "train").otherwise("val").alias("part"))
@@ -179,50 +130,43 @@ def archive_batches(spark, sf_dir):
     return sequence.cut_by(read(spark, sf_dir, "documents"), "source", "doc_id", "n_chars", 20000, sequence.NEXT_FIT, "batch").select("source", "doc_id", "batch")
 
 
-@query(f"SELECT doc_id, k AS chunk, md5(array_to_string(ids[k * 1000 + 1 : k * 1000 + 1000], ',')) AS part FROM (SELECT doc_id, ids, unnest(range(0, (len(ids) - 1) // 1000 + 1)) AS k FROM (SELECT doc_id, list_append({_IDS.format(t='text')}, 1) AS ids FROM documents))")
+@query(f"SELECT doc_id, k AS chunk, md5(array_to_string(ids[k * 1000 + 1 : k * 1000 + 1000], ',')) AS part FROM (SELECT doc_id, ids, unnest(range(0, (len(ids) - 1) // 1000 + 1)) AS k FROM (SELECT doc_id, list_append({IDS.format(t='text')}, 1) AS ids FROM documents))")
 def fixed_chunk_cut(spark, sf_dir):
     return sequence.chunks(with_ids(read(spark, sf_dir, "documents")), 1000).select("doc_id", F.col("chunk").cast("long").alias("chunk"), flat(F.col("part")).alias("part"))
 
 
-def _normal(spark, sf_dir):
-    return chat.conversations(read(spark, sf_dir, "conversations")).withColumn("messages", chat.normalised(F.col("messages"))).where("messages IS NOT NULL")
-
-
-_VALID = f"{_CONV}, valid AS (SELECT conv_id, list_transform(ms, lambda m: struct_pack(role := m.role, content := trim(m.content))) AS ms FROM conv WHERE len(list_filter(ms, lambda m: m.role IN ('system', 'user', 'assistant') AND trim(m.content) <> '')) = len(ms) AND len(list_filter(ms, lambda m: m.role = 'assistant')) > 0)"
-
-
-@query(f"WITH {_VALID} SELECT conv_id, len(ms) AS n, md5(array_to_string(list_transform(ms, lambda m: m.role || ':' || m.content), chr(10))) AS messages FROM valid")
+@query(f"WITH {VALID} SELECT conv_id, len(ms) AS n, md5(array_to_string(list_transform(ms, lambda m: m.role || ':' || m.content), chr(10))) AS messages FROM valid")
 def chat_messages(spark, sf_dir):
     whole = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
-    return _normal(spark, sf_dir).select("conv_id", F.size("messages").cast("long").alias("n"), F.md5(whole).alias("messages"))
+    return normal(spark, sf_dir).select("conv_id", F.size("messages").cast("long").alias("n"), F.md5(whole).alias("messages"))
 
 
-@query(f"WITH {_VALID} SELECT conv_id FROM valid WHERE length(array_to_string(list_transform(ms, lambda m: m.content), chr(10))) BETWEEN 200 AND 3000 AND list_sum(list_transform(list_filter(ms, lambda m: m.role = 'assistant'), lambda m: length(m.content))) >= 50")
+@query(f"WITH {VALID} SELECT conv_id FROM valid WHERE length(array_to_string(list_transform(ms, lambda m: m.content), chr(10))) BETWEEN 200 AND 3000 AND list_sum(list_transform(list_filter(ms, lambda m: m.role = 'assistant'), lambda m: length(m.content))) >= 50")
 def chat_filters(spark, sf_dir):
-    return _normal(spark, sf_dir).where(chat.passes(F.col("messages"), 200, 3000, 50)).select("conv_id")
+    return normal(spark, sf_dir).where(chat.passes(F.col("messages"), 200, 3000, 50)).select("conv_id")
 
 
-@query(f"WITH {_VALID} SELECT conv_id FROM valid ORDER BY sha256('7::' || conv_id), conv_id LIMIT 20")
+@query(f"WITH {VALID} SELECT conv_id FROM valid ORDER BY sha256('7::' || conv_id), conv_id LIMIT 20")
 def chat_topn(spark, sf_dir):
-    return _normal(spark, sf_dir).select("conv_id").orderBy(F.sha2(F.concat_ws("::", F.lit("7"), F.col("conv_id").cast("string")), 256), "conv_id").limit(20)
+    return normal(spark, sf_dir).select("conv_id").orderBy(F.sha2(F.concat_ws("::", F.lit("7"), F.col("conv_id").cast("string")), 256), "conv_id").limit(20)
 
 
-_HEAD, _BODY = _IDS.format(t="'<|im_start|>' || m.role || chr(10)"), _IDS.format(t="m.content")
+_HEAD, _BODY = IDS.format(t="'<|im_start|>' || m.role || chr(10)"), IDS.format(t="m.content")
 _CHAT_IDS = f"flatten(list_transform(ms, lambda m: list_concat({_HEAD}, {_BODY}, [3, 14])))[1:{CHAT_LENGTH}]".replace("lambda c:", "lambda c:")
 _CHAT_LABELS = f"flatten(list_transform(ms, lambda m: list_concat(list_transform({_HEAD}, lambda h: -100), CASE WHEN m.role = 'assistant' THEN list_concat({_BODY}, [3]) ELSE list_transform(list_concat({_BODY}, [3]), lambda h: -100) END, [-100])))[1:{CHAT_LENGTH}]"
 
 
 def _chat(spark, sf_dir):
     ids, labels = chat.rendered(F.col("messages"), CHAT_LENGTH)
-    return _normal(spark, sf_dir).select("conv_id", ids.alias("ids"), labels.alias("labels"))
+    return normal(spark, sf_dir).select("conv_id", ids.alias("ids"), labels.alias("labels"))
 
 
-@query(f"WITH {_VALID} SELECT conv_id, md5(array_to_string({_CHAT_IDS}, ',')) AS ids, md5(array_to_string({_CHAT_LABELS}, ',')) AS labels FROM valid")
+@query(f"WITH {VALID} SELECT conv_id, md5(array_to_string({_CHAT_IDS}, ',')) AS ids, md5(array_to_string({_CHAT_LABELS}, ',')) AS labels FROM valid")
 def chatml_render(spark, sf_dir):
     return _chat(spark, sf_dir).select("conv_id", flat(F.col("ids")).alias("ids"), flat(F.col("labels")).alias("labels"))
 
 
-@query(f"WITH {_VALID}, r AS (SELECT conv_id, {_CHAT_IDS} AS ids, (row_number() OVER (ORDER BY conv_id) - 1) // 8 AS batch FROM valid), p AS (SELECT conv_id, ids, max(len(ids)) OVER (PARTITION BY batch) AS most FROM r) SELECT conv_id, most AS padded, md5(array_to_string(list_concat(ids, list_transform(range(most - len(ids)), lambda i: 0)), ',')) AS ids, len(ids) AS attended FROM p")
+@query(f"WITH {VALID}, r AS (SELECT conv_id, {_CHAT_IDS} AS ids, (row_number() OVER (ORDER BY conv_id) - 1) // 8 AS batch FROM valid), p AS (SELECT conv_id, ids, max(len(ids)) OVER (PARTITION BY batch) AS most FROM r) SELECT conv_id, most AS padded, md5(array_to_string(list_concat(ids, list_transform(range(most - len(ids)), lambda i: 0)), ',')) AS ids, len(ids) AS attended FROM p")
 def padded_batches(spark, sf_dir):
     rows = chat.padded(_chat(spark, sf_dir), 8, "conv_id")
     return rows.select("conv_id", F.size("ids").cast("long").alias("padded"), flat(F.col("ids")).alias("ids"), F.aggregate("mask", F.lit(0), lambda a, x: a + x).cast("long").alias("attended"))
@@ -231,9 +175,9 @@ def padded_batches(spark, sf_dir):
 _SPLIT = "placed AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS place, count(*) OVER () AS n FROM valid), sized AS (SELECT *, greatest(1, (length(bin(n - 1)) + 1) // 2) AS bits FROM placed)"
 
 
-@query(f"WITH {_VALID}, {_SPLIT} SELECT conv_id, CASE WHEN {place_sql('place', 'n', 'bits', 42)} < greatest(1, floor(n * 0.1::DOUBLE)) THEN 'val' ELSE 'train' END AS part FROM sized")
+@query(f"WITH {VALID}, {_SPLIT} SELECT conv_id, CASE WHEN {place_sql('place', 'n', 'bits', 42)} < greatest(1, floor(n * 0.1::DOUBLE)) THEN 'val' ELSE 'train' END AS part FROM sized")
 def sft_split(spark, sf_dir):
-    return chat.split(_normal(spark, sf_dir).select("conv_id"), "conv_id", 0.1, 42)
+    return chat.split(normal(spark, sf_dir).select("conv_id"), "conv_id", 0.1, 42)
 
 
 @query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
@@ -296,14 +240,14 @@ def firefly_layout(spark, sf_dir):
     return _layout(spark, sf_dir, "firefly", {"input": "lang", "target": "source"})
 
 
-@query(f"WITH {_FLAT}, cut AS (SELECT pos - 1000 AS pos, id FROM flat WHERE pos >= 1000 AND pos < 61000) SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM cut GROUP BY 1 HAVING count(*) = {LENGTH}")
+@query(f"WITH {FLAT}, cut AS (SELECT pos - 1000 AS pos, id FROM flat WHERE pos >= 1000 AND pos < 61000) SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM cut GROUP BY 1 HAVING count(*) = {LENGTH}")
 def sub_stream_sequences(spark, sf_dir):
-    return _packing(spark, sf_dir).sequences(1000, 60000).select("seq", flat(F.col("tokens")).alias("tokens"))
+    return packing_of(spark, sf_dir).sequences(1000, 60000).select("seq", flat(F.col("tokens")).alias("tokens"))
 
 
-@query(f"WITH {_VALID} SELECT conv_id FROM (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS k FROM valid) WHERE k > 10")
+@query(f"WITH {VALID} SELECT conv_id FROM (SELECT conv_id, row_number() OVER (ORDER BY conv_id) AS k FROM valid) WHERE k > 10")
 def resume_skip(spark, sf_dir):
-    return sequence.resumed(_normal(spark, sf_dir).select("conv_id"), 10, ["conv_id"]).select("conv_id")
+    return sequence.resumed(normal(spark, sf_dir).select("conv_id"), 10, ["conv_id"]).select("conv_id")
 
 
 @query("SELECT i AS pos, ((((i % 128) // 4 + 1) * [1, 3, 5, 7][(i % 4 + 1)::INT]) % 256)::INT AS token FROM range(4096) t(i)")

@@ -6,6 +6,7 @@ import atexit
 import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one, which goes when the session's driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+    remove_at_end(spark, path)
+    return path
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder when the driver ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(where)  # what is not there yet cannot be marked
+    store.deleteOnExit(where)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """df behind a reliable checkpoint in the shared folder; for narrow tables."""
     checkpoint_dir(df.sparkSession)

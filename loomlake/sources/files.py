@@ -140,13 +140,14 @@ def raw_texts(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("text IS NOT NULL AND text <> ''")
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line (counted from 1) and value of the lines of text files that are not blank.
+def lines(spark: SparkSession, path: str, names: str = "*.json*") -> DataFrame:
+    """file, line (counted from 1) and value of the lines of text files that are not blank; names: which files of a folder.
 
     A file may be read in any number of splits: the lines of each split are counted, the counts of the splits before it are added
     up, and a line's place in its split is the distance of its row number from the split's first one.
     """
-    reader = spark.read if path.endswith((".json", ".jsonl")) else spark.read.option("pathGlobFilter", "*.json*")
+    alone = path.endswith((".json", ".jsonl")) and any(not f["path"] for f in listed(spark, path))
+    reader = spark.read if alone else spark.read.option("pathGlobFilter", names)
     at = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     rows = reader.text(path).select(*at, "value").withColumn("number", F.monotonically_increasing_id())
     splits = rows.groupBy("file", "block").agg(F.min("number").alias("first"), F.count("*").alias("n"))
@@ -156,14 +157,14 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("file", (F.col("number") + F.col("shift")).alias("line"), "value")
 
 
-def conversation_records(spark: SparkSession, path: str) -> DataFrame:
+def conversation_records(spark: SparkSession, path: str, names: str = "*.json*") -> DataFrame:
     """file, line, messages, source of a file or folder of JSON lines; any row that is not valid raises and names file and line.
 
     A row without a source has its file's name; an explicit null stays.
     """
     from loomlake.operators.chat import MESSAGES, checked
 
-    rows = lines(spark, path)
+    rows = lines(spark, path, names)
     where = F.concat_ws(":", "file", F.col("line").cast("string"))
     parsed = F.from_json("value", f"messages {MESSAGES}, source string")
     keys = F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>"))

@@ -95,8 +95,23 @@ class _Parquet:
         self.out.close()
 
 
+class _Arrow:
+    """An Arrow file that grows record batch by record batch."""
+
+    def __init__(self, store, path: str, schema: pa.Schema):
+        self.to = store.open_output_stream(path)
+        self.out, self.n = pa.ipc.new_file(self.to, schema), 0
+
+    def write(self, batch: pa.RecordBatch) -> None:
+        self.out.write_batch(batch)
+
+    def close(self) -> None:
+        self.out.close()
+        self.to.close()
+
+
 class ShardSink(DataSource):
-    """Options: path, kind (parquet or npy), run (a name that is written once), notes (JSON that is committed with the shards)."""
+    """Options: path, kind (parquet, npy or arrow), run (a name that is written once), notes (JSON that is committed with the shards)."""
 
     @classmethod
     def name(cls) -> str:
@@ -113,7 +128,7 @@ class ShardWriter(DataSourceArrowWriter):
     """Writes rows that come by (dataset, shard): a file for each, without the column shard."""
 
     def __init__(self, folder: str, kind: str, run: str, notes: str):
-        if kind not in ("parquet", "npy"):
+        if kind not in ("parquet", "npy", "arrow"):
             raise ValueError(f"unknown kind of shards {kind!r}")
         self.folder, self.kind, self.run, self.notes, self.own = folder, kind, run, json.loads(notes), f".part-{uuid.uuid4().hex}"
 
@@ -144,7 +159,8 @@ class ShardWriter(DataSourceArrowWriter):
                     close()
                     now, rows = key, 0
                     files_at = f"{self.own}-{uuid.uuid4().hex}"
-                    out = _Npy(store, f"{path}/{files_at}") if self.kind == "npy" else _Parquet(store, f"{path}/{files_at}", rest.schema)
+                    made = f"{path}/{files_at}"
+                    out = _Npy(store, made) if self.kind == "npy" else (_Parquet if self.kind == "parquet" else _Arrow)(store, made, rest.schema)
                 out.write(rest.slice(a, b - a))
                 rows += int(b - a)
         close()
