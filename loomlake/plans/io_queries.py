@@ -107,8 +107,9 @@ def incremental_sequences(spark, sf_dir):
     pack_new(spark, f"{docs[:-1]}[t]", spark.read.parquet(docs).schema, lambda rows: rows.withColumn("tokens", ids), f"{folder}/shards", "documents", LENGTH, f"{folder}/progress", files=4)
     state = _shard_state(spark, f"{folder}/shards").select(F.col("name"), "index", F.expr(f"tokens div {LENGTH}").alias("n"))
     first = sequence.running_before(state, "n", "index", "index", "first").select("name", "first")
-    rows = binary.read_tokens(spark, f"{folder}/shards", LENGTH).withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
-    return rows.join(first, "name").select((F.col("first") + F.expr(f"start div {LENGTH}")).alias("seq"), flat(F.col("tokens")).alias("tokens"))
+    rows = binary.read_tokens(spark, f"{folder}/shards", 256 * LENGTH).withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
+    parts = sequence.chunks(rows.join(first, "name"), LENGTH, "tokens")
+    return parts.select((F.col("first") + F.expr(f"start div {LENGTH}") + F.col("chunk")).alias("seq"), flat(F.col("part")).alias("tokens"))
 
 
 def _in_files(spark: SparkSession, sf_dir: str) -> list[str]:

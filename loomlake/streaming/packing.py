@@ -34,9 +34,18 @@ def pack_batch(docs: DataFrame, folder: str, dataset: str, length: int, shard_se
     note = state["notes"].get(dataset) or {"rest": [], "next": 0}
     spark = docs.sparkSession
     before = spark.createDataFrame([(-1, note["rest"])], "place long, tokens array<int>")
-    packing = Packing(before.unionByName(docs.select(F.col(place).alias("place"), F.col("tokens").cast("array<int>"))), length, "place", "tokens")
-    rows = packing.sequences().select(F.lit(dataset).alias("dataset"), F.expr(f"seq div {shard_sequences}").alias("shard"), (F.col("seq") + note["next"]).alias("seq"), "tokens")
-    after = {"rest": packing.rest(), "next": note["next"] + packing.total // length}
+    # counted, packed and searched for the rest: one batch is tokenized once
+    every = before.unionByName(docs.select(F.col(place).alias("place"), F.col("tokens").cast("array<int>"))).persist()
+    try:
+        _commit(every, folder, dataset, length, shard_sequences, run, note["next"])
+    finally:
+        every.unpersist()
+
+
+def _commit(docs: DataFrame, folder: str, dataset: str, length: int, shard_sequences: int, run: str, first: int) -> None:
+    packing = Packing(docs, length, "place", "tokens")
+    rows = packing.sequences().select(F.lit(dataset).alias("dataset"), F.expr(f"seq div {shard_sequences}").alias("shard"), (F.col("seq") + first).alias("seq"), "tokens")
+    after = {"rest": packing.rest(), "next": first + packing.total // length}
     sink.write_shards(rows, folder, "npy", run, "seq", {dataset: after})
 
 
