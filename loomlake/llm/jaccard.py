@@ -402,11 +402,22 @@ def _labelled(posts: DataFrame, known: DataFrame | None) -> DataFrame:
     return rows
 
 
+#: Pairs of groups that a task counts before it hands them on.
+PAIRS_HELD = 500_000
+
+
 def _centred(rows: DataFrame) -> DataFrame:
     """a, b: for each group b the centre a it shares the most tokens with; a token's centre is the largest group that has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, 0, 0)
+        held, counts, fresh_pairs = np.empty((2, 0), np.int64), np.empty(0, np.int64), []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            every = np.concatenate([held, *[p for p, _ in fresh_pairs]], 1)
+            pairs, at = np.unique(every, axis=1, return_inverse=True)
+            return pairs, np.bincount(at.reshape(-1), np.concatenate([counts, *[n for _, n in fresh_pairs]]), pairs.shape[1]).astype(np.int64)
+
         for batch in batches:
             token, label, gid = (batch.column(k).to_numpy() for k in range(3))
             if not len(token):
@@ -416,8 +427,17 @@ def _centred(rows: DataFrame) -> DataFrame:
             home = np.where(start < 0, last[2], label[start])
             last = token[-1], centre[-1], home[-1]
             apart = home != label
-            pairs, n = np.unique(np.stack([centre[apart], gid[apart]]), axis=1, return_counts=True)
-            yield _batch("a b n", pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n))
+            fresh_pairs.append(np.unique(np.stack([centre[apart], gid[apart]]), axis=1, return_counts=True))
+            # a pair that shares many tokens of this task leaves it as one row
+            if sum(len(n) for _, n in fresh_pairs) > PAIRS_HELD:
+                held, counts = merged()
+                fresh_pairs = []
+                if len(counts) > PAIRS_HELD:
+                    yield _batch("a b n", pa.array(held[0]), pa.array(held[1]), pa.array(counts))
+                    held, counts = held[:, :0], counts[:0]
+        held, counts = merged()
+        if len(counts):
+            yield _batch("a b n", pa.array(held[0]), pa.array(held[1]), pa.array(counts))
 
     rows = rows.select("token", "label", "gid", "members").repartition("token").sortWithinPartitions("token", F.desc("members"), "gid")
     pairs = rows.select("token", "label", "gid").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
