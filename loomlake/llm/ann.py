@@ -166,14 +166,16 @@ def fitted(rows: np.ndarray, queries: np.ndarray, neighbours: list[np.ndarray],
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding of the rows that take part."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding")).where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
+    # vectors of floats stay floats, others are doubles: scores are exact on the original numbers
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = vectors.select("vec_id", F.col("embedding").cast(kind).alias("embedding")).where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
     sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
     return rows.where(F.size("embedding") == (sizes[0]["n"] if sizes else 0))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.float32)
+    return flat.reshape(len(column), -1)
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -295,13 +297,22 @@ def _runs(a: np.ndarray, b: np.ndarray):
             yield int(a[starts[k]]), int(b[starts[k]]), chosen
 
 
+def _numbers(rows: np.ndarray) -> bytes:
+    return rows.astype("<f8" if rows.dtype == np.float64 else "<f4").tobytes()
+
+
+def _vectors(data: bytes, n: int, d: int, at: int) -> np.ndarray:
+    """n vectors from a byte on to the end, floats or doubles by their length."""
+    return np.frombuffer(data, "<f8" if len(data) - at == 8 * n * d else "<f4", n * d, at).reshape(n, d)
+
+
 def _pack(keys: np.ndarray, ids: np.ndarray, rows: np.ndarray | None) -> bytes:
     head = np.array([len(keys), 0 if rows is None else rows.shape[1]], "<i8").tobytes()
-    return head + keys.astype("<u8").tobytes() + ids.astype("<i8").tobytes() + (b"" if rows is None else rows.astype("<f4").tobytes())
+    return head + keys.astype("<u8").tobytes() + ids.astype("<i8").tobytes() + (b"" if rows is None else _numbers(rows))
 
 
 def _pack_vectors(ids: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> bytes:
-    return np.array([len(chosen), rows.shape[1]], "<i8").tobytes() + ids[chosen].astype("<i8").tobytes() + rows[chosen].astype("<f4").tobytes()
+    return np.array([len(chosen), rows.shape[1]], "<i8").tobytes() + ids[chosen].astype("<i8").tobytes() + _numbers(rows[chosen])
 
 
 def _unpack(block: bytes, vectors: bool):
@@ -310,9 +321,9 @@ def _unpack(block: bytes, vectors: bool):
     ids = np.frombuffer(block, "<i8", n, 16 + 8 * n)
     at = 16 + 16 * n
     if not vectors:
-        return keys, ids, np.frombuffer(block, "<f4", n * d, at).reshape(n, d)
+        return keys, ids, _vectors(block, n, d, at)
     m, d = np.frombuffer(block, "<i8", 2, at)
-    return keys, ids, np.frombuffer(block, "<i8", m, at + 16), np.frombuffer(block, "<f4", m * d, at + 16 + 8 * m).reshape(m, d)
+    return keys, ids, np.frombuffer(block, "<i8", m, at + 16), _vectors(block, m, d, at + 16 + 8 * m)
 
 
 def _probed(n: int):
@@ -364,7 +375,7 @@ def nearest(vectors: DataFrame, neighbours: int = 20, every: int = 20, s: Settin
         by_query.setdefault(q, []).append(v)
     known = [k for k in range(few) if int(own[k]) in by_query]
     if known:
-        h = fitted(held, held[known], [np.array(by_query[int(own[k])], np.float32) for k in known], math.sqrt(facts["square"]), s)
+        h = fitted(held, held[known], [np.array(by_query[int(own[k])]) for k in known], math.sqrt(facts["square"]), s)
         parts = max(partitions(spark), math.ceil(facts["n"] * len(h.mixers) / s.split_entries))
         counts = _dealt(entries, h, parts, None).groupBy("part").agg(F.sum("n").alias("n")).collect()
         splits = np.ones(parts, np.int64)

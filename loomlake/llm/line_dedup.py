@@ -11,7 +11,7 @@ A chunk with a third of all occurrences is reduced on the map side by both count
 joins with it are joins of two plain tables, which adaptive execution splits where a chunk is hot.
 
 Defined cases: null texts stay null and are not counted; empty texts have no lines; rows that agree in id and text are
-one document (they share the decision, and do not repeat each other); null ids come first; a text whose every chunk goes
+one document (they share the decision, and do not repeat each other); a text of any length is cut whole, in one row; null ids come first; a text whose every chunk goes
 becomes empty; an empty table gives an empty result; other columns are carried along unchanged but for n_chars.
 """
 

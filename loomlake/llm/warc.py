@@ -8,7 +8,8 @@ alone: there is no shuffle, and a lost task is simply run again.
 
 Defined cases: a null page becomes a response with an empty body, a null URL one without a target URI (no such header); a
 page without text gives a conversion record with an empty block; repeated pages give repeated records with equal
-identifiers; an empty table gives an empty result; other columns are ignored.
+identifiers; a page of any length is one record, held whole by its task; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -19,10 +20,14 @@ import hashlib
 import html as html_entities
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomlake.sources.store import located
 
 #: Identifiers are name-based UUIDs below this one.
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:loomlake:warc")
@@ -130,16 +135,109 @@ def built(pages: DataFrame) -> DataFrame:
     return pages.selectExpr("cast(page_id as long) page_id", "url", "html").mapInArrow(run, SCHEMA)
 
 
-def files(records: DataFrame) -> DataFrame:
-    """path, data: the records of each partition as one gzipped WARC file, named by the partition."""
+def files(records: DataFrame, many: int = 16) -> DataFrame:
+    """path, data: records dealt to `many` gzipped WARC files by their identifiers, so a rerun gives the same files.
+
+    A file comes in rows of some records each, in the order of identifiers, which are joined end to end; rows stay small.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        for batch in batches:
+            names, heads, blocks = (batch.column(c).to_pylist() for c in ("path", "headers", "block"))
+            data = [gzip.compress((h + b + "\r\n\r\n").encode(), mtime=0) for h, b in zip(heads, blocks, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(data, pa.binary())], names=["path", "data"])
+
+    part = F.pmod(F.xxhash64("record_id"), F.lit(many))
+    dealt = records.withColumn("path", F.format_string("part-%05d.warc.gz", part)).repartition("path").sortWithinPartitions("path", "record_id")
+    return dealt.select("path", "headers", "block").mapInArrow(run, "path string, data binary")
+
 
-        part = TaskContext.get().partitionId()
-        for k, batch in enumerate(batches):
-            rows = batch.to_pylist()
-            data = b"".join(gzip.compress((r["headers"] + r["block"] + "\r\n\r\n").encode(), mtime=0) for r in rows)
-            yield pa.RecordBatch.from_arrays([pa.array([f"part-{part:05d}-{k:05d}.warc.gz"]), pa.array([data], pa.binary())], names=["path", "data"])
+def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, number, type, record_id, target_uri, date, headers, block of the records of WARC files, gzipped by record or plain.
 
-    return records.select("headers", "block").mapInArrow(run, "path string, data binary")
+    Each file is one stream of one task, which holds one record at a time; files are dealt to tasks one by one. A file that ends
+    within a record raises.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, at = located(path)
+                with store.open_input_stream(at, compression=None) as f:
+                    for number, (headers, block) in enumerate(streamed(f)):
+                        get = headers.get
+                        row = (path, number, get("WARC-Type"), get("WARC-Record-ID"), get("WARC-Target-URI"), get("WARC-Date"), list(headers.items()), block)
+                        kinds = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.map_(pa.string(), pa.string()), pa.binary()]
+                        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[f.split()[0] for f in _RECORD.split(", ")])
+
+    rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
+    return rows.mapInArrow(run, _RECORD)
+
+
+_RECORD = "path string, number long, type string, record_id string, target_uri string, date string, headers map<string,string>, block binary"
+
+
+def streamed(f) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and blocks of the records of an open WARC file, compressed or not, a record at a time."""
+    data, member, plain, ended = bytearray(), None, None, False
+
+    def more() -> bool:
+        nonlocal member, plain, ended
+        got = f.read(1 << 20)
+        if not got:
+            ended = True
+            return False
+        if plain is None:
+            plain = got[:2] != b"\x1f\x8b"
+        while got and not plain:
+            member = member or zlib.decompressobj(31)
+            data.extend(member.decompress(got))
+            got = member.unused_data
+            if member.eof:
+                member = None
+        data.extend(got)
+        return True
+
+    while True:
+        while (end := data.find(b"\r\n\r\n")) < 0 and more():
+            pass
+        if end < 0:
+            if data.strip():
+                raise ValueError("the file ends within a record's headers")
+            return
+        lines = data[:end].decode().split("\r\n")
+        if not lines[0].startswith("WARC/"):
+            raise ValueError("a record does not begin with its version")
+        headers = {k.strip(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+        whole = end + 4 + int(headers["Content-Length"])
+        while len(data) < whole and more():
+            pass
+        if len(data) < whole:
+            raise ValueError("the file ends within a record's block")
+        yield headers, bytes(data[end + 4 : whole])
+        while len(data) < whole + 4 and more():
+            pass
+        del data[: whole + 4]
+
+
+def derived(records: DataFrame) -> DataFrame:
+    """kind, record_id, refers_to, target_uri, headers, block and digests of the derivatives of the responses among records.
+
+    Dates, addresses and HTTP headers are those of the records; digests that a response lacks are computed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for pairs, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                source = dict(pairs)
+                head, _, payload = block.partition(b"\r\n\r\n")
+                source = {"WARC-Payload-Digest": digest(payload), "WARC-Block-Digest": digest(block), "Content-Length": str(len(block))} | source
+                for h, made in derivatives(source, head + b"\r\n\r\n", payload):
+                    out.append((h["WARC-Type"], h["WARC-Record-ID"], h["WARC-Refers-To"], source.get("WARC-Target-URI"), head_text(h), made.decode(), len(made), h["WARC-Block-Digest"], h["WARC-Payload-Digest"]))
+            names = [f.split()[0] for f in SCHEMA.split(", ")][1:]
+            kinds = [*[pa.string()] * 6, pa.int64(), pa.string(), pa.string()]
+            columns = list(zip(*out)) if out else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    return records.where("type = 'response'").select("headers", "block").mapInArrow(run, SCHEMA.split(", ", 1)[1])
