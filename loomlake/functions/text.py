@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,7 +82,22 @@ def character_count(text: Column) -> Column:
 
 
 #: Named text functions: of the row's column names, the text.
-TEXTS = {"query_and_answer": lambda columns: query_and_answer(*[F.col(c) if c in columns else F.lit("") for c in ("query", "answer")])}
+TEXTS: dict[str, Callable[[list[str]], Column]] = {}
+
+
+def text_function(name: str):
+    """Decorator that adds a named text function."""
+
+    def add(f: Callable[[list[str]], Column]):
+        TEXTS[name] = f
+        return f
+
+    return add
+
+
+@text_function("query_and_answer")
+def _query_and_answer(columns: list[str]) -> Column:
+    return query_and_answer(*[F.col(c) if c in columns else F.lit("") for c in ("query", "answer")])
 
 
 def extracted(columns: list[str], of: str | list[str], join: bool = False, named: str | None = None) -> Column:

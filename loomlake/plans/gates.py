@@ -54,13 +54,13 @@ def faults(flow: str, train: Mapping[str, Any], model: Mapping[str, Any]) -> lis
     for setting, folders in rules.folders.items():
         path = train.get(setting.rstrip("?"))
         if path is None and not setting.endswith("?"):
-            said(not found or "missing" not in found[0], f"{setting} is missing")
+            said(True, f"{setting} is missing")
         elif path is not None:
             said(not any(below(path, f) for f in folders), f"{setting.rstrip('?')} must lie in {' or '.join(folders)}: {path}")
     least, most = rules.vocabulary
-    size = model.get("vocab_size", 0)
+    size = model.get("vocab_size")
     if not (flow == "local_sft"):
-        said(size < least or (most is not None and size > most), f"vocab_size {size} is not in the flow's range")
+        said(size is None or size < least or (most is not None and size > most), f"vocab_size {size} is not in the flow's range")
     return found
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlake.functions import text as T
+from loomlake.functions.tokenizers import CharacterTokenizer
 from loomlake.operators import chat, sequence
 from loomlake.operators.order import placed_rows
-from loomlake.plans import recipe
+from loomlake.plans import recipe, stages
 from loomlake.plans.shared import EST, FLAT, IDS, LENGTH, ORACLES, QUERIES, VALID, flat, normal, query, read, with_ids
 from loomlake.session import scratch_folder
 from loomlake.sources import binary, files, shards, sink
@@ -68,6 +69,34 @@ def shard_token_counts(spark, sf_dir):
     return shards.tokens_in(spark, _token_shards(spark, sf_dir))
 
 
+def _tokenized(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
+    """The token shards that the second stage makes of the documents' row shards."""
+    docs = read(spark, sf_dir, "documents").select(F.col("source").alias("dataset"), "doc_id", "text", F.col("n_chars").alias("tokens"))
+    cut = sequence.cut_by(docs, "dataset", "doc_id", "tokens", SHARD_CHARS // 4).select("dataset", "doc_id", "shard")
+    folder = scratch_folder(spark)
+    sink.write_shards(docs.join(cut, ["dataset", "doc_id"]), f"{folder}/raw", order="doc_id")
+    stages.tokenize(spark, f"{folder}/raw", f"{folder}/out", CharacterTokenizer(), SHARD_IDS // 8, split)
+    return _shard_state(spark, f"{folder}/out").select("dataset", "name", "tokens")
+
+
+_STAGE = f"WITH RECURSIVE {_cut_sql('length(text) + 1', SHARD_IDS // 8)} SELECT source AS dataset, source || '-' || lpad(shard::VARCHAR, 5, '0') || '.npy' AS name, sum(n)::BIGINT AS tokens FROM cut GROUP BY source, shard"
+_STAGE_FILES = (
+    f"WITH RECURSIVE {_cut_sql('n_chars', SHARD_CHARS // 4)}, raw AS (SELECT source, shard, sum(n + 1)::BIGINT AS n FROM cut GROUP BY source, shard), "
+    f"parts AS (SELECT source, shard, n, unnest(range(0, (n - 1) // {SHARD_IDS // 8} + 1)) AS k FROM raw) "
+    f"SELECT source AS dataset, source || '-' || lpad((row_number() OVER (PARTITION BY source ORDER BY shard, k) - 1)::VARCHAR, 5, '0') || '.npy' AS name, least({SHARD_IDS // 8}, n - k * {SHARD_IDS // 8})::BIGINT AS tokens FROM parts"
+)
+
+
+@query(_STAGE)
+def tokenized_across_files(spark, sf_dir):
+    return _tokenized(spark, sf_dir, "across_files")
+
+
+@query(_STAGE_FILES)
+def tokenized_by_file(spark, sf_dir):
+    return _tokenized(spark, sf_dir, "by_file")
+
+
 @query("SELECT doc_id, lang, md5(text) AS text FROM documents")
 def arrow_scan(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select(F.lit("documents").alias("dataset"), F.expr("doc_id div 5000").alias("shard"), "doc_id", "lang", "text")

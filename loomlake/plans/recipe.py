@@ -135,6 +135,11 @@ def run(spark: SparkSession, recipe: Mapping[str, Any], root: str, only: str | N
     return rows.groupBy("dataset").agg(F.count(F.when(ok, 1)).alias("docs"), F.coalesce(F.sum(F.when(ok, F.col("tokens"))), F.lit(0)).alias("tokens"), F.count(F.when(~ok, 1)).alias("skipped"))
 
 
+def verifying(recipe: Mapping[str, Any], shard_tokens: int = SHARD_TOKENS) -> dict[str, Any]:
+    """The recipe of a trial run: two shards of each dataset."""
+    return {**recipe, "datasets": [{**d, "target_tokens": 2 * shard_tokens} for d in recipe["datasets"]]}
+
+
 def write(spark: SparkSession, recipe: Mapping[str, Any], root: str, folder: str, shard_tokens: int, run_name: str, only: str | None = None, scale: float = 1.0, mode: str = "two_stage") -> list[tuple[str, int, int, int]]:
     """Write the documents of a recipe as row shards that close when they reach shard_tokens; dataset, docs, tokens, skipped.
 
