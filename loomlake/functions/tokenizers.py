@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import warnings
 from collections.abc import Iterator
+from functools import cache
 from pathlib import Path
 from typing import Protocol, runtime_checkable
 
@@ -54,6 +55,51 @@ class CharacterTokenizer:
         (Path(folder) / "toy_tokenizer.json").write_text(json.dumps({"type": "toy_chatml", "vocab_size": self.vocabulary}))
 
 
+class FileTokenizer:
+    """A pretrained tokenizer from a file of the tokenizers library; workers open the file once each.
+
+    eos, pad: the texts of the special tokens that end documents and fill rows up, if there are any.
+    """
+
+    def __init__(self, path: str, eos: str | None = None, pad: str | None = None):
+        self.path, self.eos, self.pad = path, eos, pad
+
+    def _open(self):
+        return _opened(self.path)
+
+    def _id(self, token: str | None) -> int | None:
+        if token is None:
+            return None
+        found = self._open().token_to_id(token)
+        if found is None:
+            raise ValueError(f"the tokenizer has no token {token!r}")
+        return found
+
+    @property
+    def eos_token_id(self) -> int | None:
+        return self._id(self.eos)
+
+    @property
+    def pad_token_id(self) -> int | None:
+        return self._id(self.pad)
+
+    def encode(self, text: str) -> list[int]:
+        return self._open().encode(text, add_special_tokens=False).ids
+
+    def __len__(self) -> int:
+        return self._open().get_vocab_size()
+
+
+@cache
+def _opened(path: str):
+    from tokenizers import Tokenizer as Library
+
+    opened = Library.from_file(path)
+    opened.no_padding()
+    opened.no_truncation()
+    return opened
+
+
 def tokenized(docs: DataFrame, tokenizer: Tokenizer, end: bool = True, ids: str = "ids") -> DataFrame:
     """docs with the ids of text, and the end-of-text id behind them if the tokenizer has one."""
     last = [tokenizer.eos_token_id] if end and tokenizer.eos_token_id is not None else []

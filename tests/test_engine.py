@@ -178,3 +178,37 @@ def test_tokenizer_plug_ins(spark, tmp_path):
         tokenizers.check_vocabulary(letters, 99 + 4097)
     with pytest.raises(ValueError):
         tokenizers.check_ids(tokenizers.tokenized(df, syllables), 50)
+
+
+def test_pretrained_tokenizers_from_files(spark):
+    public = pytest.importorskip("public_tokenizers")
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    mine = tokenizers.FileTokenizer(public.path("word_bpe_49k.json"))
+    texts = ["Hello world, again.", "", None, "é😀\n x" * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = [r.ids for r in tokenizers.tokenized(df, mine).orderBy("k").collect()]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(mine) == library.get_vocab_size() and mine.eos_token_id is None
+    talks = spark.createDataFrame([([("user", "a b"), ("assistant", "c d")],)], f"messages {chat.MESSAGES}")
+    row = chat.rendered_rows(talks, mine, 1000).first()
+    parts = ["<|im_start|>user\n", "a b", "<|im_end|>", "\n", "<|im_start|>assistant\n", "c d", "<|im_end|>", "\n"]
+    ids = [library.encode(p, add_special_tokens=False).ids for p in parts]
+    assert row.ids == sum(ids, []) and [x for x in row.labels if x != -100] == ids[5] + ids[6]
+    with pytest.raises(ValueError, match="no token"):
+        _ = tokenizers.FileTokenizer(public.path("word_bpe_49k.json"), eos="no such token").eos_token_id
+
+
+def test_registered_text_functions(spark):
+    @T.text_function("shouted")
+    def shouted(columns):
+        return F.upper(F.col("cry")) if "cry" in columns else F.lit("")
+
+    df = spark.createDataFrame([("a",)], "cry string")
+    assert df.select(T.extracted(df.columns, [], named="shouted").alias("t")).first().t == "A"
+    with pytest.raises(ValueError):
+        T.extracted([], [], named="whispered")
+
+
+def test_gates_name_every_missing_setting():
+    said = gates.faults("production", {}, {})
+    assert sum("is missing" in s for s in said) >= 3 and any("vocab_size" in s for s in said)
