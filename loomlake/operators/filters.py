@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomlake.functions.text import number, script_share, strip
+from loomlake.functions.text import CHINESE, number, script_share, strip
 
 _COMPARE = {
     ">=": lambda a, b: a >= b,
@@ -23,7 +23,7 @@ _COMPARE = {
 #: The columns that may hold a quality score, the older names of settings, and settings that filter nothing.
 SCORES = ("score", "int_score", "quality_score", "edu_score")
 OLDER = {"min_chars": "min_length", "max_chars": "max_length"}
-KNOWN = {"min_length", "max_length", "min_chinese_ratio", "type", "min_ratio", "allowed_languages", "language_column", "min_quality_score", "quality_columns", "quality_column", "field", "op", "value"}
+KNOWN = {"min_length", "max_length", "min_chinese_ratio", "type", "min_ratio", "min_script_ratio", "script", "allowed_languages", "language_column", "min_quality_score", "quality_columns", "quality_column", "field", "op", "value"}
 IDLE = {"add_eos", "prefer_high_score"}
 
 #: Named filters: a function of the row's column names that gives a boolean column.
@@ -107,6 +107,8 @@ def compiled(config: Mapping[str, Any], text: Column, columns: Sequence[str], na
         share = settings.get("min_ratio")
     if share is not None:
         parts.append(script_share(text) >= float(share))
+    if settings.get("min_script_ratio") is not None:
+        parts.append(script_share(text, settings.get("script") or CHINESE) >= float(settings["min_script_ratio"]))
     if settings.get("allowed_languages"):
         column = settings.get("language_column", "language")
         parts.append(F.col(column).isin(list(settings["allowed_languages"])) if column in columns else F.lit(False))

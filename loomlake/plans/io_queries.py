@@ -14,6 +14,7 @@ from loomlake.plans.shared import EST, FLAT, IDS, LENGTH, ORACLES, QUERIES, VALI
 from loomlake.session import scratch_folder
 from loomlake.sources import binary, files, shards, sink
 from loomlake.streaming.packing import pack_new
+from loomlake.streaming.resume import process_new
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -141,6 +142,29 @@ def incremental_sequences(spark, sf_dir):
     return parts.select((F.col("first") + F.expr(f"start div {LENGTH}") + F.col("chunk")).alias("seq"), flat(F.col("part")).alias("tokens"))
 
 
+@query("SELECT doc_id, lang, md5(text) AS text FROM documents")
+def mirror_scan(spark, sf_dir):
+    docs, folder = read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), scratch_folder(spark)
+    for k, fmt in enumerate(("parquet", "json", "csv")):
+        part = docs.where(F.col("doc_id") % 3 == k).write.option("header", True).option("quote", '"').option("escape", '"')
+        part.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", "none").format(fmt).save(f"{folder}/{fmt}")
+    rows = files.mirrored(spark, folder)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.md5("text").alias("text"))
+
+
+@query("SELECT row_number() OVER (ORDER BY doc_id) - 1 AS \"row\", md5(text) AS text FROM documents WHERE text <> ''")
+def raw_text_scan(spark, sf_dir):
+    return files.raw_texts(spark, f"{sf_dir}/documents.parquet").select("row", F.md5("text").alias("text"))
+
+
+@query("SELECT doc_id, length(text) AS n FROM documents")
+def file_stream(spark, sf_dir):
+    docs, folder = f"{sf_dir}/documents.parquet", scratch_folder(spark)
+    for _ in range(2):  # the second run finds nothing new
+        process_new(spark, f"{docs[:-1]}[t]", spark.read.parquet(docs).schema, lambda rows: rows.select("doc_id", F.length("text").cast("long").alias("n")), f"{folder}/out", f"{folder}/progress")
+    return spark.read.schema("doc_id long, n long").parquet(f"{folder}/out")
+
+
 def _in_files(spark: SparkSession, sf_dir: str) -> list[str]:
     """The files of the documents table, by path below the tables' folder."""
     found = files.listed(spark, f"{sf_dir}/documents.parquet")

@@ -22,8 +22,9 @@ def length_filter(spark, sf_dir):
 
 @query(f"SELECT doc_id, {SHARE} AS share FROM documents WHERE {SHARE} >= 0.1")
 def script_ratio_filter(spark, sf_dir):
-    share = T.script_share(F.col("text"), "[e]")
-    return read(spark, sf_dir, "documents").where(share >= 0.1).select("doc_id", share.alias("share"))
+    docs = read(spark, sf_dir, "documents")
+    kept = docs.where(filters.compiled({"min_script_ratio": 0.1, "script": "[e]"}, F.col("text"), docs.columns))
+    return kept.select("doc_id", T.script_share(F.col("text"), "[e]").alias("share"))
 
 
 @query("SELECT doc_id, quality FROM documents JOIN labels USING (doc_id) WHERE quality >= 1")
@@ -276,3 +277,27 @@ def packed_skip(spark, sf_dir):
 @query("SELECT doc_id FROM documents SEMI JOIN labels USING (doc_id)")
 def already_published(spark, sf_dir):
     return state.removable(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "doc_id").select("doc_id")
+
+
+@query("SELECT doc_id FROM documents JOIN labels USING (doc_id) WHERE quality * 2 >= 2 AND length(text) >= 300")
+def registered_filter(spark, sf_dir):
+    rows = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id").withColumn("int_score", F.col("quality") * 2)
+    return rows.where(filters.compiled({"min_chars": 300}, F.col("text"), rows.columns, "fineweb_edu")).select("doc_id")
+
+
+@query(f"WITH {FLAT} SELECT 3 AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS tokens FROM flat WHERE pos // {LENGTH} = 3")
+def sequence_by_place(spark, sf_dir):
+    packing = packing_of(spark, sf_dir)
+    return sequence.sequence_at(packing.sequences(), packing.total // LENGTH, 3).select(F.col("seq").cast("int").alias("seq"), flat(F.col("tokens")).alias("tokens"))
+
+
+@query(f"WITH {FLAT}, s AS (SELECT pos // {LENGTH} AS seq, md5(string_agg(id, ',' ORDER BY pos)) AS ids FROM flat GROUP BY 1 HAVING count(*) = {LENGTH}) SELECT seq, ids AS input_ids, ids AS labels FROM s")
+def sequence_labels(spark, sf_dir):
+    rows = chat.collated(packing_of(spark, sf_dir).sequences())
+    return rows.select("seq", flat(F.col("input_ids")).alias("input_ids"), flat(F.col("labels")).alias("labels"))
+
+
+@query(f"WITH {VALID}, r AS (SELECT conv_id, {_CHAT_IDS} AS ids, {_CHAT_LABELS} AS labels FROM valid) SELECT conv_id, md5(array_to_string(list_transform(list_filter(range(1, len(ids)), lambda i: labels[i + 1] <> -100), lambda i: ids[i] || ':' || labels[i + 1]), ',')) AS pairs FROM r")
+def next_token_labels(spark, sf_dir):
+    pairs = F.transform(chat.aligned(F.col("labels"), F.col("ids")), lambda p: F.concat_ws(":", p["id"].cast("string"), p["next"].cast("string")))
+    return _chat(spark, sf_dir).select("conv_id", F.md5(F.array_join(pairs, ",")).alias("pairs"))
