@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -24,7 +24,7 @@ FLOWS = {
     "local": Flow(True, False, {"data_dir": ("./data/local_smoke/",), "output_dir": ("./artifacts/local/",), "logging_dir?": ("./artifacts/local/",)}, (0, 4096)),
     "production": Flow(False, False, {"data_dir": ("./data/production/",), "output_dir": ("./artifacts/production/",), "logging_dir?": ("./artifacts/production/",)}, (10000, None)),
     "local_sft": Flow(True, True, {"data_dir": ("./data/local_smoke/sft/",), "output_dir": ("./artifacts/local/sft/",), "pretrained_model_path": ("./artifacts/local/sft/",), "logging_dir?": ("./artifacts/local/sft/",)}, (0, None)),
-    "production_sft": Flow(False, True, {"data_dir": ("./data/production/sft/", "/root/autodl-fs/sft/"), "output_dir": ("./artifacts/production/sft/",), "pretrained_model_path": ("./artifacts/production/",), "logging_dir?": ("./artifacts/production/sft/",)}, (10000, None)),
+    "production_sft": Flow(False, True, {"data_dir": ("./data/production/sft/",), "output_dir": ("./artifacts/production/sft/",), "pretrained_model_path": ("./artifacts/production/",), "logging_dir?": ("./artifacts/production/sft/",)}, (10000, None)),
 }
 
 
@@ -34,8 +34,8 @@ def below(path: str, folder: str) -> bool:
     return inner == outer or inner.startswith(outer.rstrip(os.sep) + os.sep)
 
 
-def faults(flow: str, train: Mapping[str, Any], model: Mapping[str, Any]) -> list[str]:
-    """What forbids a run of this flow; nothing if it may start."""
+def faults(flow: str, train: Mapping[str, Any], model: Mapping[str, Any], also_in: Mapping[str, Sequence[str]] | None = None) -> list[str]:
+    """What forbids a run of this flow; nothing if it may start. also_in: more folders that a setting may lie in, by its name."""
     rules, found = FLOWS[flow], []
     said = lambda wrong, what: found.append(what) if wrong else None
     if rules.chat:
@@ -56,6 +56,7 @@ def faults(flow: str, train: Mapping[str, Any], model: Mapping[str, Any]) -> lis
         if path is None and not setting.endswith("?"):
             said(True, f"{setting} is missing")
         elif path is not None:
+            folders = (*folders, *(also_in or {}).get(setting.rstrip("?"), ()))
             said(not any(below(path, f) for f in folders), f"{setting.rstrip('?')} must lie in {' or '.join(folders)}: {path}")
     least, most = rules.vocabulary
     size = model.get("vocab_size")
@@ -64,9 +65,9 @@ def faults(flow: str, train: Mapping[str, Any], model: Mapping[str, Any]) -> lis
     return found
 
 
-def check(flow: str, train: Mapping[str, Any], model: Mapping[str, Any], also: Callable[[Mapping, Mapping], None] | None = None) -> None:
-    """Raise if a run may not start; `also` is one's own check."""
-    if wrong := faults(flow, train, model):
+def check(flow: str, train: Mapping[str, Any], model: Mapping[str, Any], also: Callable[[Mapping, Mapping], None] | None = None, also_in: Mapping[str, Sequence[str]] | None = None) -> None:
+    """Raise if a run may not start; `also` is one's own check, `also_in` names more folders for settings."""
+    if wrong := faults(flow, train, model, also_in):
         raise ValueError("; ".join(wrong))
     if also:
         also(train, model)

@@ -209,6 +209,13 @@ def test_registered_text_functions(spark):
         T.extracted([], [], named="whispered")
 
 
+def test_gates_allow_named_folders(tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    run = {"tokenizer_name": "t", "deepspeed": "d", "resume_from_last_checkpoint": True, "data_dir": str(tmp_path / "disk" / "x"), "output_dir": "./artifacts/production/x"}
+    assert gates.faults("production", run, {"vocab_size": 20000})
+    gates.check("production", run, {"vocab_size": 20000}, also_in={"data_dir": [str(tmp_path / "disk")]})
+
+
 def test_gates_name_every_missing_setting():
     said = gates.faults("production", {}, {})
     assert sum("is missing" in s for s in said) >= 3 and any("vocab_size" in s for s in said)
