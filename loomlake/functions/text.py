@@ -78,7 +78,7 @@ def score(*columns: Column) -> Column:
 def character_count(text: Column) -> Column:
     """How many ids `character_ids` gives, without building them: a chat mark counts once."""
     marks = F.regexp_count(text, F.lit(r"<\|im_start\|>")) * 11 + F.regexp_count(text, F.lit(r"<\|im_end\|>")) * 9
-    return F.coalesce(F.length(text) - marks, F.lit(0))
+    return F.coalesce(F.length(text) - F.when(F.contains(text, F.lit("<|im_")), marks).otherwise(F.lit(0)), F.lit(0))
 
 
 #: Named text functions: of the row's column names, the text.

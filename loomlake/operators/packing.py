@@ -17,6 +17,9 @@ from pyspark.sql.window import Window as W
 
 from loomlake.operators.ranges import borders, range_of
 
+#: Documents of a range, which one task tokenizes and packs, of smaller inputs.
+PACK_ROWS = 500
+
 
 class Packing:
     """Where the tokens of documents are in their stream.
@@ -28,7 +31,7 @@ class Packing:
     def __init__(self, docs: DataFrame, length: int, key: str = "doc_id", tokens: str | Column = "ids", n: Column | None = None):
         self.length, self.key = length, key
         self.tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-        self.at = borders(docs.select(key), key)
+        self.at = borders(docs.select(key), key, PACK_ROWS)
         many = (F.size(self.tokens) if n is None else n).cast("long")
         self.docs = docs.withColumn("__n", many).where("__n > 0").withColumn("__range", range_of(key, self.at))
         self.tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])

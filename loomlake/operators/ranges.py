@@ -24,9 +24,9 @@ def seeded_key(*parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("::", *parts), 256), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
-def borders(df: DataFrame, key: str) -> list[int]:
-    """Quantiles of a key that divide df into ranges of about `RANGE_ROWS` rows, at most `RANGES`; outliers and gaps do no harm."""
-    ranges = max(1, min(RANGES, -(-df.count() // RANGE_ROWS)))
+def borders(df: DataFrame, key: str, rows: int | None = None) -> list[int]:
+    """Quantiles of a key that divide df into ranges of about `rows` rows, at most `RANGES`; outliers and gaps do no harm."""
+    ranges = max(1, min(RANGES, -(-df.count() // (rows or RANGE_ROWS))))
     found = df.stat.approxQuantile(key, [k / ranges for k in range(1, ranges)], 0.25 / ranges) if ranges > 1 else []
     return sorted({int(b) for b in found})
 

@@ -13,6 +13,7 @@ from loomlake.operators import cuts, packing, ranges, sequence
 def dealt(request, monkeypatch):
     if request.param == "many ranges":
         monkeypatch.setattr(ranges, "RANGE_ROWS", 40)
+        monkeypatch.setattr(packing, "PACK_ROWS", 40)
     return request.param
 
 
