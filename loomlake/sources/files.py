@@ -134,9 +134,9 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def raw_texts(spark: SparkSession, path: str) -> DataFrame:
-    """text, and file and row that give the order of reading; only the text column is read and empty texts are dropped."""
-    rows = spark.read.parquet(path).select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+def raw_texts(spark: SparkSession, path: str, more: Iterable[str] = ()) -> DataFrame:
+    """text, and file and row that give the order of reading; only the text column and `more` are read and empty texts are dropped."""
+    rows = spark.read.parquet(path).select("text", *more, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     return rows.where("text IS NOT NULL AND text <> ''")
 
 
