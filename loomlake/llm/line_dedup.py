@@ -6,9 +6,10 @@ passage is pasted. A line of at least `line_words` words is a passage of its own
 Chunks of two lines or more, and such long lines, that occur more than once in the corpus keep their first occurrence
 (smallest id, then place) and lose the others; short single lines stay.
 
-Equality is of bytes: hashes only select which chunks' texts are shuffled at all, the grouping is by the text itself.
-A chunk with a third of all occurrences is reduced on the map side by both counts. What they find is written out, so the
-joins with it are joins of two plain tables, which adaptive execution splits where a chunk is hot.
+Chunks are told apart by the SHA-256 of their bytes, so no chunk's text is shuffled; documents are, once, to meet what goes.
+A chunk with a third of all occurrences is reduced on the map side when first occurrences are looked for. What is found is
+written out, so the joins with it are joins of two plain tables, which adaptive execution splits where a chunk is hot. They
+are merge joins at any size: what repeats grows with the corpus and is not to be broadcast.
 
 Defined cases: null texts stay null and are not counted; empty texts have no lines; rows that agree in id and text are
 one document (they share the decision, and do not repeat each other); a text of any length is cut whole, in one row; null ids come first; a text whose every chunk goes
@@ -54,12 +55,10 @@ def chunks(text: Column, line_words: int = LINE_WORDS) -> Column:
 def later_chunks(docs: DataFrame, scratch: Scratch, line_words: int) -> DataFrame:
     """doc_id, text_hash, gone: for each document of docs, the places of its chunks that occurred before."""
     rows = docs.where("text IS NOT NULL AND text <> ''").select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(chunks(F.col("text"), line_words)).alias("place", "chunk"))
-    rows = rows.where((F.col("chunk.lines") > 1) | is_long(F.col("chunk.text"), line_words)).select("doc_id", "text_hash", "place", F.col("chunk.text").alias("text"), F.xxhash64("chunk.text").alias("hash"))
+    rows = rows.where((F.col("chunk.lines") > 1) | is_long(F.col("chunk.text"), line_words)).select("doc_id", "text_hash", "place", F.unhex(F.sha2("chunk.text", 256)).alias("chunk"))
     place = F.struct("doc_id", "text_hash", "place")
-    several = scratch.stored(rows.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("hash"))
-    repeated = scratch.stored(rows.join(several, "hash", "left_semi"))
-    firsts = scratch.stored(repeated.groupBy("hash", "text").agg(F.min(place).alias("first")))
-    later = repeated.join(firsts, ["hash", "text"]).where(place != F.col("first"))
+    firsts = scratch.stored(rows.groupBy("chunk").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("chunk", "first"))
+    later = rows.join(firsts.hint("merge"), "chunk").where(place != F.col("first"))
     return stored(later.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("gone")))
 
 
@@ -69,7 +68,7 @@ def deduped(docs: DataFrame, lines: str, removed: str, line_words: int = LINE_WO
         later = later_chunks(docs.select("doc_id", "text"), scratch, line_words)
     key, text_hash, gone, kept = (fresh(docs, n) for n in ("__id", "__hash", "__gone", "__kept"))
     later = later.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), F.col("gone").alias(gone))
-    rows = docs.join(later, docs["doc_id"].eqNullSafe(later[key]) & (F.xxhash64(docs["text"]) == later[text_hash]), "left")
+    rows = docs.join(later.hint("merge"), docs["doc_id"].eqNullSafe(later[key]) & (F.xxhash64(docs["text"]) == later[text_hash]), "left")
     parts = F.when(F.col(gone).isNotNull(), chunks(F.col("text"), line_words))
     rows = rows.withColumn(kept, let(parts, lambda p: F.when(p.isNotNull(), F.struct(
         F.array_join(F.transform(F.filter(p, lambda c, i: ~F.array_contains(gone, i)), lambda c: c["text"]), "\n").alias("text"),
