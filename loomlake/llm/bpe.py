@@ -5,7 +5,8 @@ positions in the batch; the active ranks are applied in ascending order, each to
 of the neighbouring pairs are updated. A merge can only create pairs of larger rank than its own or, where a vocabulary
 is unordered, of smaller rank, which the heap of active ranks then brings forward; either way each word sees its own
 merges in rank order, as if it were alone. Words repeat, so what a word became is remembered up to `REMEMBERED` words of
-a task; encoding a text then is a lookup for each of its words.
+a task; encoding a text then is a lookup for each of its words. Where no word crosses a blank, what stands between blanks is
+remembered, too, with its ids and what they decode to, so a text is normalized and split where it says something new.
 
 The tokenizer file (the JSON form of the tokenizers library) is read by path on the driver and travels with the tasks
 as broadcast data; its size is that of a vocabulary. Supported are models of type BPE with NFC, Lowercase and Replace
@@ -34,8 +35,12 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from loomlake.llm.common import fresh
 
-#: Words of a task whose ids are remembered before the memory starts anew.
+#: Words of a task whose ids are remembered before the memory starts anew; of stretches without a blank as many.
 REMEMBERED = 300_000
+#: Split patterns that neither match nor look at a space or line feed, and normalizers that treat what stands
+#: between those alone, as space and line feed compose with nothing.
+APART = ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",)
+LOCAL = ({"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "})
 
 
 @functools.cache
@@ -61,12 +66,12 @@ class PairIndex:
             symbols.extend(w)
             symbols.append(-1)  # no pair crosses the end of a word
             ends.append(len(symbols) - 1)
-        merges, n = self.merges, len(symbols)
+        get, n = self.merges.get, len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         at: dict[int, list[int]] = {}  # rank -> positions of the pair's left symbol
         target: dict[int, tuple[int, int, int]] = {}
         for k in range(n - 1):
-            known = merges.get((symbols[k], symbols[k + 1]))
+            known = get((symbols[k], symbols[k + 1]))
             if known is not None:
                 rank = known[0]
                 if rank in at:
@@ -94,28 +99,34 @@ class PairIndex:
                 after[k] = nxt
                 if nxt < n:
                     before[nxt] = k
-                    self._note(k, merged, symbols[nxt], at, target, active)
+                    b = symbols[nxt]
+                    known = get((merged, b)) if b >= 0 else None
+                    if known is not None:
+                        new = known[0]
+                        if new in at:
+                            at[new].append(k)
+                        else:
+                            at[new] = [k]
+                            target[new] = (merged, b, known[1])
+                            heapq.heappush(active, new)
                 p = before[k]
                 if p >= 0:
-                    self._note(p, symbols[p], merged, at, target, active)
+                    a = symbols[p]
+                    known = get((a, merged)) if a >= 0 else None
+                    if known is not None:
+                        new = known[0]
+                        if new in at:
+                            at[new].append(p)
+                        else:
+                            at[new] = [p]
+                            target[new] = (a, merged, known[1])
+                            heapq.heappush(active, new)
         out, begin = [], 0
         for end in ends:
             out.append([s for s in symbols[begin:end] if s >= 0])
             begin = end + 1
         return out
 
-    def _note(self, k, a, b, at, target, active) -> None:
-        known = self.merges.get((a, b))
-        if known is None:
-            return
-        rank = known[0]
-        if rank in at:
-            at[rank].append(k)
-        else:
-            at[rank] = [k]
-            target[rank] = (a, b, known[1])
-            heapq.heappush(active, rank)
-
 
 class Tokenizer:
     """A BPE tokenizer of a JSON description."""
@@ -144,6 +155,12 @@ class Tokenizer:
         self.special = dict(self.added)
         #: word -> its ids as little-endian bytes
         self.memory: dict[str, bytes] = {}
+        #: what stands between blanks -> its ids, and what they decode to
+        self.between: dict[str, bytes] = {}
+        self.said: dict[str, str] | None = None
+        self.apart = self._apart(d)
+        #: stretches that have white space of other kinds or an added token
+        self.rough = regex.compile(r"\s|" + "|".join(regex.escape(c) for c, _ in self.added)) if self.added else regex.compile(r"\s")
         letters = byte_letters()
         self.byte_ids = [self.vocab.get(c) for c in letters]
         self.last_ids = [self.vocab.get(c + self.suffix) for c in letters]
@@ -181,6 +198,14 @@ class Tokenizer:
             raise ValueError("only byte-level pre-tokenizers are supported")
         return pattern.findall if pattern else lambda t: [t] if t else []
 
+    def _apart(self, d: dict) -> bool:
+        """Whether what stands between blanks can be encoded and decoded by itself."""
+        normalizer, split = d.get("normalizer"), d.get("pre_tokenizer")
+        steps = [] if normalizer is None else normalizer["normalizers"] if normalizer["type"] == "Sequence" else [normalizer]
+        words = split["pretokenizers"] if split["type"] == "Sequence" else [split]
+        known = len(words) == 2 and words[0]["type"] == "Split" and words[0]["pattern"].get("Regex") in APART and words[1]["type"] == "ByteLevel" and not words[1].get("use_regex")
+        return known and all(s in LOCAL for s in steps) and not self.joins_bytes and "" not in self.vocab and all(c and " " not in c and "\n" not in c for c, _ in self.added)
+
     def _symbols(self, word: str) -> list[int]:
         raw, ids = word.encode(), self.byte_ids
         out = [ids[b] for b in raw]
@@ -210,22 +235,73 @@ class Tokenizer:
 
     def encode_batch(self, texts: Iterable[str | None], at_once: int = 2_000_000) -> Iterator[np.ndarray]:
         """Ids of each text; the pair index spans texts of up to `at_once` characters together, and any longer one alone."""
+        for group in self._groups(texts, at_once):
+            yield from self._encode(group)
+
+    @staticmethod
+    def _groups(texts: Iterable[str | None], at_once: int = 2_000_000) -> Iterator[list[str]]:
         group, size = [], 0
         for t in texts:
             group.append(t or "")
             size += len(group[-1])
             if size >= at_once:
-                yield from self._encode(group)
+                yield group
                 group, size = [], 0
-        yield from self._encode(group)
+        yield group
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if self.apart:
+            known = self.between.__getitem__
+            for stretches in self._stretches(texts):
+                yield np.frombuffer(b"".join(map(known, stretches)), "<u4")
+        else:
+            yield from self._encode_words(texts)
+
+    def _encode_words(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [self.pieces(t) for t in texts]
         self._learn({w for ws in split for w in set(ws) if isinstance(w, str)})
         known = self.memory
         for ws in split:
             yield np.frombuffer(b"".join([known[w] if isinstance(w, str) else struct.pack("<I", w) for w in ws]), "<u4")
 
+    def _stretches(self, texts: list[str]) -> list[list[str]]:
+        """What stands between blanks in each text; the ids of all of it are known then."""
+        if len(self.between) > REMEMBERED:
+            self.between, self.said = {}, None if self.said is None else {}
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        fresh = set().union(*split) - self.between.keys()
+        rough = {x for x in fresh if not x or self.rough.search(x)}
+        fresh = list(fresh - rough)
+        joined = " ".join(fresh)
+        for step in self.normalize:
+            joined = step(joined)
+        words = [[w] if w.isalpha() else [w[:-1], w[-1]] if w[-1] in ".,;:!?" and w[:-1].isalpha() else self.split(w) for w in joined.split(" ") if w]
+        if len(words) != len(fresh):
+            raise ValueError("a normalizer made or removed blanks")
+        self._learn({w for ws in words for w in ws})
+        known = self.memory
+        self.between.update((x, known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])) for x, ws in zip(fresh, words))
+        for x, ids in zip(rough, self._encode_words(list(rough))):
+            self.between[x] = ids.tobytes()
+        if self.said is not None:
+            for x in [*fresh, *rough]:
+                self.said[x] = self.decode(memoryview(self.between[x]).cast("I"))
+        return split
+
+    def round_trips(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, str]]:
+        """Ids of each text, and what they decode to."""
+        if not self.apart:
+            for ids in self.encode_batch(texts):
+                yield ids, self.decode(ids.tolist())
+            return
+        if self.said is None:
+            self.between, self.said = {}, {}
+        for group in self._groups(texts):
+            split = self._stretches(group)
+            known, said = self.between.__getitem__, self.said.__getitem__
+            for stretches in split:
+                yield np.frombuffer(b"".join(map(known, stretches)), "<u4"), " ".join(filter(None, map(said, stretches)))
+
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; without a decoder tokens stand side by side with a space between."""
         token = self.token
@@ -292,10 +368,10 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         sha = hashlib.sha256
         for batch in batches:
             n, a, b = [], [], []
-            for ids in t.encode_batch(batch.column(1).to_pylist()):
+            for ids, decoded in t.round_trips(batch.column(1).to_pylist()):
                 n.append(len(ids))
-                a.append(sha(ids.tobytes()).hexdigest())
-                b.append(sha(t.decode(ids.tolist()).encode()).hexdigest())
+                a.append(sha(ids).hexdigest())
+                b.append(sha(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = StructType([docs.schema["doc_id"], StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
