@@ -13,7 +13,7 @@ logistic model turns it into a score, and 0.5 is the calibrated threshold. It is
 the labelled documents by dictionaries of the other half; scoring takes dictionaries of both.
 
 Learning reads a bounded sample: at most `per_class` labelled rows of each class (the smallest MD5 of their ids), with
-their whole texts, which the driver holds. Scoring reads every byte of every document, window by window; windows overlap,
+their whole texts, which one task holds; the driver gets the model alone. Scoring reads every byte of every document, window by window; windows overlap,
 so no passage of up to `overlap` bytes is split. Memory is bounded by one Arrow batch.
 
 Defined cases: null and empty texts have no window and the score of evidence 0; without labelled rows of both classes
@@ -231,14 +231,20 @@ def learned(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mod
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).select("doc_id", "toxic").distinct()
     order = [F.md5(F.col("doc_id").cast("string")), F.col("toxic")]
     # top-k queries: each is bounded by per_class rows
-    ids = known.where("toxic = 1").orderBy(*order).limit(s.per_class).unionByName(known.where("toxic = 0").orderBy(*order).limit(s.per_class)).toPandas()
+    chosen = known.where("toxic = 1").orderBy(*order).limit(s.per_class).unionByName(known.where("toxic = 0").orderBy(*order).limit(s.per_class))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame([(int(i), int(y)) for i, y in zip(ids["doc_id"], ids["toxic"])], "doc_id long, toxic int")
-    rows = docs.where("text IS NOT NULL").select("doc_id", F.encode("text", "utf-8").alias("data")).join(F.broadcast(chosen), "doc_id").select("doc_id", "data", "toxic").toPandas()
-    rows = sorted((int(i), bytes(t), int(y)) for i, t, y in zip(rows["doc_id"], rows["data"], rows["toxic"]))
-    both = all(counts.get(k) for k in (0, 1))
-    return fit([(t, y) for _, t, y in rows], s, counts[1] / sum(counts.values()) if both else None)
+    prior = counts[1] / sum(counts.values()) if all(counts.get(k) for k in (0, 1)) else None
+    rows = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "utf-8").alias("data"))
+    rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "data", F.col("toxic").cast("int").alias("toxic"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted((r["doc_id"], r["data"], r["toxic"]) for batch in batches for r in batch.to_pylist())
+        m = fit([(t, y) for _, t, y in found], s, prior)
+        yield pa.RecordBatch.from_pydict({"ordinary": [m.ordinary], "toxic": [m.toxic], "weights": [list(m.weights)]}, schema=pa.schema([("ordinary", pa.binary()), ("toxic", pa.binary()), ("weights", pa.list_(pa.float64()))]))
+
+    # one task holds the sample, the driver gets the model alone; one row in any case, as an empty partition is a task too
+    got = rows.repartition(1).mapInArrow(run, "ordinary binary, toxic binary, weights array<double>").collect()
+    return Model(s, bytes(got[0]["ordinary"]), bytes(got[0]["toxic"]), tuple(got[0]["weights"])) if got else fit([], s, prior)
 
 
 def scored(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
