@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomlake.operators.cuts import GREEDY, NEXT_FIT, cut_by, greedy_shards, next_fit
+from loomlake.operators.cuts import GREEDY, NEXT_FIT, cut_by, greedy_shards, next_fit, with_shards
 from loomlake.operators.packing import Packing, chunks, packed, sequence_at, sub_stream, tail_split
 from loomlake.operators.ranges import budgeted, running_before, seeded_key
 
-__all__ = ["GREEDY", "NEXT_FIT", "Packing", "budgeted", "chunks", "cut_by", "greedy_shards", "next_fit", "packed", "resumed", "running_before", "seeded_key", "sequence_at", "sub_stream", "tail_split"]
+__all__ = ["GREEDY", "NEXT_FIT", "Packing", "budgeted", "chunks", "cut_by", "greedy_shards", "next_fit", "packed", "resumed", "running_before", "seeded_key", "sequence_at", "sub_stream", "tail_split", "with_shards"]
 
 
 def resumed(valid: DataFrame, existing: int, order: Sequence[str]) -> DataFrame:

@@ -34,8 +34,7 @@ def documents(spark: SparkSession, raw: str, found: list[dict]) -> DataFrame:
 
 def across_files(rows: DataFrame, shard_tokens: int) -> DataFrame:
     """Shards of whole documents that close when they reach a size, whatever files the documents are from."""
-    shards = cuts.cut_by(rows.select("dataset", "place", "n"), "dataset", "place", "n", shard_tokens).select("dataset", "place", "shard")
-    return rows.join(shards, ["dataset", "place"]).select("dataset", "shard", "place", F.col("ids").alias("tokens"))
+    return cuts.with_shards(rows, "dataset", "place", "n", shard_tokens).select("dataset", "shard", "place", F.col("ids").alias("tokens"))
 
 
 def by_file(rows: DataFrame, shard_tokens: int) -> DataFrame:

@@ -17,13 +17,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from loomlake.sources.store import files_in, get_json, located, put_json
 
+#: Spark's setting that removes the shuffle files of a query once it has ended.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 MANIFEST, COMMIT = "_manifest.json", "_commit.json"
 #: Fixed value: digits of a shard's number in its name.
 DIGITS = 5
@@ -201,15 +203,23 @@ class ShardWriter(DataSourceArrowWriter):
                 store.delete_file(f.path)
 
 
-def write_shards(rows: DataFrame, folder: str, kind: str = "parquet", run: str | None = None, order: str | None = None, notes: dict | None = None) -> None:
+def write_shards(rows: DataFrame, folder: str, kind: str = "parquet", run: str | None = None, order: str | None = None, notes: dict | None = None, tokens: Column | None = None) -> None:
     """Write rows (dataset, shard and more) as shards named after their dataset and numbered on from those already there.
 
     Datasets have names, without slashes. A shard's rows come to one task, in the order of a column, and stream into its file. kind npy: tokens end to end.
+    tokens: an expression of the rows that is written as `tokens`; it is made behind the shuffle, which moves what it is made of.
     """
     rows.sparkSession.dataSource.register(ShardSink)
     dealt = rows.withColumn("shard", F.col("shard").cast("long")).repartition("dataset", "shard").sortWithinPartitions("dataset", "shard", *([order] if order else []))
+    dealt = dealt if tokens is None else dealt.select("dataset", "shard", tokens.alias("tokens"))
     out = dealt.write.format("shards").mode("append").option("path", folder).option("kind", kind).option("notes", json.dumps(notes or {}))
-    (out.option("run", run) if run else out).save()
+    conf = rows.sparkSession.conf
+    before = conf.get(_TIDY, None)
+    conf.set(_TIDY, "true")
+    try:
+        (out.option("run", run) if run else out).save()
+    finally:
+        conf.unset(_TIDY) if before is None else conf.set(_TIDY, before)
 
 
 def counted(rows: DataFrame, accepted: str, tokens: str, datasets: list[str]) -> tuple[DataFrame, Observation]:
