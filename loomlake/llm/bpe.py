@@ -251,8 +251,9 @@ class Tokenizer:
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if self.apart:
+            split = self._stretches(texts)  # may start the memory anew
             known = self.between.__getitem__
-            for stretches in self._stretches(texts):
+            for stretches in split:
                 yield np.frombuffer(b"".join(map(known, stretches)), "<u4")
         else:
             yield from self._encode_words(texts)

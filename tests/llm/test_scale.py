@@ -59,3 +59,15 @@ def test_bpe_of_odd_texts_equals_the_library(tokenizer):
     for text, (ids, decoded) in zip(texts, tokenizer.round_trips(texts), strict=True):
         want = library.encode(text, add_special_tokens=False).ids
         assert ids.tolist() == want and decoded == library.decode(want, skip_special_tokens=False), repr(text)
+
+
+@pytest.mark.parametrize("at_once", [1, 40])
+def test_bpe_memory_that_starts_anew(tokenizer, monkeypatch, at_once):
+    texts = [f"word{k} {k} Müteß, again\nand again" for k in range(40)]
+    want = [ids.tolist() for ids in tokenizer._encode_words(texts)]
+    monkeypatch.setattr(bpe, "REMEMBERED", 12)
+    for _ in range(2):
+        assert [ids.tolist() for ids in tokenizer.encode_batch(texts, at_once)] == want
+        assert [ids.tolist() for ids, _ in tokenizer.round_trips(texts)] == want
+        for k in range(0, 40, 8):
+            assert [ids.tolist() for ids in tokenizer.encode_batch(texts[k : k + 8])] == want[k : k + 8]
