@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from loomlake.sources.store import files_in, located
 
-#: Tokens that a task reads at once, and files whose headers are read side by side.
+#: Tokens that a task reads, in ranges of fewer if that is asked for, and files whose headers are read side by side.
 TOKENS, SIDE_BY_SIDE = 4_000_000, 32
 
 
@@ -33,6 +33,13 @@ class Part(InputPartition):
     kind: str = ""
 
 
+@dataclass
+class Parts(InputPartition):
+    """Parts of files that one task reads, one after the other."""
+
+    parts: list[Part]
+
+
 def _files(folder: str, endings: tuple[str, ...]) -> list[str]:
     """The files of a folder, or those that a list of lines names."""
     if "\n" in folder:
@@ -126,16 +133,25 @@ class _TokenReader(DataSourceReader):
         paths = _files(self.folder, (".npy", ".bin"))
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
             heads = list(pool.map(lambda p: header(store, p), paths))
-        return [Part(path, at, min(self.most, n - at), byte, kind) for path, (kind, byte, n) in zip(paths, heads, strict=True) for at in range(0, n, self.most)]
-
-    def read(self, part: Part) -> Iterator[pa.RecordBatch]:
+        out, held = [], TOKENS
+        for path, (kind, byte, n) in zip(paths, heads, strict=True):
+            for at in range(0, n, self.most):
+                part = Part(path, at, min(self.most, n - at), byte, kind)
+                if held + part.count > TOKENS:
+                    out.append(Parts([]))
+                    held = 0
+                out[-1].parts.append(part)
+                held += part.count
+        return out
+
+    def read(self, task: Parts) -> Iterator[pa.RecordBatch]:
         store, _ = located(self.folder.split("\n")[0])
-        width = np.dtype(part.kind).itemsize
-        with store.open_input_file(part.path) as f:
-            f.seek(part.byte + part.start * width)
-            values = np.frombuffer(f.read(part.count * width), part.kind).astype("<i4", copy=False)
-        tokens = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.int32()))
-        yield pa.RecordBatch.from_arrays([pa.array([part.path]), pa.array([part.start], pa.int64()), tokens], names=["path", "start", "tokens"])
+        for part in task.parts:
+            with store.open_input_file(part.path) as f:
+                f.seek(part.byte + part.start * np.dtype(part.kind).itemsize)
+                values = np.frombuffer(f.read(part.count * np.dtype(part.kind).itemsize), part.kind).astype("<i4", copy=False)
+            tokens = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([part.path]), pa.array([part.start], pa.int64()), tokens], names=["path", "start", "tokens"])
 
 
 def read_arrow(spark: SparkSession, path: str | list[str], places: bool = False) -> DataFrame:

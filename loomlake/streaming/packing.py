@@ -7,9 +7,10 @@ in the manifest and does nothing, so increments give what one run over all files
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomlake.operators.packing import Packing
@@ -19,46 +20,64 @@ from loomlake.sources import sink
 FILE_BITS = 40
 
 
-def _ordered(batch: DataFrame) -> DataFrame:
-    """batch with `place`: files by path, rows as they are in them."""
-    paths = sorted(r["_file"] for r in batch.select("_file").distinct().collect())  # the files of one batch
-    ranks = batch.sparkSession.createDataFrame(list(enumerate(paths)), "_rank long, _file string")
-    return batch.join(ranks, "_file").withColumn("place", F.shiftleft("_rank", FILE_BITS).bitwiseOR(F.col("_row")))
+def _ordered(spark: SparkSession, source: str, schema, paths: list[str]) -> DataFrame:
+    """The rows of some files of source with `place`: files in the order of paths, rows as they are in them.
 
+    They are read as a table, so that each pass over them reads only the columns that it needs.
+    """
+    rows = spark.read.schema(schema).parquet(source).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    named = F.array(*map(F.lit, paths)).cast("array<string>")
+    ranks = spark.range(len(paths)).select(F.col("id").alias("_rank"), F.element_at(named, (F.col("id") + 1).cast("int")).alias("_file"))
+    found = rows.where(F.col("_file").isin(paths)).join(F.broadcast(ranks), "_file")
+    return found.withColumn("place", F.shiftleft("_rank", FILE_BITS).bitwiseOR(F.col("_row"))).drop("_file", "_row", "_rank")
+
+
+def pack_batch(docs: DataFrame, folder: str, dataset: str, length: int, shard_sequences: int, run: str, place: str = "place", tokens: Column | None = None, n: Column | None = None) -> None:
+    """Add the tokens of docs (place, tokens) to the sequences of a dataset in a folder of token shards, once for each run.
 
-def pack_batch(docs: DataFrame, folder: str, dataset: str, length: int, shard_sequences: int, run: str, place: str = "place") -> None:
-    """Add the tokens of docs (place, tokens) to the sequences of a dataset in a folder of token shards, once for each run."""
+    tokens, n: instead of a column tokens, an expression of docs, and how many tokens it has; it is evaluated where the tokens
+    are packed, so docs are shuffled, and nothing is held between the passes over them.
+    """
     state = sink.manifest(folder)
     if run in state["runs"]:
         return
     note = state["notes"].get(dataset) or {"rest": [], "next": 0}
-    spark = docs.sparkSession
-    before = spark.createDataFrame([(-1, note["rest"])], "place long, tokens array<int>")
+    rest = F.from_json(F.lit(json.dumps(note["rest"])), "array<int>")
+    before = docs.sparkSession.range(1).select(F.lit(-1).cast("long").alias("place"), rest.alias("__rest"))
+    if tokens is not None and n is not None:
+        docs = docs.withColumn("place", F.col(place).cast("long")).withColumn("__rest", F.lit(None).cast("array<int>"))
+        every = before.unionByName(docs, allowMissingColumns=True)
+        many = F.when(F.col("__rest").isNotNull(), F.size("__rest")).otherwise(n)
+        _commit(Packing(every, length, "place", F.coalesce("__rest", tokens.cast("array<int>")), many), folder, dataset, length, shard_sequences, run, note["next"])
+        return
+    found = F.col("tokens") if tokens is None else tokens
     # counted, packed and searched for the rest: one batch is tokenized once
-    every = before.unionByName(docs.select(F.col(place).alias("place"), F.col("tokens").cast("array<int>"))).persist()
+    every = before.withColumnRenamed("__rest", "tokens").unionByName(docs.select(F.col(place).alias("place"), found.cast("array<int>").alias("tokens"))).persist()
     try:
-        _commit(every, folder, dataset, length, shard_sequences, run, note["next"])
+        _commit(Packing(every, length, "place", "tokens"), folder, dataset, length, shard_sequences, run, note["next"])
     finally:
         every.unpersist()
 
 
-def _commit(docs: DataFrame, folder: str, dataset: str, length: int, shard_sequences: int, run: str, first: int) -> None:
-    packing = Packing(docs, length, "place", "tokens")
+def _commit(packing: Packing, folder: str, dataset: str, length: int, shard_sequences: int, run: str, first: int) -> None:
     rows = packing.sequences().select(F.lit(dataset).alias("dataset"), F.expr(f"seq div {shard_sequences}").alias("shard"), (F.col("seq") + first).alias("seq"), "tokens")
     after = {"rest": packing.rest(), "next": first + packing.total // length}
     sink.write_shards(rows, folder, "npy", run, "seq", {dataset: after})
 
 
-def pack_new(spark: SparkSession, source: str, schema, tokens: Callable[[DataFrame], DataFrame], folder: str, dataset: str, length: int, checkpoint: str, shard_sequences: int = 1024, files: int = 1000) -> None:
+def pack_new(spark: SparkSession, source: str, schema, tokens: Callable[[DataFrame], DataFrame] | Column, folder: str, dataset: str, length: int, checkpoint: str, shard_sequences: int = 1024, files: int = 1000, n: Column | None = None) -> None:
     """Pack the Parquet files of source that no earlier run has packed, some files at once, and stop.
 
-    tokens: gives rows a column tokens and keeps their columns.
+    tokens: gives rows a column tokens and keeps their columns; or an expression of the rows, with n telling how many tokens it
+    has where that is cheaper to tell than to make them.
     """
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # the stream tells which files are new; what is in them is read batch by batch
+    new = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source).select(F.col("_metadata.file_path").alias("_file"))
 
     def one(batch: DataFrame, number: int) -> None:
-        pack_batch(tokens(_ordered(batch)), folder, dataset, length, shard_sequences, f"{dataset}-{number}")
+        rows = _ordered(batch.sparkSession, source, schema, sorted(r["_file"] for r in batch.distinct().collect()))  # the files of one batch
+        made, made_of = (None, tokens(rows)) if callable(tokens) and not isinstance(tokens, Column) else (tokens, rows)
+        pack_batch(made_of, folder, dataset, length, shard_sequences, f"{dataset}-{number}", tokens=made, n=n)
 
-    run = rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    run = new.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     run.awaitTermination()

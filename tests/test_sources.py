@@ -138,3 +138,13 @@ def test_counts_are_taken_while_writing(spark, tmp_path):
     kept.write.parquet(str(tmp_path / "out"))
     assert sink.counts(seen, ["a", "b"]) == [("a", 2, 5, 1), ("b", 0, 0, 1)]
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_small_ranges_of_tokens_share_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(binary, "TOKENS", 100)
+    for k in range(5):
+        np.save(tmp_path / f"s{k}.npy", np.arange(k * 50, k * 50 + 50, dtype="<i4"))
+    reader = binary._TokenReader(str(tmp_path), 30)
+    tasks = reader.partitions()
+    assert [[(p.start, p.count) for p in t.parts] for t in tasks] == [[(0, 30), (30, 20)] * 2] * 2 + [[(0, 30), (30, 20)]]
+    assert [x for t in tasks for b in reader.read(t) for x in b.column(2)[0].as_py()] == [*range(250)]

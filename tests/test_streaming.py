@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomlake.operators.packing import Packing
@@ -36,6 +37,30 @@ def test_increments_equal_one_run(spark, tmp_path):
     assert [s["index"] for s in shards] == list(range(len(shards))) and all(s["tokens"] in (10, 20) for s in shards)
 
 
+def test_increments_that_make_tokens_where_they_pack(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(DataFrame, "persist", lambda *_: pytest.fail("a batch was held"))
+    made = F.transform(F.split("text", ""), lambda c: F.ascii(c))
+    step = lambda: packing.pack_new(spark, str(tmp_path / "in 1"), "text string, x int", made, str(tmp_path / "out"), "book", 10, str(tmp_path / "check"), 2, files=2, n=F.length("text"))
+    (tmp_path / "in 1").mkdir()
+    every = []
+    for k in range(2):
+        for name in ("a b%20", "c{d}", "e"):
+            texts = [f"{k}{name}{j}" * (j + 1) for j in range(7)]
+            one = tmp_path / f"{k}{name}"
+            spark.createDataFrame([(t, k) for t in texts], "text string, x int").coalesce(1).write.parquet(str(one))
+            next(one.glob("part*.parquet")).rename(tmp_path / "in 1" / f"{k}{name}.parquet")
+            every += texts
+        step()
+        step()  # nothing new
+    got, note = stream_of(tmp_path / "out"), sink.manifest(str(tmp_path / "out"))["notes"]["book"]
+    rest = got + note["rest"]
+    assert len(rest) == sum(map(len, every)) and note["next"] == len(rest) // 10
+    # batches are the stream's; the rows of a file stay together and in order
+    flat = "".join(map(chr, rest))
+    assert all("".join(every[k : k + 7]) in flat for k in range(0, len(every), 7))
+    assert [s["tokens"] for s in sink.manifest(str(tmp_path / "out"))["shards"]].count(20) > 10
+
+
 def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     docs = spark.createDataFrame([(1, [1, 2, 3]), (2, [4, 5])], "place long, tokens array<int>")
     for run in ("a", "a", "b", "a"):
