@@ -4,9 +4,11 @@ The words of a batch are laid out side by side as one list of symbols. An index
 positions in the batch; the active ranks are applied in ascending order, each to all positions of its pair, and the lists
 of the neighbouring pairs are updated. A merge can only create pairs of larger rank than its own or, where a vocabulary
 is unordered, of smaller rank, which the heap of active ranks then brings forward; either way each word sees its own
-merges in rank order, as if it were alone. Words repeat, so what a word became is remembered up to `REMEMBERED` words of
-a task; encoding a text then is a lookup for each of its words. Where no word crosses a blank, what stands between blanks is
-remembered, too, with its ids and what they decode to, so a text is normalized and split where it says something new.
+merges in rank order, as if it were alone. Words repeat, so what a word became is remembered; encoding a text then is a
+lookup for each of its words. Where no word crosses a blank, what stands between blanks is remembered, too, with its ids and
+what they decode to, so a text is normalized and split where it says something new. A memory has two parts: once the newer
+one is full, the older one is forgotten and the newer one takes its place, and what is met again moves to the newer part. So
+what is met often is worked out once, and what is forgotten was not met while a whole part was filled.
 
 The tokenizer file (the JSON form of the tokenizers library) is read by path on the driver and travels with the tasks
 as broadcast data; its size is that of a vocabulary. Supported are models of type BPE with NFC, Lowercase and Replace
@@ -25,6 +27,7 @@ import json
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,10 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from loomlake.llm.common import fresh
 
-#: Words of a task whose ids are remembered before the memory starts anew; of stretches without a blank as many.
-REMEMBERED = 300_000
+#: Words in the newer part of a worker's memory before it becomes the older one; of stretches without a blank as many.
+REMEMBERED = 400_000
+#: Characters of those words or stretches, where they are long.
+REMEMBERED_CHARS = 16 * REMEMBERED
 #: Split patterns that neither match nor look at a space or line feed, and normalizers that treat what stands
 #: between those alone, as space and line feed compose with nothing.
 APART = ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+",)
@@ -55,8 +60,9 @@ class PairIndex:
     """Merges the words of a batch through an index from each pair to its positions."""
 
     def __init__(self, merges: dict[tuple[int, int], tuple[int, int]]):
-        #: pair of ids -> (rank, id of the merged token)
-        self.merges = merges
+        #: pair of ids -> rank; by rank the pair and the id of the merged token
+        self.ranks = {pair: rank for pair, (rank, _) in merges.items()}
+        self.target = {rank: (*pair, merged) for pair, (rank, merged) in merges.items()}
 
     def merge(self, words: Iterable[list[int]]) -> list[list[int]]:
         """Each word's symbols after all merges."""
@@ -66,19 +72,15 @@ class PairIndex:
             symbols.extend(w)
             symbols.append(-1)  # no pair crosses the end of a word
             ends.append(len(symbols) - 1)
-        get, n = self.merges.get, len(symbols)
+        get, target, n = self.ranks.get, self.target, len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         at: dict[int, list[int]] = {}  # rank -> positions of the pair's left symbol
-        target: dict[int, tuple[int, int, int]] = {}
-        for k in range(n - 1):
-            known = get((symbols[k], symbols[k + 1]))
-            if known is not None:
-                rank = known[0]
+        for k, rank in enumerate(map(get, pairwise(symbols))):
+            if rank is not None:
                 if rank in at:
                     at[rank].append(k)
                 else:
                     at[rank] = [k]
-                    target[rank] = (symbols[k], symbols[k + 1], known[1])
         active = list(at)
         heapq.heapify(active)
         while active:
@@ -100,26 +102,22 @@ class PairIndex:
                 if nxt < n:
                     before[nxt] = k
                     b = symbols[nxt]
-                    known = get((merged, b)) if b >= 0 else None
-                    if known is not None:
-                        new = known[0]
+                    new = get((merged, b)) if b >= 0 else None
+                    if new is not None:
                         if new in at:
                             at[new].append(k)
                         else:
                             at[new] = [k]
-                            target[new] = (merged, b, known[1])
                             heapq.heappush(active, new)
                 p = before[k]
                 if p >= 0:
                     a = symbols[p]
-                    known = get((a, merged)) if a >= 0 else None
-                    if known is not None:
-                        new = known[0]
+                    new = get((a, merged)) if a >= 0 else None
+                    if new is not None:
                         if new in at:
                             at[new].append(p)
                         else:
                             at[new] = [p]
-                            target[new] = (a, merged, known[1])
                             heapq.heappush(active, new)
         out, begin = [], 0
         for end in ends:
@@ -128,6 +126,29 @@ class PairIndex:
         return out
 
 
+class Memory:
+    """Values by text, in columns, of the texts that were met of late."""
+
+    def __init__(self, columns: int):
+        self.columns: list[dict] = [{} for _ in range(columns)]
+        self.older: list[dict] = [{} for _ in range(columns)]
+        self.chars = 0
+
+    def new(self, texts: set[str]) -> set[str]:
+        """Those of texts that it doesn't know; the others are in its newer part then. Call it once before texts are added."""
+        if len(self.columns[0]) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.older, self.columns, self.chars = self.columns, [{} for _ in self.columns], 0
+        # (`texts - d.keys()` would walk through all of d)
+        missing = texts.difference(self.columns[0])
+        older = self.older[0]
+        again = [x for x in missing if x in older]
+        for newer, older in zip(self.columns, self.older):
+            newer.update((x, older[x]) for x in again)  # not taken out of it: whoever still reads it finds all
+        missing.difference_update(again)
+        self.chars += sum(map(len, again)) + sum(map(len, missing))
+        return missing
+
+
 class Tokenizer:
     """A BPE tokenizer of a JSON description."""
 
@@ -154,10 +175,9 @@ class Tokenizer:
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added}
         self.special = dict(self.added)
         #: word -> its ids as little-endian bytes
-        self.memory: dict[str, bytes] = {}
-        #: what stands between blanks -> its ids, and what they decode to
-        self.between: dict[str, bytes] = {}
-        self.said: dict[str, str] | None = None
+        self.memory = Memory(1)
+        #: what stands between blanks -> its ids and, in a second column once texts are decoded, too, what they decode to
+        self.between = Memory(1)
         self.apart = self._apart(d)
         #: stretches that have white space of other kinds or an added token
         self.rough = regex.compile(r"\s|" + "|".join(regex.escape(c) for c, _ in self.added)) if self.added else regex.compile(r"\s")
@@ -204,7 +224,7 @@ class Tokenizer:
         steps = [] if normalizer is None else normalizer["normalizers"] if normalizer["type"] == "Sequence" else [normalizer]
         words = split["pretokenizers"] if split["type"] == "Sequence" else [split]
         known = len(words) == 2 and words[0]["type"] == "Split" and words[0]["pattern"].get("Regex") in APART and words[1]["type"] == "ByteLevel" and not words[1].get("use_regex")
-        return known and all(s in LOCAL for s in steps) and not self.joins_bytes and "" not in self.vocab and all(c and " " not in c and "\n" not in c for c, _ in self.added)
+        return known and all(s in LOCAL for s in steps) and not self.joins_bytes and "" not in self.vocab and all(c and not c.isalpha() and " " not in c and "\n" not in c for c, _ in self.added)
 
     def _symbols(self, word: str) -> list[int]:
         raw, ids = word.encode(), self.byte_ids
@@ -213,13 +233,13 @@ class Tokenizer:
             out[-1] = self.last_ids[raw[-1]]
         return out if None not in out else [i for i in out if i is not None]
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of words that are not known yet."""
-        if len(self.memory) > REMEMBERED:
-            self.memory = {}
-        fresh = [w for w in words if w not in self.memory]
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """The memory of words, with the ids of all of these."""
+        fresh = list(self.memory.new(words))
+        known = self.memory.columns[0]
         for w, ids in zip(fresh, self.index.merge(map(self._symbols, fresh))):
-            self.memory[w] = struct.pack(f"<{len(ids)}I", *ids)
+            known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        return known
 
     def pieces(self, text: str) -> list[str | int]:
         """Pre-tokens of a text; an added token is its id."""
@@ -251,8 +271,8 @@ class Tokenizer:
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if self.apart:
-            split = self._stretches(texts)  # may start the memory anew
-            known = self.between.__getitem__
+            split = self._stretches(texts)
+            known = self.between.columns[0].__getitem__
             for stretches in split:
                 yield np.frombuffer(b"".join(map(known, stretches)), "<u4")
         else:
@@ -260,18 +280,16 @@ class Tokenizer:
 
     def _encode_words(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [self.pieces(t) for t in texts]
-        self._learn({w for ws in split for w in set(ws) if isinstance(w, str)})
-        known = self.memory
+        known = self._learn({w for ws in split for w in set(ws) if isinstance(w, str)})
         for ws in split:
             yield np.frombuffer(b"".join([known[w] if isinstance(w, str) else struct.pack("<I", w) for w in ws]), "<u4")
 
     def _stretches(self, texts: list[str]) -> list[list[str]]:
-        """What stands between blanks in each text; the ids of all of it are known then."""
-        if len(self.between) > REMEMBERED:
-            self.between, self.said = {}, None if self.said is None else {}
+        """What stands between blanks in each text; the newer part of the memory has all of it then."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = set().union(*split) - self.between.keys()
-        rough = {x for x in fresh if not x or self.rough.search(x)}
+        fresh = self.between.new(set().union(*split))
+        between, *said = self.between.columns
+        rough = {x for x in fresh if not x.isalpha() and (not x or self.rough.search(x))}
         fresh = list(fresh - rough)
         joined = " ".join(fresh)
         for step in self.normalize:
@@ -279,14 +297,14 @@ class Tokenizer:
         words = [[w] if w.isalpha() else [w[:-1], w[-1]] if w[-1] in ".,;:!?" and w[:-1].isalpha() else self.split(w) for w in joined.split(" ") if w]
         if len(words) != len(fresh):
             raise ValueError("a normalizer made or removed blanks")
-        self._learn({w for ws in words for w in ws})
-        known = self.memory
-        self.between.update((x, known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])) for x, ws in zip(fresh, words))
+        known = self._learn({w for ws in words for w in ws})
+        between.update((x, known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])) for x, ws in zip(fresh, words))
         for x, ids in zip(rough, self._encode_words(list(rough))):
-            self.between[x] = ids.tobytes()
-        if self.said is not None:
+            between[x] = ids.tobytes()
+        token = self.token.__getitem__
+        for column in said:
             for x in [*fresh, *rough]:
-                self.said[x] = self.decode(memoryview(self.between[x]).cast("I"))
+                column[x] = " ".join(map(token, memoryview(between[x]).cast("I")))
         return split
 
     def round_trips(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, str]]:
@@ -295,11 +313,11 @@ class Tokenizer:
             for ids in self.encode_batch(texts):
                 yield ids, self.decode(ids.tolist())
             return
-        if self.said is None:
-            self.between, self.said = {}, {}
+        if len(self.between.columns) == 1:
+            self.between = Memory(2)
         for group in self._groups(texts):
             split = self._stretches(group)
-            known, said = self.between.__getitem__, self.said.__getitem__
+            known, said = (column.__getitem__ for column in self.between.columns)
             for stretches in split:
                 yield np.frombuffer(b"".join(map(known, stretches)), "<u4"), " ".join(filter(None, map(said, stretches)))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import random
 
@@ -71,3 +72,43 @@ def test_bpe_memory_that_starts_anew(tokenizer, monkeypatch, at_once):
         assert [ids.tolist() for ids, _ in tokenizer.round_trips(texts)] == want
         for k in range(0, 40, 8):
             assert [ids.tolist() for ids in tokenizer.encode_batch(texts[k : k + 8])] == want[k : k + 8]
+
+
+def test_bpe_keeps_what_is_met_often(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 12)
+    learned = []
+    real = tokenizer.index.merge
+
+    def merge(words):
+        words = list(words)
+        learned.extend(map(tuple, words))
+        return real(words)
+
+    monkeypatch.setattr(tokenizer.index, "merge", merge)
+    for k in range(40):
+        text = f"Quixotic, zephyrs new{'x' * k}a new{'x' * k}b new{'x' * k}c"
+        ((ids, decoded),) = tokenizer.round_trips([text])
+        assert ids.tolist() == next(tokenizer._encode_words([text])).tolist() and decoded == tokenizer.decode(ids.tolist())
+    often = tuple(tokenizer._symbols("zephyrs"))
+    assert learned.count(often) == 1
+    for memory in (tokenizer.between, tokenizer.memory):
+        assert all(len(column) < 24 for column in (*memory.columns, *memory.older))
+
+
+def test_bpe_memory_of_long_stretches_is_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_CHARS", 1000)
+    texts = [f"{k}-" * 100 for k in range(100)]
+    want = [ids.tolist() for ids in tokenizer._encode_words(texts)]
+    assert [ids.tolist() for k in range(100) for ids, _ in tokenizer.round_trips(texts[k : k + 1])] == want
+    assert sum(map(len, [*tokenizer.between.columns[0], *tokenizer.between.older[0]])) < 4000
+
+
+def test_bpe_added_token_inside_a_word_equals_the_library():
+    described = json.loads(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    described["added_tokens"].append(described["added_tokens"][0] | {"id": 49408, "content": "qzxv"})
+    described = json.dumps(described)
+    library = pytest.importorskip("tokenizers").Tokenizer.from_str(described)
+    texts = ["say qzxvo", "otqzxvlo qzxv Qzxv", "nothing of it"]
+    got = [(ids.tolist(), decoded) for ids, decoded in bpe.Tokenizer(described).round_trips(texts)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got == [(ids, library.decode(ids, skip_special_tokens=False)) for ids in want]
