@@ -12,8 +12,9 @@ is indexed.
 
 Layout: equal vectors become one entry with its smallest ids (as many as a result could need), so copies cost nothing.
 Entries are dealt by bucket key to parts, and a part with many entries to splits of bounded size, each of which sees the
-part's queries; a task ranks its candidates with matrix products and sends on a short list for each query, so no row
-stands for a pair. Queries that found too few candidates are answered by a scan in blocks.
+part's queries; a task multiplies each bucket with all queries that visit it, keeps the best of each query as it goes
+and sends on a short list for each query, so no row stands for a pair. Queries that found too few candidates are
+answered by a scan in blocks.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do those of
 another dimension than the commonest one (the larger one on a tie), nor rows with a null id; rows with equal id and vector count once; a
@@ -272,7 +273,8 @@ def _dealt(entries: DataFrame, h: Hashes, parts: int, splits: np.ndarray | None)
                 flat_p = probes.ravel()
                 part_p = (flat_p % np.uint64(parts)).astype(np.int64)
                 for p, _, chosen in _runs(part_p, np.zeros_like(part_p)):
-                    block = _pack(flat_p[chosen], ids[mine[who[chosen]]], None) + _pack_vectors(ids[mine], rows[mine], np.unique(who[chosen]))
+                    asking, place = np.unique(who[chosen], return_inverse=True)
+                    block = _pack(flat_p[chosen], place, None) + _pack_vectors(ids[mine], rows[mine], asking)
                     for c in range(splits[p]):
                         _put(out, p, c, 1, block)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())], names=["part", "split", "kind", "block"])
@@ -326,6 +328,61 @@ def _unpack(block: bytes, vectors: bool):
     return keys, ids, np.frombuffer(block, "<i8", m, at + 16), _vectors(block, m, d, at + 16 + 8 * m)
 
 
+#: Blocks of queries that a task takes at once, scores that it holds at once, and how many times its list's length a query's
+#: candidates may be on average before the best are kept.
+_BLOCKS, _SCORES, _GATHERED = 64, 1 << 18, 4
+
+
+def _kept(who: np.ndarray, entry: np.ndarray, place: np.ndarray, rough: np.ndarray, n: int):
+    """The n best rows of each query by rough scores, ties to smaller ids, each entry once, in the order of queries."""
+    pair = np.unique(who * (int(entry.max(initial=0)) + 1) + entry, return_index=True)[1]  # an entry is in several buckets
+    who, entry, place, rough = who[pair], entry[pair], place[pair], rough[pair]
+    starts = np.flatnonzero(np.r_[True, who[1:] != who[:-1]][: len(who)])
+    counts = np.diff(np.r_[starts, len(who)])
+    order = np.argsort(-rough)
+    order = order[np.argsort(who[order].astype(np.min_scalar_type(int(who.max(initial=0)))), kind="stable")]
+    least = np.full(len(starts), -np.inf)
+    least[counts >= n] = rough[order[starts[counts >= n] + n - 1]]
+    keep = np.flatnonzero(rough >= np.repeat(least, counts))
+    if len(keep) > np.minimum(counts, n).sum():  # equal scores at the end of a list
+        keep = keep[np.lexsort((entry[keep], -rough[keep], who[keep]))]
+        counts = np.bincount(who[keep])
+        keep = keep[np.arange(len(keep)) - np.repeat(np.cumsum(counts) - counts, counts) < n]
+    return who[keep], entry[keep], place[keep], rough[keep]
+
+
+def _best_of_buckets(buckets, rows: np.ndarray, entry: np.ndarray, queries: np.ndarray, n: int):
+    """The n best rows of each query among those of its buckets (first row, end, places of the queries), as _kept gives them.
+
+    Every bucket is multiplied with all its queries at once; scores below the n-th best that a query has so far go at once.
+    """
+    wide = queries.astype(np.float64)
+    floor = np.full(len(queries), -np.inf)
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    gathered, full = 0, _GATHERED * n * len(queries)
+    for begin, end, asking in buckets:
+        for r in range(begin, end, 1024):
+            block = rows[r : min(end, r + 1024)].astype(np.float64).T
+            step = max(1, _SCORES // block.shape[1])
+            for a in range(0, len(asking), step):
+                some = asking[a : a + step]
+                scores = wide[some] @ block
+                good = np.flatnonzero(scores >= floor[some][:, None])
+                if not len(good):
+                    continue
+                at, place = good // block.shape[1], r + good % block.shape[1]
+                found.append((some[at], entry[place], place, scores.ravel()[good]))
+                gathered += len(good)
+                if gathered > full:
+                    found = [_kept(*map(np.concatenate, zip(*found)), n)]
+                    gathered = 0
+                    who, _, _, rough = found[0]
+                    starts = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+                    long = np.diff(np.r_[starts, len(who)]) == n
+                    floor[who[starts[long]]] = np.minimum.reduceat(rough, starts)[long]
+    return _kept(*map(np.concatenate, zip(*found)), n)
+
+
 def _probed(n: int):
     """A function for the blocks of one split: the short list of each query."""
 
@@ -336,19 +393,26 @@ def _probed(n: int):
         if not index or not asked:
             return pa.Table.from_batches([_short_batch([])])
         keys, ids, rows = (np.concatenate([x[k] for x in index]) for k in range(3))
-        entry, first = np.unique(ids, return_index=True)  # an entry is in several buckets
-        rows = rows[first]
         order = np.argsort(keys, kind="stable")
-        keys, place = keys[order], np.searchsorted(entry, ids[order])
+        keys, rows = keys[order], rows[order]
+        known, entry = np.unique(ids[order], return_inverse=True)
+        begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        end, keys = np.r_[begin[1:], len(keys)], keys[begin]
         parts = []
-        for probe, who, qi, qs in asked:
-            begin, end = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
-            chosen = []
-            for q in qi:
-                mine = np.flatnonzero((who == q) & (end > begin))
-                at = [place[begin[k] : end[k]] for k in mine]
-                chosen.append(np.unique(np.concatenate(at)) if at else np.empty(0, np.int64))
-            parts += [(qi[k], i, s) for k, i, s in _short_list(qs, entry, rows, chosen, n)]
+        for some in (asked[k : k + _BLOCKS] for k in range(0, len(asked), _BLOCKS)):
+            before = np.cumsum([0, *[len(x[2]) for x in some]])
+            who = np.concatenate([x[1] + b for x, b in zip(some, before)])
+            probes, qi, qs = (np.concatenate([x[k] for x in some]) for k in (0, 2, 3))
+            bucket = np.minimum(np.searchsorted(keys, probes), len(keys) - 1)
+            hit = np.flatnonzero(keys[bucket] == probes)
+            bucket, who = bucket[hit], who[hit]
+            asking = ((begin[b], end[b], who[chosen]) for b, _, chosen in _runs(bucket, np.zeros_like(bucket)))
+            q, e, place, _ = _best_of_buckets(asking, rows, entry, qs, n + 8)
+            cuts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]][: len(q)]).tolist()
+            for x, y in zip(cuts, [*cuts[1:], len(q)]):
+                mine, exact = known[e[x:y]], exact_products(rows[place[x:y]], qs[q[x]])
+                best = np.lexsort((mine, -exact))[:n]
+                parts.append((qi[q[x]], mine[best], exact[best]))
         return pa.Table.from_batches([_short_batch(parts)])
 
     return run

@@ -5,12 +5,14 @@ from __future__ import annotations
 import json
 import os
 import random
+import time
 
+import numpy as np
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loomlake.llm import bpe, line_dedup, toxicity
+from loomlake.llm import ann, bpe, line_dedup, toxicity
 from loomlake.llm.common import Scratch
 
 
@@ -112,3 +114,56 @@ def test_bpe_added_token_inside_a_word_equals_the_library():
     got = [(ids.tolist(), decoded) for ids, decoded in bpe.Tokenizer(described).round_trips(texts)]
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert got == [(ids, library.decode(ids, skip_special_tokens=False)) for ids in want]
+
+
+def _asked(spark, data, asks, h):
+    """The blocks of a single part that holds all rows and queries."""
+    rows = [(k, [float(x) for x in v], k % asks == 0) for k, v in enumerate(data)]
+    entries = spark.createDataFrame(rows, "entry long, embedding array<float>, asks boolean").coalesce(2)
+    return ann._dealt(entries, h, 1, np.ones(1, np.int64)).toArrow().combine_chunks()
+
+
+def test_candidates_cost_ten_full_products_at_most(spark):
+    """Many queries that visit many buckets: CPU seconds of a task beside those of scoring every pair, both in one worker."""
+    rng = np.random.default_rng(9)
+    data = rng.normal(size=(20_000, 64)).astype(np.float32)
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    held = spark.sparkContext.broadcast((data, _asked(spark, data, 20, ann.made(64, 1.0, 8, 8, 2.1, 96, 3))))
+
+    def full(rows):
+        scores = rows[::20].astype(np.float64) @ rows.T.astype(np.float64)
+        return [np.argpartition(-s, 30)[:30] for s in scores]
+
+    def seconds(work, given):
+        spent = []
+        for _ in range(3):
+            start = time.process_time()
+            work(given)
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    def both(_):
+        rows, group = held.value
+        yield seconds(ann._probed(21), group), seconds(full, rows)
+
+    probed, whole = spark.sparkContext.parallelize([0], 1).mapPartitions(both).first()
+    assert probed < 10 * whole
+
+
+def test_short_lists_are_the_best_of_all_candidates(spark, monkeypatch):
+    """Equal scores and small bounds included: each list is what plain loops over the query's buckets find."""
+    for name, small in (("_BLOCKS", 1), ("_SCORES", 64), ("_GATHERED", 1)):
+        monkeypatch.setattr(ann, name, small)
+    rng = np.random.default_rng(4)
+    data = rng.integers(-1, 2, size=(700, 8)).astype(np.float32)
+    data[:, 0] = 1
+    h = ann.made(8, float(np.linalg.norm(data, axis=1).max()), 3, 4, 0.8, 12, 3)
+    keys, places = h.keys(np.floor(h.places(data, False))), h.places(data[::5], True)
+    probes = h.keys(np.floor(places)[:, :, None, :] + h.steps(places))
+    want = {}
+    for q in range(len(probes[0])):
+        near = sorted((-float(data[5 * q] @ data[k]), k) for k in range(len(data)) if any(keys[t, k] in probes[t, q] for t in range(3)))
+        if near:
+            want[5 * q] = near[:6]
+    got = {r["query"]: [(x["less"], x["id"]) for x in r["found"]] for r in ann._probed(6)(_asked(spark, data, 5, h)).to_pylist()}
+    assert got == want
