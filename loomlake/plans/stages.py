@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,20 @@ def pending(raw: str, out: str) -> list[dict]:
     return [s for s in sorted(sink.manifest(raw)["shards"], key=lambda s: (s["dataset"], s["index"])) if s["name"] not in done]
 
 
-def documents(spark: SparkSession, raw: str, found: list[dict]) -> DataFrame:
-    """dataset, file, row, place, text of row shards whose text is not empty; only that column is read."""
-    rows = spark.read.parquet(*[f"{raw.rstrip('/')}/{s['name']}" for s in found])
-    rows = rows.select("text", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1).alias("name"), F.col("_metadata.row_index").alias("row")).where("text IS NOT NULL AND text <> ''")
+def _paths(raw: str, found: list[dict]) -> list[str]:
+    """What to read for row shards: a dataset's folder if all of its shards are meant, which lists it at once, else each file."""
+    every = Counter(s["dataset"] for s in sink.manifest(raw)["shards"])
+    whole = {d for d, n in Counter(s["dataset"] for s in found).items() if n == every[d]}
+    return [f"{raw.rstrip('/')}/{name}" for name in sorted({s["dataset"] if s["dataset"] in whole else s["name"] for s in found})]
+
+
+def documents(spark: SparkSession, raw: str, found: list[dict], empty: bool = False) -> DataFrame:
+    """dataset, file, row, place, text of row shards whose text is not empty (empty: not null); only that column is read."""
+    rows = spark.read.parquet(*_paths(raw, found))
+    rows = rows.select("text", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1).alias("name"), F.col("_metadata.row_index").alias("row")).where("text IS NOT NULL" if empty else "text IS NOT NULL AND text <> ''")
     ranks = spark.createDataFrame([(s["name"], s["dataset"], k) for k, s in enumerate(found)], "name string, dataset string, file long")
-    joined = rows.withColumn("name", F.url_decode("name")).join(ranks, "name")
+    # the file's address leaves a plus as it is, which decoding would take for a blank
+    joined = rows.withColumn("name", F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))).join(ranks, "name")
     return joined.select("dataset", "file", "row", F.shiftleft("file", ROW_BITS).bitwiseOR(F.col("row")).alias("place"), "text")
 
 
@@ -50,11 +59,11 @@ def by_file(rows: DataFrame, shard_tokens: int) -> DataFrame:
     return parts.select("dataset", shard.alias("shard"), start.alias("place"), tokens.alias("tokens"))
 
 
-def tokenize(spark: SparkSession, raw: str, out: str, tokenizer: Tokenizer, shard_tokens: int = 5_000_000, split: str = "across_files") -> dict[str, tuple[int, int]]:
+def tokenize(spark: SparkSession, raw: str, out: str, tokenizer: Tokenizer, shard_tokens: int = 5_000_000, split: str = "across_files", empty: bool = False) -> dict[str, tuple[int, int]]:
     """Tokenize the row shards below raw that are new into token shards below out; docs and tokens of each dataset that has any.
 
-    Each document ends with the end of text if the tokenizer has one. Documents are tokenized once, into a table that the cut and
-    the shards read. Shards, counts and the names of the row shards are committed together, so a run that is repeated, or that
+    Each document ends with the end of text if the tokenizer has one; empty: a document whose text is empty is one too. Documents
+    are tokenized once, into a table that the cut and the shards read. Shards, counts and the names of the row shards are committed together, so a run that is repeated, or that
     was lost at any point, neither leaves out nor repeats a document.
     """
     if split not in ("across_files", "by_file"):
@@ -62,7 +71,7 @@ def tokenize(spark: SparkSession, raw: str, out: str, tokenizer: Tokenizer, shar
     found = pending(raw, out)
     if not found:
         return {}
-    rows = tokenized(documents(spark, raw, found), tokenizer).withColumn("n", F.size("ids").cast("long")).drop("text")
+    rows = tokenized(documents(spark, raw, found, empty), tokenizer).withColumn("n", F.size("ids").cast("long")).drop("text")
     folder = scratch_folder(spark)
     rows.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     rows = spark.read.schema(rows.schema).parquet(folder)
